@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridpanel.catalog.panel import panel_sql
 from gridpanel.plans import evaluate, models, panel, splits
 from gridpanel.plans.demo_panel import results_from_lineitem
+from gridpanel.scratch import stage
 from gridpanel.sources.tables import read_inputs
 
 FOLDS = 5
@@ -56,8 +57,9 @@ def hash_holdout_split(spark: SparkSession, folder: str) -> DataFrame:
 
 def standard_scaling(spark: SparkSession, folder: str) -> DataFrame:
     """Panel features scaled with the statistics of the training rows."""
-    rows = splits.holdout(panel.feature_panel(results_from_lineitem(spark, folder)), "position_id")
     features = models.FEATURE_SETS["base+gain+sprint"]
+    built = panel.feature_panel(results_from_lineitem(spark, folder)).select("position_id", *features)
+    rows = stage(splits.holdout(built, "position_id"), "scaling")
     scaling = models.fit_scaling(rows.filter("part = 'train'"), features)
     return rows.select(
         "position_id", "part", *[(F.round(scaling.scaled(f), 6) + 0.0).alias(f"{f}_scaled") for f in features]
@@ -70,7 +72,7 @@ def _rule_counts(folds: splits.Folds) -> DataFrame:
         "label",
         F.when(F.col("qualy_pos") <= TOP, 1.0).otherwise(0.0).alias("prediction"),
     )
-    return evaluate.confusion(predicted, ["fold"])
+    return stage(evaluate.confusion(predicted, ["fold"]), "confusion")
 
 
 def rule_accuracy(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,7 +96,7 @@ def position_report(spark: SparkSession, folder: str) -> DataFrame:
     """Per-class report with the finishing position as class and the qualifying one as prediction."""
     rows = panel.feature_panel(results_from_lineitem(spark, folder))
     predicted = rows.select(F.col("position").alias("label"), F.col("qualy_pos").alias("prediction"))
-    report = evaluate.classification_report(evaluate.confusion(predicted, []), [])
+    report = evaluate.classification_report(stage(evaluate.confusion(predicted, []), "confusion"), [])
     rounded = [F.round(m, 6).alias(m) for m in ("precision", "recall", "f1_score")]
     return report.select("class", *rounded, "support")
 

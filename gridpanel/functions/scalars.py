@@ -10,7 +10,7 @@ def iso_timestamp(ts: Column) -> Column:
     """``2024-05-26T13:00:00``, with ``.ffffff`` only when there are microseconds."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == "000000", whole).otherwise(F.concat_ws(".", whole, micros))
+    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
 
 
 def drop_last_char(text: Column) -> Column:
@@ -44,19 +44,18 @@ def parse_offset(text: Column) -> Column:
 
 def interval_text(interval: Column) -> Column:
     """``8:00:00``; negative offsets as ``-5:30:00`` (sign first, not as a negative day)."""
-    # adding an interval to a fixed instant is the one cast-free way to its length
-    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = F.unix_seconds((zero + interval).cast("timestamp")) - F.unix_seconds(zero.cast("timestamp"))
+    whole = interval.cast("interval day to second")
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), whole).cast("bigint")
+
+    seconds = ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")) * 60 + part("SECOND")
     size = F.abs(seconds)
-    return F.concat(
+    text = F.concat(
         F.when(seconds < 0, F.lit("-")).otherwise(F.lit("")),
-        F.format_string(
-            "%d:%02d:%02d",
-            F.floor(size / 3600),
-            F.floor(size / 60) % 60,
-            size % 60,
-        ),
+        F.format_string("%d:%02d:%02d", F.floor(size / 3600), F.floor(size / 60) % 60, size % 60),
     )
+    return F.when(interval.isNotNull(), text)
 
 
 def round_half_even(x: Column) -> Column:

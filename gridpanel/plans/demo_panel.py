@@ -20,31 +20,34 @@ FIELD_SIZE = 20
 
 def results_from_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     (lineitem,) = read_inputs(spark, folder, "lineitem")
-    totals = (
-        lineitem.select(
-            F.year("l_shipdate").alias("season"),
-            F.month("l_shipdate").alias("no"),
-            F.col("l_suppkey").alias("driver_number"),
-            F.col("l_returnflag").alias("flag"),
-            "l_quantity",
-        )
-        .groupBy("season", "no", "driver_number", "flag")
-        .agg(F.sum("l_quantity").alias("quantity"))
-        .withColumn("field", F.expr(f"driver_number DIV {FIELD_SIZE}"))
+    flag = F.col("l_returnflag")
+    sessions = [("Race", 0, flag == "R"), ("Qualifying", 4, flag == "N"), ("Sprint", 5, ~flag.isin("R", "N"))]
+    # sessions side by side first: one row per entity and month goes through the shuffle
+    totals = lineitem.groupBy(
+        F.year("l_shipdate").alias("season"),
+        F.month("l_shipdate").alias("no"),
+        F.col("l_suppkey").alias("driver_number"),
+    ).agg(*[F.sum(F.when(chosen, F.col("l_quantity"))).alias(name) for name, _, chosen in sessions])
+    entries = F.array(
+        *[
+            F.struct(F.lit(name).alias("session_name"), F.lit(code).alias("code"), F.col(name).alias("quantity"))
+            for name, code, _ in sessions
+        ]
+    )
+    entered = (
+        totals.select("season", "no", "driver_number", F.explode(entries).alias("s"))
+        .select("season", "no", "driver_number", F.expr(f"driver_number DIV {FIELD_SIZE}").alias("field"), "s.*")
+        .filter(F.col("quantity").isNotNull())
     )
     # at most FIELD_SIZE rows per group
-    rank = Window.partitionBy("field", "season", "no", "flag").orderBy(F.desc("quantity"), "driver_number")
-    ranked = totals.withColumn("position", F.row_number().over(rank))
+    rank = Window.partitionBy("field", "season", "no", "code").orderBy(F.desc("quantity"), "driver_number")
+    ranked = entered.withColumn("position", F.row_number().over(rank))
     meeting_id = (F.col("field") * 10_000 + F.col("season")) * 100 + F.col("no")
-    code = F.when(F.col("flag") == "R", 0).when(F.col("flag") == "N", 4).otherwise(5)
     return ranked.select(
-        (((meeting_id * 10) + code) * 100 + F.col("position")).alias("position_id"),
+        (((meeting_id * 10) + F.col("code")) * 100 + F.col("position")).alias("position_id"),
         "driver_number",
         "position",
-        F.when(F.col("flag") == "R", "Race")
-        .when(F.col("flag") == "N", "Qualifying")
-        .otherwise("Sprint")
-        .alias("session_name"),
+        "session_name",
         meeting_id.alias("meeting_id"),
         F.concat(F.lit("M"), F.col("no").cast("string"), F.lit("-"), F.col("field").cast("string")).alias(
             "meeting_name"

@@ -166,10 +166,22 @@ def _fit_svm(kind: str, train: DataFrame, features: list[str], rows: int, s: Set
         derived = {f"_scaled_{f}": scaling.scaled(f) for f in features}
     else:
         derived = kernel_columns(train, features, s.kernel_features, s.seed)
-        svm = OneVsRest(classifier=svm, featuresCol="_features", labelCol="label", parallelism=4)
 
     def prepare(df: DataFrame) -> DataFrame:
         return _assembled(df.withColumns(derived), list(derived))
 
-    return _predictor(svm.fit(prepare(train).select("_features", "label")), prepare)
+    ready = prepare(train).select("_features", "label")
+    if kind == "linear_svm":
+        return _predictor(svm.fit(ready), prepare)
+    # one-vs-rest wants classes 0..n-1, each present; the class list is as long as the model itself
+    classes = sorted(row["label"] for row in train.select("label").distinct().collect())
+    positions = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
+    many = OneVsRest(classifier=svm, featuresCol="_features", labelCol="label", parallelism=4)
+    model = many.fit(ready.withColumn("label", positions[F.col("label")]))
+    names = F.array(*[F.lit(c) for c in classes])
+
+    def predict(df: DataFrame, name: str) -> DataFrame:
+        chosen = F.element_at(names, F.col("prediction").cast("int") + 1)
+        return model.transform(prepare(df)).select(*df.columns, chosen.alias(name))
 
+    return predict

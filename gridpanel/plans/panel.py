@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpanel.functions.scalars import encode_membership, membership
-from gridpanel.operators.lookback import BLOCK, HOME, block_window, lookup_at, with_blocks
+from gridpanel.operators.lookback import BLOCK, Lookback
 
 RACE, QUALIFYING, SPRINT = "Race", "Qualifying", "Sprint"
 BEHIND_THE_GRID = 21
@@ -61,18 +61,22 @@ def join_results(positions: DataFrame, sessions: DataFrame, meetings: DataFrame)
     )
 
 
-def pivot_sessions(results: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+def pivot_sessions(results: DataFrame, extra_keys: tuple[str, ...] = (), strict: bool = True) -> DataFrame:
     """Session results of one entity in one meeting as columns, with the number of rows behind each."""
 
     def of(session: str) -> Column:
         return F.col("session_name") == session
 
+    race = F.max(F.when(of(RACE), F.col("position")))
+    if strict:
+        twice = F.raise_error(F.lit("more than one race row for an entity in a meeting"))
+        race = F.when(F.count_if(of(RACE)) > 1, twice).otherwise(race)
     return (
         results.filter(F.col("session_name").isin(RACE, QUALIFYING, SPRINT))
         .groupBy("season", "no", "meeting_id", "meeting_name", "driver_number", *extra_keys)
         .agg(
             F.max(F.when(of(RACE), F.col("position_id"))).alias("position_id"),
-            F.max(F.when(of(RACE), F.col("position"))).alias("race"),
+            race.alias("race"),
             F.max(F.when(of(QUALIFYING), F.col("position"))).alias("qualifying"),
             F.max(F.when(of(SPRINT), F.col("position"))).alias("sprint"),
             F.count_if(of(RACE)).alias("race_rows"),
@@ -83,45 +87,28 @@ def pivot_sessions(results: DataFrame, extra_keys: tuple[str, ...] = ()) -> Data
 
 
 def _by_period(results: DataFrame, spec: PanelSpec) -> DataFrame:
+    past = Lookback(("season", "driver_number"), "no", max(1, spec.rolling_periods), spec.block_width)
     # one shuffle serves the pivot and the windows: both are clustered by (season, driver_number, block)
-    reach = max(1, spec.rolling_periods)
-    clustered = with_blocks(
-        results.select(
-            "season", "no", "meeting_id", "meeting_name", "driver_number", "session_name", "position", "position_id"
-        ).filter(F.col("session_name").isin(RACE, QUALIFYING, SPRINT)),
-        ["season", "driver_number"],
-        "no",
-        reach,
-        ["meeting_id", "driver_number"],
-        spec.block_width,
-    ).repartition("season", "driver_number", BLOCK)
-    cells = pivot_sessions(clustered, (BLOCK, HOME))
-    if spec.strict:
-        twice = F.raise_error(F.lit("more than one race row for an entity in a meeting"))
-        cells = cells.withColumn("race", F.when(F.col("race_rows") > 1, twice).otherwise(F.col("race")))
-
-    w = block_window(["season", "driver_number"], "no")
-    has_period = F.col("no").isNotNull() & F.col("season").isNotNull()
+    spread = past.spread(results, ["meeting_id", "driver_number"]).repartition(*past.keys, BLOCK)
+    cells = pivot_sessions(spread, (BLOCK,), spec.strict)
     here = cells.withColumns(
         {
-            "qualifying": lookup_at("qualifying", "qualifying_rows", w, 0, spec.strict, has_period),
-            "sprint": lookup_at("sprint", "sprint_rows", w, 0, spec.strict, has_period),
-            "previous_race": lookup_at("race", "race_rows", w, -1, spec.strict, has_period),
+            "qualifying": past.at("qualifying", "qualifying_rows", 0, spec.strict),
+            "sprint": past.at("sprint", "sprint_rows", 0, spec.strict),
+            "previous_race": past.at("race", "race_rows", -1, spec.strict),
         }
-    ).withColumn("gain", F.col("qualifying") - F.col("race"))
-    recent = w.rangeBetween(-spec.rolling_periods, -1)
-    return here.withColumn("recent_gain", F.when(has_period, F.avg("gain").over(recent))).filter(HOME).drop(BLOCK, HOME)
+    )
+    gained = here.withColumn("gain", F.col("qualifying") - F.col("race"))
+    return gained.select(
+        *[c for c in here.columns if c not in ("gain", "qualifying_rows", "sprint_rows")],
+        past.mean("gain", -spec.rolling_periods, -1).alias("recent_gain"),
+    ).filter(past.own()).drop(BLOCK)
 
 
 def _by_season(cells: DataFrame, spec: PanelSpec) -> DataFrame:
-    blocked = with_blocks(
-        cells, ["driver_number", "meeting_name"], "season", 1, ["meeting_id", "driver_number"], spec.block_width
-    )
-    w = block_window(["driver_number", "meeting_name"], "season")
-    has_venue = F.col("meeting_name").isNotNull() & F.col("season").isNotNull()
-    return blocked.withColumn(
-        "previous_year", lookup_at("race", "race_rows", w, -1, spec.strict, has_venue)
-    ).filter(HOME)
+    past = Lookback(("driver_number", "meeting_name"), "season", 1, spec.block_width)
+    spread = past.spread(cells, ["meeting_id", "driver_number"])
+    return spread.withColumn("previous_year", past.at("race", "race_rows", -1, spec.strict)).filter(past.own())
 
 
 def feature_panel(results: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:

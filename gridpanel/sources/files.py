@@ -51,7 +51,8 @@ def arff_lines(
     head = [f"@RELATION {relation}", ""]
     head += [f"@ATTRIBUTE {name} {kind}" for name, kind in attributes.items()]
     head += ["", "@DATA"]
-    header = spark.createDataFrame([(i - len(head), text) for i, text in enumerate(head)], "_rank int, line string")
+    header = spark.range(1).select(F.posexplode(F.array(*[F.lit(text) for text in head])).alias("_at", "line"))
+    header = header.select((F.col("_at") - len(head)).alias("_rank"), "line")
     values = [F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in attributes]
     keys = [f"_k{i}" for i in range(len(order or []))]
     rows = df.select(
