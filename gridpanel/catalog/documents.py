@@ -125,10 +125,11 @@ SELECT CAST(to_json({{'session_id': l_orderkey * 10 + l_linenumber, 'og_session_
        AS document
 FROM lineitem LEFT JOIN meetings ON meeting_id = l_orderkey""",
     "nested_payload_rows": """
-SELECT event_id, 0 AS ordinal, year(ts) AS season, month(ts) AS round, user_id AS driver_number,
+SELECT event_id, 0 AS ordinal, CAST(year(ts) AS INTEGER) AS season, CAST(month(ts) AS INTEGER) AS round,
+       CAST(user_id AS INTEGER) AS driver_number,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS position
 FROM events
 UNION ALL
-SELECT event_id, 1, year(ts), month(ts), length(event_type), CAST(json_extract_string(props, '$.k') AS INTEGER)
+SELECT event_id, 1, CAST(year(ts) AS INTEGER), CAST(month(ts) AS INTEGER), CAST(length(event_type) AS INTEGER), CAST(json_extract_string(props, '$.k') AS INTEGER)
 FROM events""",
 }

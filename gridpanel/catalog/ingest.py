@@ -392,12 +392,12 @@ FROM first_rows f JOIN all_countries c ON c.country_name = f.country_name
 WHERE f.circuit_name NOT IN (SELECT circuit_name FROM stored_circuits)""",
     "mint_meetings": """
 WITH races AS (
-  SELECT *, year(o_orderdate) AS season,
+  SELECT *, CAST(year(o_orderdate) AS INTEGER) AS season,
          (SELECT max(o_orderkey) FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01')
            + 10 * row_number() OVER (ORDER BY o_orderkey) AS meeting_id
   FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
 )
-SELECT meeting_id, o_orderpriority AS meeting_name, c_custkey AS circuit_id, season, o_custkey AS no,
+SELECT meeting_id, o_orderpriority AS meeting_name, c_custkey AS circuit_id, season, CAST(o_custkey AS INTEGER) AS no,
        strftime(o_orderdate, '%Y-%m-%d') || 'T06:00:00' AS date_start
 FROM races JOIN customer ON c_custkey = o_custkey AND c_acctbal >= 0
 QUALIFY row_number() OVER (PARTITION BY season, o_custkey ORDER BY o_orderkey) = 1""",
@@ -410,7 +410,7 @@ SELECT l_orderkey, l_linenumber, coalesce(s_name, '') AS s_name,
 FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal >= 0""",
     "missing_seasons": """
 WITH asked AS (
-  SELECT o_custkey, year(o_orderdate) AS season, bool_or(o_orderstatus = 'F') AS stored FROM orders GROUP BY ALL
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season, bool_or(o_orderstatus = 'F') AS stored FROM orders GROUP BY ALL
 )
 SELECT o_custkey, season,
        CASE WHEN season <= 1995 OR season > 2000 THEN 'invalid' WHEN stored THEN 'serve' ELSE 'load' END AS action,
@@ -438,7 +438,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
     "final_positions": """
 WITH lists AS (
   SELECT event_id, user_id AS session_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS driver_number,
-         length(event_type) AS position, event_type
+         CAST(length(event_type) AS INTEGER) AS position, event_type
   FROM events
 ),
 stored AS (
@@ -467,12 +467,12 @@ SELECT o_orderkey AS meeting_id, CAST(o_orderkey || '' || month(o_orderdate) ||
        e.kind AS session_type, e.name AS session_name
 FROM entries WHERE e.given""",
     "text_to_timestamp": """
-SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS started, hour(ts) AS hour FROM events""",
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS started, CAST(hour(ts) AS INTEGER) AS hour FROM events""",
     "interval_text": """
 WITH m AS (SELECT event_id, (CAST(json_extract_string(props, '$.k') AS INTEGER) - 50) * 15 AS minutes FROM events)
 SELECT event_id,
        (CASE WHEN minutes < 0 THEN '-' ELSE '' END) || printf('%02d:%02d:00', abs(minutes) // 60, abs(minutes) % 60) AS text,
-       minutes * 60 AS seconds,
+       CAST(minutes * 60 AS BIGINT) AS seconds,
        (CASE WHEN minutes < 0 THEN '-' ELSE '' END) || printf('%d:%02d:00', abs(minutes) // 60, abs(minutes) % 60)
          AS gmt_offset
 FROM m""",

@@ -107,13 +107,14 @@ def arff_import(spark: SparkSession, folder: str) -> DataFrame:
 
 RESULTS_SQL = """
 totals AS (
-  SELECT year(l_shipdate) AS season, month(l_shipdate) AS no, l_suppkey AS driver_number,
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS season, CAST(month(l_shipdate) AS INTEGER) AS no, l_suppkey AS driver_number,
          l_suppkey // 20 AS field, l_returnflag AS flag, sum(l_quantity) AS quantity
   FROM lineitem GROUP BY ALL
 ),
 results AS (
   SELECT *,
-         row_number() OVER (PARTITION BY field, season, no, flag ORDER BY quantity DESC, driver_number) AS position,
+         CAST(row_number() OVER (PARTITION BY field, season, no, flag ORDER BY quantity DESC, driver_number) AS INTEGER)
+           AS position,
          'M' || no || '-' || field AS meeting_name,
          ((field * 10000 + season) * 100 + no) * 10
            + CASE flag WHEN 'R' THEN 0 WHEN 'N' THEN 4 ELSE 5 END AS session_id

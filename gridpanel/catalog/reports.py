@@ -125,8 +125,8 @@ placed AS (
   FROM panel
 ),
 folds AS (
-  SELECT *, CASE WHEN row_index < total - {folds} * size THEN 0
-                 ELSE (row_index - (total - {folds} * size)) // size + 1 END AS test_fold
+  SELECT *, CAST(CASE WHEN row_index < total - {folds} * size THEN 0
+                      ELSE (row_index - (total - {folds} * size)) // size + 1 END AS INTEGER) AS test_fold
   FROM placed
 )
 """
@@ -172,7 +172,7 @@ SELECT f.fold, count(*) FILTER (WHERE test_fold < f.fold) AS train_rows,
        count(*) FILTER (WHERE test_fold = f.fold) AS test_rows,
        CAST(sum(label) FILTER (WHERE test_fold < f.fold) AS BIGINT) AS train_positives,
        CAST(sum(label) FILTER (WHERE test_fold = f.fold) AS BIGINT) AS test_positives
-FROM folds CROSS JOIN (SELECT unnest(range(1, 21)) AS fold) f GROUP BY f.fold""",
+FROM folds CROSS JOIN (SELECT CAST(unnest(range(1, 21)) AS INTEGER) AS fold) f GROUP BY f.fold""",
     "hash_holdout_split": f"""
 SELECT o_orderkey, o_orderpriority, CASE WHEN {_HASHED.format(key="o_orderkey")} THEN 'test' ELSE 'train' END AS part
 FROM orders""",
