@@ -1,31 +1,24 @@
 """Model training on the derived panel; checked by row counts and tests, not by SQL.
 
 Iterations, trees and folds are set below the full-size defaults of
-``models.Settings`` to keep a run short; the training data is the whole panel.
+``models.Settings`` and ``plans.studies`` to keep a run short; the training
+data is the whole panel.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.plans import compare, evaluate, models, panel, splits
+from gridpanel.plans import compare, evaluate, models, panel, studies
 from gridpanel.plans.demo_panel import results_from_lineitem
 
 QUICK = models.Settings(
     linear_iterations=30, svm_iterations=8, trees=20, max_depth=6, boosting_rounds=8, kernel_features=24
 )
-
-
-def _labelled(spark: SparkSession, folder: str, k: int) -> DataFrame:
-    sentinels = panel.PODIUM_SENTINELS if k == 3 else panel.Sentinels()
-    rows = panel.feature_panel(results_from_lineitem(spark, folder), panel.PanelSpec(sentinels=sentinels))
-    return panel.labelled(rows, k)
-
-
-def _by_position(spark: SparkSession, folder: str) -> DataFrame:
-    rows = panel.feature_panel(results_from_lineitem(spark, folder))
-    return rows.withColumn("label", F.col("position").cast("double"))
+FOLDS = 2
 
 
 def _accuracies(counts: DataFrame) -> DataFrame:
@@ -34,22 +27,17 @@ def _accuracies(counts: DataFrame) -> DataFrame:
 
 def model_compare(spark: SparkSession, folder: str) -> DataFrame:
     """Exact finishing position: five models on one hold-out."""
-    counts = compare.on_holdout(_by_position(spark, folder), models.FEATURE_SETS["base+sprint"], settings=QUICK)
-    return _accuracies(counts)
+    return _accuracies(studies.finishing_position(results_from_lineitem(spark, folder), settings=QUICK))
 
 
 def svm_kernel_features(spark: SparkSession, folder: str) -> DataFrame:
-    counts = compare.on_holdout(
-        _by_position(spark, folder), models.FEATURE_SETS["base+sprint"], ("kernel_svm",), QUICK
-    )
-    return _accuracies(counts)
+    results = results_from_lineitem(spark, folder)
+    return _accuracies(studies.finishing_position(results, ("kernel_svm",), QUICK))
 
 
 def gbt_regress_round(spark: SparkSession, folder: str) -> DataFrame:
     """Boosted regression, rounded half to even: how often each predicted position was right."""
-    counts = compare.on_holdout(
-        _by_position(spark, folder), models.FEATURE_SETS["base+sprint"], ("boosted_regression",), QUICK
-    )
+    counts = studies.finishing_position(results_from_lineitem(spark, folder), ("boosted_regression",), QUICK)
     return counts.groupBy("model", "prediction").agg(
         F.sum("n").alias("predicted"),
         F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("hits"),
@@ -57,27 +45,23 @@ def gbt_regress_round(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def svm_linear(spark: SparkSession, folder: str) -> DataFrame:
-    counts = compare.on_holdout(
-        _labelled(spark, folder, 10),
-        models.FEATURE_SETS["base+sprint"],
-        ("linear_svm",),
-        models.Settings(c=1.2, svm_iterations=QUICK.svm_iterations),
-    )
+    """Top ten by a linear SVM on scaled features, on one hold-out."""
+    rows = panel.labelled(panel.feature_panel(results_from_lineitem(spark, folder)), studies.POINTS)
+    counts = compare.on_holdout(rows, studies.WITH_SPRINT, ("linear_svm",), replace(QUICK, svm_c=1.2))
     return evaluate.classification_report(counts, ["model"])
 
 
 def points_folds(spark: SparkSession, folder: str) -> DataFrame:
-    """Top ten: four models over expanding-window folds, mean accuracy and last report."""
-    folds = splits.expanding_window(_labelled(spark, folder, 10), 2, panel.SORT)
-    sets = {"base+sprint": models.FEATURE_SETS["base+sprint"]}
-    counts = compare.over_folds(folds, sets, settings=QUICK)
-    return compare.final_report(counts, folds.count)
+    """Top ten: four models over expanding-window folds, report of the last one."""
+    results = results_from_lineitem(spark, folder)
+    counts = studies.points_finish(results, FOLDS, settings=replace(QUICK, svm_c=1.2))
+    return compare.final_report(counts, FOLDS)
 
 
 def ablation(spark: SparkSession, folder: str) -> DataFrame:
     """Podium: four feature sets, four models, mean accuracy over the folds."""
-    folds = splits.expanding_window(_labelled(spark, folder, 3), 2, panel.SORT)
-    return compare.mean_accuracy(compare.over_folds(folds, models.FEATURE_SETS, settings=QUICK))
+    results = results_from_lineitem(spark, folder)
+    return compare.mean_accuracy(studies.podium_finish(results, FOLDS, settings=QUICK))
 
 
 QUERIES = {

@@ -7,6 +7,10 @@ one pass over its test rows, and what is kept are confusion counts.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +23,13 @@ POSITION_MODELS = ("multinomial", "tree", "forest", "boosted_regression", "kerne
 CLASS_MODELS = ("logistic", "forest", "linear_svm", "boosted")
 
 
+def _in_threads(df: DataFrame, call: Callable, arguments: Iterable, parallelism: int) -> list:
+    """Results of the calls; up to ``parallelism`` run, as Spark jobs, at a time."""
+    run = inheritable_thread_target(df.sparkSession)(call)
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(run, arguments))
+
+
 def _predictions(
     train: DataFrame,
     test: DataFrame,
@@ -26,11 +37,16 @@ def _predictions(
     kinds: tuple[str, ...],
     rows: int,
     settings: models.Settings,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Test rows of every model: (model, label, prediction)."""
+
+    def fit(kind: str) -> models.Predictor:
+        return models.fit(kind, train, features, rows, settings)
+
     out = test
-    for kind in kinds:
-        out = models.fit(kind, train, features, rows, settings)(out, f"_by_{kind}")
+    for kind, predict in zip(kinds, _in_threads(train, fit, kinds, parallelism)):
+        out = predict(out, f"_by_{kind}")
     votes = F.array(
         *[F.struct(F.lit(kind).alias("model"), F.col(f"_by_{kind}").alias("prediction")) for kind in kinds]
     )
@@ -43,13 +59,15 @@ def on_holdout(
     kinds: tuple[str, ...] = POSITION_MODELS,
     settings: models.Settings = models.Settings(),
     key: str = "position_id",
+    parallelism: int = 4,
 ) -> DataFrame:
     """Confusion counts (model, label, prediction, n) on one hashed hold-out."""
     split = stage(holdout(labelled.select(key, *features, "label"), key), "holdout")
     train, test = split.filter("part = 'train'"), split.filter("part = 'test'")
     train = train.persist()
     rows = train.count()
-    counts = stage(confusion(_predictions(train, test, features, kinds, rows, settings), ["model"]), "confusion")
+    predicted = _predictions(train, test, features, kinds, rows, settings, parallelism)
+    counts = stage(confusion(predicted, ["model"]), "confusion")
     train.unpersist()
     return counts
 
@@ -59,22 +77,30 @@ def over_folds(
     feature_sets: dict[str, list[str]],
     kinds: tuple[str, ...] = CLASS_MODELS,
     settings: models.Settings = models.Settings(),
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Confusion counts (feature_set, fold, model, label, prediction, n)."""
+    """Confusion counts (feature_set, fold, model, label, prediction, n).
+
+    Up to ``parallelism`` folds are trained at a time, so that the small last
+    steps of one fit do not leave the cluster idle.
+    """
     spark = folds.rows.sparkSession
     wanted = sorted({f for features in feature_sets.values() for f in features})
-    staged = stage(folds.rows.select("row_index", "test_fold", "label", *wanted), "folds")
-    local = folds._replace(rows=staged.persist())
+    staged = stage(folds.rows.select("row_index", "test_fold", "label", *wanted), "folds").persist()
+    local = folds._replace(rows=staged)
     path = scratch_path(spark, "confusion")
-    for name, features in feature_sets.items():
-        for fold in range(1, folds.count + 1):
-            rows = folds.first_test_row(fold)
-            predicted = _predictions(local.train(fold), local.test(fold), features, kinds, rows, settings)
-            confusion(predicted, ["model"]).select(
-                F.lit(name).alias("feature_set"), F.lit(fold).alias("fold"), "*"
-            ).write.mode("append").parquet(path)
-    local.rows.unpersist()
-    return spark.read.parquet(path)
+
+    def evaluate_fold(job: tuple[str, int]) -> None:
+        name, fold = job
+        rows = folds.first_test_row(fold)
+        predicted = _predictions(local.train(fold), local.test(fold), feature_sets[name], kinds, rows, settings)
+        confusion(predicted, ["model"]).write.parquet(f"{path}/feature_set={name}/fold={fold}")
+
+    jobs = [(name, fold) for name in feature_sets for fold in range(1, folds.count + 1)]
+    _in_threads(staged, evaluate_fold, jobs, parallelism)
+    staged.unpersist()
+    counts = "model string, label double, prediction double, n bigint, feature_set string, fold int"
+    return spark.read.schema(counts).parquet(path)
 
 
 def mean_accuracy(counts: DataFrame) -> DataFrame:

@@ -41,8 +41,9 @@ class Settings:
     """Knobs shared by the models; the defaults are the full-size ones."""
 
     c: float = 1.0
-    linear_iterations: int = 100
-    svm_iterations: int = 20
+    svm_c: float = 1.0
+    linear_iterations: int = 1000
+    svm_iterations: int = 100
     trees: int = 100
     max_depth: int = 10
     boosting_rounds: int = 100
@@ -50,6 +51,7 @@ class Settings:
     boosting_rate: float = 0.1
     kernel_features: int = 64
     seed: int = 48
+    boosting_seed: int = 48
 
 
 @dataclass(frozen=True)
@@ -146,8 +148,8 @@ def fit(kind: str, train: DataFrame, features: list[str], rows: int, settings: S
         "forest": lambda: RandomForestClassifier(
             numTrees=s.trees, maxDepth=s.max_depth, featureSubsetStrategy="sqrt", seed=s.seed, **columns
         ),
-        "boosted": lambda: GBTClassifier(seed=s.seed, **boosting, **columns),
-        "boosted_regression": lambda: GBTRegressor(seed=s.seed, **boosting, **columns),
+        "boosted": lambda: GBTClassifier(seed=s.boosting_seed, **boosting, **columns),
+        "boosted_regression": lambda: GBTRegressor(seed=s.boosting_seed, **boosting, **columns),
     }
     model = estimators[kind]().fit(prepare(train).select("_features", "label"))
     return _predictor(model, prepare, rounded=kind == "boosted_regression")
@@ -157,7 +159,7 @@ def _fit_svm(kind: str, train: DataFrame, features: list[str], rows: int, s: Set
     svm = LinearSVC(
         featuresCol="_features",
         labelCol="label",
-        regParam=1.0 / (s.c * rows),
+        regParam=1.0 / (s.svm_c * rows),
         maxIter=s.svm_iterations,
         standardization=False,
     )
@@ -176,7 +178,7 @@ def _fit_svm(kind: str, train: DataFrame, features: list[str], rows: int, s: Set
     # one-vs-rest wants classes 0..n-1, each present; the class list is as long as the model itself
     classes = sorted(row["label"] for row in train.select("label").distinct().collect())
     positions = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
-    many = OneVsRest(classifier=svm, featuresCol="_features", labelCol="label", parallelism=4)
+    many = OneVsRest(classifier=svm, featuresCol="_features", labelCol="label", parallelism=8)
     model = many.fit(ready.withColumn("label", positions[F.col("label")]))
     names = F.array(*[F.lit(c) for c in classes])
 

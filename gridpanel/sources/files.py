@@ -31,7 +31,7 @@ def arff_rows(lines: DataFrame, schema: str, column: str = "value") -> DataFrame
     """Typed rows from ARFF text lines; header, comment and blank lines are skipped, ``?`` is NULL."""
     text = F.trim(column)
     data = lines.filter((text != "") & ~F.substring(text, 1, 1).isin("@", "%"))
-    options = {"nullValue": "?", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    options = {"quote": "'", "nullValue": "?", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
     return data.select(F.from_csv(text, schema, options).alias("r")).select("r.*")
 
 
@@ -39,6 +39,13 @@ def read_arff(spark: SparkSession, path: str, schema: str | None = None) -> Data
     return arff_rows(spark.read.text(path), schema or arff_schema(spark, path))
 
 
+def _quoted(text: Column) -> Column:
+    """Values with spaces, commas, quotes or the like in single quotes."""
+    inner = F.regexp_replace(F.regexp_replace(text, r"\\", r"\\\\"), "'", r"\\'")
+    special = text.rlike(r"[\s,{}%'\"\\?]") | (text == "")
+    return F.when(special, F.concat(F.lit("'"), inner, F.lit("'"))).otherwise(text)
+
+
 def arff_lines(
     df: DataFrame, relation: str, attributes: dict[str, str], order: list[str | Column] | None = None
 ) -> DataFrame:
@@ -53,7 +60,7 @@ def arff_lines(
     head += ["", "@DATA"]
     header = spark.range(1).select(F.posexplode(F.array(*[F.lit(text) for text in head])).alias("_at", "line"))
     header = header.select((F.col("_at") - len(head)).alias("_rank"), "line")
-    values = [F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in attributes]
+    values = [F.coalesce(_quoted(F.col(c).cast("string")), F.lit("?")) for c in attributes]
     keys = [f"_k{i}" for i in range(len(order or []))]
     rows = df.select(
         F.lit(0).alias("_rank"),

@@ -26,6 +26,12 @@ def create_tables(spark: SparkSession, root: str) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{name}")
 
 
+def register_views(spark: SparkSession, root: str) -> None:
+    """Temporary views of all tables, for SQL text."""
+    for name in TABLES:
+        read_table(spark, root, name).createOrReplaceTempView(name)
+
+
 def append(df: DataFrame, root: str, name: str) -> None:
     columns = [field.split()[0] for field in TABLES[name].split(", ")]
     df.select(*columns).write.mode("append").parquet(f"{root}/{name}")

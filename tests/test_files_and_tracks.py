@@ -100,6 +100,14 @@ def test_arff_round_trip(spark, tmp_path):
     assert lines[6:] == ["?,IN", "-1,IN", "4,OUT"]
 
 
+def test_arff_quotes_special_values(spark):
+    values = ["plain", "two words", "a,b", "it's", "back\\slash", ""]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n int, t string")
+    lines = files.arff_lines(df, "demo", {"n": "NUMERIC", "t": "STRING"}, ["n"])
+    back = files.arff_rows(lines, "n int, t string", "line")
+    assert [(r.n, r.t or "") for r in back.orderBy("n").collect()] == list(enumerate(values))
+
+
 def test_point_files(spark, tmp_path):
     (tmp_path / "p.txt").write_text("1.5,2.5\n-3,4\n")
     (tmp_path / "p.json").write_text('[{"x": 1.5, "y": 2.5, "corner": "1"}]')

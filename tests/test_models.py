@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gridpanel.plans import compare, evaluate, models, splits
+from gridpanel.plans import compare, evaluate, models, splits, studies
+from gridpanel.plans.demo_panel import results_from_lineitem
 
 SMALL = models.Settings(
     linear_iterations=20, svm_iterations=10, trees=5, max_depth=4, boosting_rounds=4, kernel_features=8
@@ -92,3 +93,10 @@ def test_folds_and_feature_sets(planted):
     assert set(mean) == {(s, m) for s in sets for m in ("logistic", "forest")}
     assert all(a > 0.8 and n == 2 for a, n in mean.values())
     assert compare.final_report(counts, 2).filter("class = 'accuracy'").count() == 4
+
+
+def test_podium_study_on_the_derived_panel(spark, folder):
+    sets = {"base": FEATURES}
+    counts = studies.podium_finish(results_from_lineitem(spark, folder), 2, sets, ("logistic", "boosted"), SMALL)
+    mean = {r.model: r.accuracy for r in compare.mean_accuracy(counts).collect()}
+    assert set(mean) == {"logistic", "boosted"} and all(value > 0.5 for value in mean.values())
