@@ -12,20 +12,36 @@ from pyspark.sql import functions as F
 
 from gridpanel.operators.keyed import first_per_key
 from gridpanel.operators.ordering import ordered_index
+from gridpanel.scratch import stage
 
 
-def absent(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not stored."""
-    known = stored.select(*[F.col(k).alias(f"_stored_{k}") for k in keys])
-    match = [incoming[k].eqNullSafe(known[f"_stored_{k}"]) for k in keys]
-    return incoming.join(known, match, "left_anti")
+def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> list[Column]:
+    return [left[k].eqNullSafe(right[f"_other_{k}"]) for k in keys]
+
+
+def _keys_of(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
+
+
+def absent(incoming: DataFrame, stored: DataFrame, keys: list[str], small_batch: bool = False) -> DataFrame:
+    """Rows whose key is not stored.
+
+    An anti join cannot broadcast its left side, so a small batch would shuffle
+    the whole stored table. With ``small_batch`` the batch is staged and the
+    stored keys are first narrowed to those in it: a broadcast if the batch's
+    files are small, else a join with the partitioning the anti join needs anyway.
+    """
+    if small_batch:
+        incoming = stage(incoming, "batch")
+        stored = present(stored.select(*keys), incoming, keys)
+    known = _keys_of(stored, keys)
+    return incoming.join(known, _same_key(incoming, known, keys), "left_anti")
 
 
 def present(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is stored."""
-    known = stored.select(*[F.col(k).alias(f"_stored_{k}") for k in keys])
-    match = [incoming[k].eqNullSafe(known[f"_stored_{k}"]) for k in keys]
-    return incoming.join(known, match, "left_semi")
+    known = _keys_of(stored, keys)
+    return incoming.join(known, _same_key(incoming, known, keys), "left_semi")
 
 
 def insert_if_absent(incoming: DataFrame, stored: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

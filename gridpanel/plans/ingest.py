@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridpanel.functions.scalars import composite_id, date_and_time, parse_offset
 from gridpanel.operators import quarantine
 from gridpanel.operators.keyed import first_per_key, last_value
-from gridpanel.operators.upsert import absent, highest, insert_if_absent, mint_keys
+from gridpanel.operators.upsert import absent, highest, insert_if_absent, mint_keys, present
 from gridpanel.scratch import stage
 
 ORDER = ["_file", "ordinal"]
@@ -119,10 +119,13 @@ def load_circuits(
         ),
         "countries",
     )
-    by_name = first_per_key(
-        countries.select("country_id", "country_name").unionByName(new_countries.drop("country_code")),
-        ["country_name"],
-        ["country_id"],
+    by_name = stage(
+        first_per_key(
+            countries.select("country_id", "country_name").unionByName(new_countries.drop("country_code")),
+            ["country_name"],
+            ["country_id"],
+        ),
+        "countries",
     )
     keyed = mint_keys(good, ORDER, "circuit_id", CIRCUIT_BASE, STEP)
     incoming = keyed.join(by_name, "country_name").select(
@@ -134,25 +137,24 @@ def load_circuits(
 
 def fill_external_ids(circuits: DataFrame, incoming: DataFrame) -> DataFrame:
     """Fill a known circuit's missing external id, add unknown circuits, keep all else as stored."""
-    named = circuits.filter(F.col("circuit_short_name").isNotNull())
-    unnamed = circuits.filter(F.col("circuit_short_name").isNull())
-    # within the batch the first non-missing external id of a name wins, as when rows arrive one by one
-    ids = incoming.filter(F.col("external_id").isNotNull()).groupBy("circuit_short_name").agg(
-        F.min_by("external_id", F.struct(*ORDER)).alias("_external_id")
-    )
-    batch = (
-        first_per_key(incoming, ["circuit_short_name"], ORDER)
-        .join(ids, "circuit_short_name", "left")
-        .withColumn("external_id", F.coalesce("external_id", "_external_id"))
-        .drop("_external_id")
+    rest = [c for c in incoming.columns if c != "circuit_short_name"]
+    place = F.struct(*ORDER)
+    # the first row of a name counts; its external id is the first one given, as when rows arrive one by one
+    batch = stage(
+        incoming.groupBy("circuit_short_name")
+        .agg(
+            F.min_by(F.struct(*rest), place).alias("_row"),
+            F.min_by("external_id", F.when(F.col("external_id").isNotNull(), place)).alias("_external_id"),
+        )
+        .select("circuit_short_name", "_row.circuit_id", "_row.country_id", F.col("_external_id").alias("external_id")),
+        "circuits",
     )
-    new = absent(batch, named, ["circuit_short_name"]).select(*circuits.columns)
-    filled = (
-        named.join(ids, "circuit_short_name", "left")
-        .withColumn("external_id", F.coalesce("external_id", "_external_id"))
-        .select(*circuits.columns)
+    ids = batch.select("circuit_short_name", F.col("external_id").alias("_external_id"))
+    filled = circuits.join(ids, "circuit_short_name", "left").withColumn(
+        "external_id", F.coalesce("external_id", "_external_id")
     )
-    return filled.unionByName(unnamed).unionByName(new)
+    new = absent(batch, circuits, ["circuit_short_name"])
+    return filled.select(*circuits.columns).unionByName(new.select(*circuits.columns))
 
 
 def load_sessions(payload: DataFrame, meetings: DataFrame, sessions: DataFrame, season: int) -> Loaded:
@@ -251,30 +253,42 @@ def load_race_meetings(races: DataFrame, circuits: DataFrame, meetings: DataFram
     return Loaded(insert_if_absent(rows, meetings, ["season", "no"], ORDER).drop(*ORDER), bad)
 
 
-def _load_positions(rows: DataFrame, positions: DataFrame, order: list[str]) -> Loaded:
+def _load_positions(rows: DataFrame, positions: DataFrame, small_batch: bool) -> Loaded:
     good, bad = quarantine.split(rows, quarantine.required("driver_number", "position", "session_id"))
-    new = absent(good, positions, ["driver_number", "session_id"])
+    new = absent(good, positions, ["driver_number", "session_id"], small_batch)
     base = highest(positions, "position_id") + 1
-    return Loaded(mint_keys(new, order, "position_id", base, 1).select(*positions.columns), bad)
+    minted = mint_keys(new, ["session_id", "driver_number"], "position_id", base, 1)
+    return Loaded(minted.select(*positions.columns), bad)
 
 
-def load_final_positions(events: DataFrame, sessions: DataFrame, positions: DataFrame) -> Loaded:
+def load_final_positions(
+    events: DataFrame, sessions: DataFrame, positions: DataFrame, small_batch: bool = False
+) -> Loaded:
     """Last position per driver and session of the newer source's event lists."""
-    wanted = sessions.filter(F.col("session_id") < NEW_SOURCE_SESSIONS).select("session_id")
-    relevant = events.join(wanted, events["session_key"] == wanted["session_id"])
-    final = last_value(relevant, ["session_id", "driver_number"], "position", ORDER)
-    return _load_positions(final, positions, ["session_id", "driver_number"])
-
-
-def load_qualifying(results: DataFrame, sessions: DataFrame, meetings: DataFrame, positions: DataFrame) -> Loaded:
-    """First listed position per driver of the qualifying documents."""
+    newer = events.filter(F.col("session_key") < NEW_SOURCE_SESSIONS)
+    # reduced to one row per key before any join, so a session with very many events is no burden
+    final = last_value(newer, ["session_key", "driver_number"], "position", ORDER)
+    rows = final.withColumnRenamed("session_key", "session_id")
+    return _load_positions(present(rows, sessions, ["session_id"]), positions, small_batch)
+
+
+def load_qualifying(
+    results: DataFrame,
+    sessions: DataFrame,
+    meetings: DataFrame,
+    positions: DataFrame,
+    season: int | None = None,
+    small_batch: bool = False,
+) -> Loaded:
+    """First listed position per driver of the qualifying documents, of one season or of all."""
+    asked = meetings if season is None else meetings.filter(F.col("season") == season)
     slots = first_per_key(
         sessions.filter(F.col("session_name") == "Qualifying")
-        .join(meetings.select("meeting_id", "season", F.col("no").alias("round")), "meeting_id")
+        .join(asked.select("meeting_id", "season", F.col("no").alias("round")), "meeting_id")
         .select("season", "round", "session_id"),
         ["season", "round"],
         ["session_id"],
     )
-    rows = results.join(slots, ["season", "round"]).select("session_id", "driver_number", "position", *ORDER)
-    first = first_per_key(rows, ["session_id", "driver_number"], ORDER).drop(*ORDER)
-    return _load_positions(first, positions, ["session_id", "driver_number"])
+    first = first_per_key(results, ["season", "round", "driver_number"], ORDER)
+    rows = first.join(slots, ["season", "round"]).select("session_id", "driver_number", "position")
+    return _load_positions(rows, positions, small_batch)

@@ -28,7 +28,7 @@ def load_new_positions(spark: SparkSession, landing: str, tables: str, checkpoin
     def load(batch: DataFrame, _: int) -> None:
         ordered = batch.withColumn("ordinal", F.monotonically_increasing_id())
         stored = read_table(spark, tables, "positions")
-        new = load_final_positions(ordered, read_table(spark, tables, "sessions"), stored).rows
+        new = load_final_positions(ordered, read_table(spark, tables, "sessions"), stored, small_batch=True).rows
         append(new, tables, "positions")
 
     return (

@@ -67,6 +67,8 @@ def test_insert_if_absent_is_idempotent_and_null_safe(spark):
     assert [tuple(r) for r in new.collect()] == [("y", 7)]
     assert upsert.insert_if_absent(batch, stored.unionByName(new), ["k"], ["o"]).count() == 0
     assert upsert.present(batch, stored, ["k"]).count() == 2
+    narrowed = upsert.absent(batch, stored, ["k"], small_batch=True).collect()
+    assert sorted(tuple(r) for r in narrowed) == sorted(tuple(r) for r in upsert.absent(batch, stored, ["k"]).collect())
 
 
 def test_fill_if_null_keeps_stored_values(spark):
