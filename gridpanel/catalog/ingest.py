@@ -123,7 +123,7 @@ def mint_meetings(spark: SparkSession, folder: str) -> DataFrame:
         F.year("o_orderdate").alias("season"),
         F.col("o_custkey").cast("int").alias("round"),
         F.col("o_orderpriority").alias("race_name"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.to_date("o_orderdate").cast("string").alias("date"),
         F.lit("06:00:00Z").alias("time"),
         F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("external_id"),
         F.lit("orders").alias("_file"),
@@ -248,8 +248,9 @@ def conditional_row_expansion(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_to_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     (events,) = read_inputs(spark, folder, "events")
-    date = F.date_format("ts", "yyyy-MM-dd")
-    time = F.concat(F.date_format("ts", "HH:mm:ss"), F.lit("Z"))
+    clock = F.col("ts").cast("string")
+    date = F.substring(clock, 1, 10)
+    time = F.concat(F.substring(clock, 12, 8), F.lit("Z"))
     parsed = date_and_time(date, time)
     return events.select("event_id", iso_timestamp(parsed).alias("started"), F.hour(parsed).alias("hour"))
 

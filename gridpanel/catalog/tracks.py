@@ -79,7 +79,7 @@ def range_slice(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ts").alias("lap_start"),
         (F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("lap_end"),
     )
-    matched = slice_by_interval(points, laps, ["user_id"], "ts", "lap_start", "lap_end", step_seconds=6 * 3600)
+    matched = slice_by_interval(points, laps, ["user_id"], "ts", "lap_start", "lap_end")
     return matched.select("lap_id", "user_id", "event_id", "value")
 
 

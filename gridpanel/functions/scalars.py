@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 def iso_timestamp(ts: Column) -> Column:
     """``2024-05-26T13:00:00``, with ``.ffffff`` only when there are microseconds."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+    text = ts.cast("string")
+    whole = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+    fraction = F.substring(text, 21, 6)
+    return F.when(fraction == "", whole).otherwise(F.concat(whole, F.lit("."), F.rpad(fraction, 6, "0")))
 
 
 def drop_last_char(text: Column) -> Column:
@@ -19,9 +20,7 @@ def drop_last_char(text: Column) -> Column:
 
 def date_and_time(date: Column, time_with_zone_letter: Column) -> Column:
     """``2014-03-16`` and ``06:00:00Z`` to a timestamp without zone; NULL if malformed."""
-    return F.try_to_timestamp(
-        F.concat_ws(" ", date, drop_last_char(time_with_zone_letter)), F.lit("yyyy-MM-dd HH:mm:ss")
-    ).cast("timestamp_ntz")
+    return F.concat(date, F.lit(" "), drop_last_char(time_with_zone_letter)).try_cast("timestamp_ntz")
 
 
 def offset_seconds(text: Column) -> Column:
@@ -42,17 +41,28 @@ def parse_offset(text: Column) -> Column:
     )
 
 
-def interval_text(interval: Column) -> Column:
-    """``8:00:00``; negative offsets as ``-5:30:00`` (sign first, not as a negative day)."""
+def interval_micros(interval: Column) -> Column:
+    """Length of a day-time interval in microseconds."""
     whole = interval.cast("interval day to second")
 
     def part(unit: str) -> Column:
-        return F.extract(F.lit(unit), whole).cast("bigint")
+        return F.extract(F.lit(unit), whole)
+
+    minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
+
 
-    seconds = ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")) * 60 + part("SECOND")
-    size = F.abs(seconds)
+def clock_micros(ts: Column) -> Column:
+    """Microseconds of a timestamp without zone since 1970, whatever the session's time zone."""
+    return interval_micros(ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def interval_text(interval: Column) -> Column:
+    """``8:00:00``; negative offsets as ``-5:30:00`` (sign first, not as a negative day)."""
+    micros = interval_micros(interval)
+    size = F.floor(F.abs(micros) / 1_000_000)
     text = F.concat(
-        F.when(seconds < 0, F.lit("-")).otherwise(F.lit("")),
+        F.when(micros < 0, F.lit("-")).otherwise(F.lit("")),
         F.format_string("%d:%02d:%02d", F.floor(size / 3600), F.floor(size / 60) % 60, size % 60),
     )
     return F.when(interval.isNotNull(), text)

@@ -2,37 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridpanel.functions.scalars import clock_micros
+from gridpanel.scratch import stage
 
-def slice_by_interval(
-    points: DataFrame,
-    laps: DataFrame,
-    keys: list[str],
-    ts: str,
-    start: str,
-    end: str,
-    step_seconds: int,
-) -> DataFrame:
-    """Join points to the laps with ``start <= ts < end``.
 
-    Time is cut into steps and joined on (keys, step) with plain equality: a
-    lap appears once per step it touches, a point exactly once, so points meet
-    only laps near in time and one busy key spreads over many tasks. Any step
-    gives the same result; a typical lap length is a good one.
-    """
+def _micros(column: str) -> Column:
+    return clock_micros(F.col(column))
+
 
-    def step_of(column):
-        return F.floor(F.unix_micros(column.cast("timestamp")) / F.lit(step_seconds * 1_000_000))
+def slice_by_interval(points: DataFrame, laps: DataFrame, keys: list[str], ts: str, start: str, end: str) -> DataFrame:
+    """Join points to the laps with ``start <= ts < end``.
 
-    last_instant = F.col(end) - F.expr("INTERVAL '0.000001' SECOND")
-    spread = laps.filter(F.col(start) < F.col(end)).withColumn(
-        "_step", F.explode(F.sequence(step_of(F.col(start)), step_of(last_instant)))
+    Time is cut into steps as long as the lap, rounded up to a power of two
+    microseconds (its level), and the join is a plain equality on
+    (keys, level, step). A lap touches two steps at most, a point appears once
+    per level in use, so laps of any mix of lengths stay cheap, points meet
+    only laps near in time, and one busy key spreads over many tasks.
+    """
+    level = F.ceil(F.log2((_micros(end) - _micros(start)).cast("double"))).cast("int")
+    sized = stage(laps.filter(F.col(start) < F.col(end)).withColumn("_level", level), "laps")
+    # at most 63 different levels, whatever the data
+    levels = sorted(row["_level"] for row in sized.select("_level").distinct().collect())
+    spread = (
+        sized.withColumns({"_from": _micros(start), "_to": _micros(end) - 1})
+        .withColumn("_step", F.explode(F.expr("sequence(shiftright(_from, _level), shiftright(_to, _level))")))
+        .drop("_from", "_to")
+    )
+    placed = (
+        points.withColumns({"_at": _micros(ts), "_level": F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))})
+        .withColumn("_step", F.expr("shiftright(_at, _level)"))
+        .drop("_at")
     )
-    placed = points.withColumn("_step", step_of(F.col(ts)))
     return (
-        placed.join(spread, [*keys, "_step"])
+        placed.join(spread, [*keys, "_level", "_step"])
         .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end)))
-        .drop("_step")
+        .drop("_level", "_step")
     )

@@ -102,25 +102,47 @@ def test_error_payload_message_wins(spark):
     assert sorted((r.e for r in got), key=len) == [{"message": "new"}, {"code": "410", "message": "new"}]
 
 
-@pytest.mark.parametrize("step", [7, 60, 86_400])
-def test_interval_slice_equals_brute_force(spark, step):
-    draw = random.Random(step)
+@pytest.mark.parametrize("longest", [1, 40, 400, 100_000])
+def test_interval_slice_equals_brute_force(spark, longest):
+    draw = random.Random(longest)
     start = datetime(2024, 5, 26)
     points = [("hot" if i % 3 else "cold", start + timedelta(seconds=draw.randint(0, 3000)), i) for i in range(300)]
     laps = []
     for j in range(12):
         begin = start + timedelta(seconds=draw.randint(0, 3000), microseconds=draw.randint(0, 1))
-        laps.append(("hot" if j % 2 else "cold", j, begin, begin + timedelta(seconds=draw.randint(-5, 400))))
+        laps.append(("hot" if j % 2 else "cold", j, begin, begin + timedelta(seconds=draw.randint(-5, longest), microseconds=draw.randint(0, 1))))
     matched = slice_by_interval(
         spark.createDataFrame(points, "k string, ts timestamp_ntz, p int"),
         spark.createDataFrame(laps, "k string, lap int, a timestamp_ntz, b timestamp_ntz"),
-        ["k"], "ts", "a", "b", step,
+        ["k"],
+        "ts",
+        "a",
+        "b",
     )
     expected = {(p[2], lap[1]) for p in points for lap in laps if p[0] == lap[0] and lap[2] <= p[1] < lap[3]}
     got = [(r.p, r.lap) for r in matched.collect()]
     assert len(got) == len(set(got)) and set(got) == expected
 
 
+def test_interval_slice_ignores_the_session_time_zone(spark):
+    """02:30 does not exist in this zone on that day; clock times are compared as they are."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        points = spark.createDataFrame([("a", datetime(2024, 3, 10, 2, 30), 1)], "k string, ts timestamp_ntz, p int")
+        lap = [("a", 1, datetime(2024, 3, 10, 2, 0), datetime(2024, 3, 10, 2, 45))]
+        laps = spark.createDataFrame(lap, "k string, lap int, a timestamp_ntz, b timestamp_ntz")
+        assert slice_by_interval(points, laps, ["k"], "ts", "a", "b").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_no_laps_no_rows(spark):
+    points = spark.createDataFrame([("a", datetime(2024, 1, 1), 1)], "k string, ts timestamp_ntz, p int")
+    laps = spark.createDataFrame([], "k string, lap int, a timestamp_ntz, b timestamp_ntz")
+    assert slice_by_interval(points, laps, ["k"], "ts", "a", "b").count() == 0
+
+
 def test_children_are_paged_and_empty_lists_stay(spark):
     parents = spark.createDataFrame([(1,), (2,)], "id int")
     children = spark.createDataFrame([(1, i) for i in range(7)], "id int, c int")
