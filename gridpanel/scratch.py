@@ -9,25 +9,21 @@ and shuffled, with adaptive skew splitting, above it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    """Shared folder for staged tables.
+
+    ``spark.checkpoint.dir`` names it. Where that is unset, a folder of the
+    warehouse is used, which all executors share as well.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if sc.applicationId not in _local_dirs:
-        _local_dirs[sc.applicationId] = tempfile.TemporaryDirectory(prefix="gridpanel-")
-    return _local_dirs[sc.applicationId].name
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -39,3 +35,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> bool:
+    """Delete one staged table by its path (through the file system Spark uses for it)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
