@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.llm import quality, toxicity
+from gridpanel.llm import line_dedup, mixing, quality, toxicity
 from gridpanel.llm.common import fold, read, stage
 
 
@@ -16,6 +16,36 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    applied = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs, min_docs=10, min_points=1))
+    return applied.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM texts
+),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+),
+frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent f USING (key)
+GROUP BY doc_id
+"""
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     stats = stage(quality.document_stats(docs), "quality")
@@ -25,7 +55,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_line_dedup": op2_line_dedup,
+    "op7_mixing": op7_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+}
