@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.llm import line_dedup, mixing, quality, toxicity
+from gridpanel.llm import line_dedup, minhash, mixing, quality, toxicity
 from gridpanel.llm.common import fold, read, stage
 
 
@@ -46,6 +46,40 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs, words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s
+  FROM words
+),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+),
+reach AS (
+  SELECT a AS doc_id, b AS other FROM links
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+),
+heads AS (SELECT doc_id, least(doc_id, min(other)) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN heads USING (doc_id)
+"""
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     stats = stage(quality.document_stats(docs), "quality")
@@ -57,9 +91,11 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op7_mixing": op7_mixing,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op8_minhash_near_dedup": OP8_SQL,
 }
