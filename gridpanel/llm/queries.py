@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.llm import line_dedup, minhash, mixing, quality, toxicity
+from gridpanel.llm import line_dedup, minhash, mixing, packing, quality, toxicity
 from gridpanel.llm.common import fold, read, stage
 
 
@@ -80,6 +80,10 @@ FROM sets LEFT JOIN heads USING (doc_id)
 """
 
 
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     stats = stage(quality.document_stats(docs), "quality")
@@ -92,6 +96,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
