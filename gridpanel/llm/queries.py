@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.llm import line_dedup, minhash, mixing, packing, quality, toxicity
+from gridpanel.llm import line_dedup, minhash, mixing, packing, quality, token_files, toxicity
 from gridpanel.llm.common import fold, read, stage
+from gridpanel.scratch import scratch_path
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,6 +42,15 @@ GROUP BY doc_id
 """
 
 
+def op5_token_files(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    store = scratch_path(spark, "tokens")
+    manifest = token_files.write_tokens(docs, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id=2, folder=store)
+    return token_files.read_documents(spark, manifest, store)
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -94,6 +104,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
+    "op5_token_files": op5_token_files,
     "op7_mixing": op7_mixing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
