@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.llm import line_dedup, minhash, mixing, packing, quality, token_files, toxicity
+from gridpanel.llm import line_dedup, minhash, mixing, packing, quality, token_files, topk, toxicity
 from gridpanel.llm.common import fold, read, stage
 from gridpanel.scratch import scratch_path
 
@@ -42,6 +42,27 @@ GROUP BY doc_id
 """
 
 
+def op3_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+OP3_SQL = """
+WITH valid AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM valid q JOIN valid c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= 5
+"""
+
+
 def op5_token_files(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -104,6 +125,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
+    "op3_exact_top_k": op3_exact_top_k,
     "op5_token_files": op5_token_files,
     "op7_mixing": op7_mixing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
@@ -113,5 +135,6 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op3_exact_top_k": OP3_SQL,
     "op8_minhash_near_dedup": OP8_SQL,
 }
