@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.llm import line_dedup, minhash, mixing, packing, quality, token_files, topk, toxicity
+from gridpanel.llm import context_trees, line_dedup, minhash, mixing, packing, quality, token_files, topk, toxicity
 from gridpanel.llm.common import fold, read, stage
 from gridpanel.scratch import scratch_path
 
@@ -63,6 +63,12 @@ SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= 5
 """
 
 
+def op4_context_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    scored = context_trees.score(docs, fold(F.col("doc_id"), 7) != 2)
+    return scored.withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
+
+
 def op5_token_files(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -126,6 +132,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op3_exact_top_k": op3_exact_top_k,
+    "op4_context_trees": op4_context_trees,
     "op5_token_files": op5_token_files,
     "op7_mixing": op7_mixing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
