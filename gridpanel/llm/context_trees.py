@@ -31,40 +31,21 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpanel.llm import textkit
+from gridpanel.llm import lookup, textkit
 from gridpanel.llm.common import row_id, stage, text_bytes
 from gridpanel.llm.minhash import sorted_groups
 
 DEPTH = 5
 GROUP_BYTES = 16 << 20
-BUCKETS = 64
-GROUPS_PER_SALT = 32
 STRINGS, WORDS = 0, 1
+VALUES = {STRINGS: "<f4", WORDS: "<f8"}
 ONE = np.uint64(1)
 BYTE = np.uint64(8)
 
 
-def _packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
-
-
-def _unpacked(blob: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), kind)
-
-
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted unsigned 64-bit keys, as differences."""
-    return _packed(np.diff(keys, prepend=np.uint64(0)))
-
-
-def unpack_keys(blob: bytes) -> np.ndarray:
-    return np.cumsum(_unpacked(blob, "<u8"), dtype=np.uint64)
-
-
 def byte_strings(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each byte of each text and its end: the DEPTH bytes before it and itself as one number; and its document."""
     rows, length = len(at) - 1, np.diff(at)
@@ -85,20 +66,9 @@ def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return textkit.Hasher(raw, lower=True).ranges(starts, ends), textkit.row_of(first)
 
 
-def bucket_of(kind: int, keys: np.ndarray) -> np.ndarray:
+def bucket_of(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
     chosen = (keys >> BYTE) & np.uint64(0xFFFF) if kind == STRINGS else keys
-    return (textkit.mix(chosen + ONE) % np.uint64(BUCKETS)).astype(np.int64)
-
-
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and their summed counts."""
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(all_keys, kind="stable")
-    all_keys, all_counts = all_keys[order], all_counts[order]
-    heads = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]])) if len(all_keys) else np.zeros(0, np.int64)
-    return all_keys[heads], np.add.reduceat(all_counts, heads) if len(heads) else np.zeros(0, np.int64)
+    return (textkit.mix(chosen + ONE) % np.uint64(buckets)).astype(np.int64)
 
 
 def log_gamma(z: np.ndarray) -> np.ndarray:
@@ -204,7 +174,7 @@ def _grouped(docs: DataFrame, groups: int, trains: Column) -> DataFrame:
     return docs.select(group, ids, F.col("text").cast("string").alias("text"), trains.alias("trains"))
 
 
-def requests(grouped: DataFrame) -> DataFrame:
+def requests(grouped: DataFrame, buckets: int) -> DataFrame:
     """kind, bucket, group, keys, counts: each group's distinct strings and words with their training counts."""
 
     def collect(batches):
@@ -215,44 +185,18 @@ def requests(grouped: DataFrame) -> DataFrame:
                 for first, _, raw, at in textkit.chunks(batch):
                     for kind, (keys, document) in ((STRINGS, byte_strings(raw, at)), (WORDS, words(raw, at))):
                         code, distinct = pd.factorize(keys)
-                        own, n = _merge([distinct], [np.bincount(code, trains[first + document], len(distinct)).astype(np.int64)])
+                        own, n = lookup.merge([distinct], [np.bincount(code, trains[first + document], len(distinct)).astype(np.int64)])
                         found[kind][0].append(own)
                         found[kind][1].append(n)
             group = rows.column("group")[0].as_py()
             for kind, parts in found.items():
-                keys, counts = _merge(*parts)
-                bucket = bucket_of(kind, keys)
-                out = [(b, pack_keys(keys[mine]), _packed(counts[mine])) for b in np.unique(bucket) for mine in [bucket == b]]
-                if out:
-                    buckets, key_blobs, count_blobs = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(out), pa.int32()), pa.array(buckets, pa.int64()), pa.array([group] * len(out), pa.int64()), pa.array(key_blobs, pa.binary()), pa.array(count_blobs, pa.binary())], ["kind", "bucket", "group", "keys", "counts"])
+                keys, counts = lookup.merge(*parts)
+                rows_out = lookup.request(kind, group, bucket_of(kind, keys, buckets), keys, counts)
+                if rows_out is not None:
+                    yield rows_out
 
     dealt = grouped.repartition("group").sortWithinPartitions("group")
-    return dealt.mapInArrow(collect, "kind int, bucket long, group long, keys binary, counts binary")
-
-
-def _task(*parts: str) -> Column:
-    return F.xxhash64(*parts)
-
-
-def _salt() -> Column:
-    return F.expr(f"group div {GROUPS_PER_SALT}")
-
-
-def merged(rows: DataFrame) -> DataFrame:
-    """Counts of equal keys summed per task. rows: task, kind, bucket, keys, counts."""
-
-    def merge(batches):
-        for group in sorted_groups(batches, "task"):
-            keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            for k, c in zip(group.column("keys").to_pylist(), group.column("counts").to_pylist(), strict=True):
-                keys, counts = _merge([keys, unpack_keys(k)], [counts, _unpacked(c, "<i8")])
-            ends = [pa.array([group.column(n)[0].as_py()], t) for n, t in (("kind", pa.int32()), ("bucket", pa.int64()))]
-            totals = [pa.array([int(counts.sum())], pa.int64()), pa.array([int((counts > 0).sum())], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*ends, pa.array([pack_keys(keys)], pa.binary()), pa.array([_packed(counts)], pa.binary()), *totals], ["kind", "bucket", "keys", "counts", "total", "known"])
-
-    dealt = rows.select("task", "kind", "bucket", "keys", "counts").repartition("task").sortWithinPartitions("task")
-    return dealt.mapInArrow(merge, "kind int, bucket long, keys binary, counts binary, total long, known long")
+    return dealt.mapInArrow(collect, lookup.REQUEST)
 
 
 def short_contexts(model: DataFrame) -> ShortContexts:
@@ -261,7 +205,7 @@ def short_contexts(model: DataFrame) -> ShortContexts:
     def weigh(batches):
         for batch in batches:
             for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                yield pa.RecordBatch.from_pandas(Subtrees(unpack_keys(keys), _unpacked(counts, "<i8")).shorter(), preserve_index=False)
+                yield pa.RecordBatch.from_pandas(Subtrees(lookup.unpack_keys(keys), lookup.unpacked(counts, "<i8")).shorter(), preserve_index=False)
 
     parts = model.where(F.col("kind") == STRINGS).select("keys", "counts").mapInArrow(weigh, "near long, prefix long, below double, zeros double, ones double")
     return ShortContexts(parts.groupBy("near", "prefix").agg(*[F.sum(c).alias(c) for c in ("below", "zeros", "ones")]).orderBy("near", "prefix").toPandas())
@@ -274,39 +218,14 @@ def with_values(model: DataFrame, short: ShortContexts) -> DataFrame:
         for batch in batches:
             out = []
             for kind, keys, counts in zip(*(batch.column(n).to_pylist() for n in ("kind", "keys", "counts")), strict=True):
-                n = _unpacked(counts, "<i8")
-                out.append(_packed(Subtrees(unpack_keys(keys), n).log10_values(short).astype("<f4") if kind == STRINGS else np.log10(n + 1.0)))
+                n = lookup.unpacked(counts, "<i8")
+                out.append(lookup.packed(Subtrees(lookup.unpack_keys(keys), n).log10_values(short).astype("<f4") if kind == STRINGS else np.log10(n + 1.0)))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("kind", "bucket", "keys")), pa.array(out, pa.binary())], ["kind", "bucket", "keys", "values"])
 
     return model.select("kind", "bucket", "keys", "counts").mapInArrow(value, "kind int, bucket long, keys binary, values binary")
 
 
-def answers(asked: DataFrame, valued: DataFrame) -> DataFrame:
-    """group, kind, bucket, values in the order of each request's keys. A task holds one bucket's values."""
-    salts = asked.select("kind", "bucket", _salt().alias("salt")).distinct()
-    model = valued.join(salts, ["kind", "bucket"]).select(_task("kind", "bucket", "salt").alias("task"), F.lit(-1).cast("long").alias("group"), "kind", "bucket", "keys", "values")
-    rows = asked.select(_task("kind", "bucket", _salt()).alias("task"), "group", "kind", "bucket", "keys", F.lit(None).cast("binary").alias("values"))
-
-    def answer(batches):
-        task = keys = values = None
-        for batch in batches:
-            out = []
-            for t, group, kind, key_blob, value_blob in zip(*(batch.column(n).to_pylist() for n in ("task", "group", "kind", "keys", "values")), strict=True):
-                if group < 0:
-                    task, keys, values = t, unpack_keys(key_blob), _unpacked(value_blob, "<f4" if kind == STRINGS else "<f8")
-                    out.append(None)
-                    continue
-                if t != task:
-                    raise RuntimeError("a request came before its bucket's values")
-                out.append(_packed(values[np.searchsorted(keys, unpack_keys(key_blob))]))
-            done = pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("group", "kind", "bucket")), pa.array(out, pa.binary())], ["group", "kind", "bucket", "values"])
-            yield done.filter(pa.array([v is not None for v in out], pa.bool_()))
-
-    dealt = rows.unionByName(model).repartition("task").sortWithinPartitions("task", "group")
-    return dealt.mapInArrow(answer, "group long, kind int, bucket long, values binary")
-
-
-def _sums(grouped: DataFrame, answered: DataFrame, train_documents: int) -> DataFrame:
+def _sums(grouped: DataFrame, answered: DataFrame, train_documents: int, buckets: int) -> DataFrame:
     """Per document: doc_id, n_tokens, n_known, sum of log10(count + 1), score."""
     nothing = {"doc_id": "long", "text": "string", "kind": "int", "bucket": "long", "values": "binary"}
     texts = grouped.select("group", F.lit(1).alias("part"), "doc_id", "text", *[F.lit(None).cast(nothing[c]).alias(c) for c in ("kind", "bucket", "values")])
@@ -319,7 +238,7 @@ def _sums(grouped: DataFrame, answered: DataFrame, train_documents: int) -> Data
             if not len(documents):
                 continue
             blobs = {(k, b): v for k, b, v in zip(*(replies.column(c).to_pylist() for c in ("kind", "bucket", "values")), strict=True)}
-            lookups = {kind: _lookup(documents, kind, blobs) for kind in (STRINGS, WORDS)}
+            lookups = {kind: _lookup(documents, kind, blobs, buckets) for kind in (STRINGS, WORDS)}
             for batch in documents.to_batches():
                 sums = [[], [], [], []]
                 for first, end, raw, at in textkit.chunks(batch):
@@ -341,22 +260,14 @@ def _sums(grouped: DataFrame, answered: DataFrame, train_documents: int) -> Data
     return dealt.mapInArrow(add, "doc_id long, n_tokens long, n_known long, logs double, score double")
 
 
-def _lookup(documents: pa.Table, kind: int, blobs: dict) -> tuple[pd.Index, np.ndarray]:
+def _lookup(documents: pa.Table, kind: int, blobs: dict, buckets: int) -> tuple[pd.Index, np.ndarray]:
     """The group's distinct keys, as they were asked for, and their values."""
     parts = []
     for batch in documents.to_batches():
         for _, _, raw, at in textkit.chunks(batch):
             parts.append(pd.unique((byte_strings if kind == STRINGS else words)(raw, at)[0]))
     keys = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-    values = np.zeros(len(keys))
-    bucket = bucket_of(kind, keys)
-    order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
-    for b in range(BUCKETS):
-        mine = order[edges[b] : edges[b + 1]]
-        if len(mine):
-            values[mine] = _unpacked(blobs[kind, b], "<f4" if kind == STRINGS else "<f8")
-    return pd.Index(keys), values
+    return pd.Index(keys), lookup.fill(blobs, kind, VALUES[kind], bucket_of(kind, keys, buckets))
 
 
 def score(docs: DataFrame, trains: Column) -> DataFrame:
@@ -364,12 +275,12 @@ def score(docs: DataFrame, trains: Column) -> DataFrame:
     groups = max(64, math.ceil(text_bytes(docs) / GROUP_BYTES))
     grouped = _grouped(docs, groups, trains)
     train_documents = docs.where(trains).count()
-    asked = stage(requests(grouped), "ctw-requests")
-    salted = merged(asked.withColumn("task", _task("kind", "bucket", _salt())))
-    model = stage(merged(salted.withColumn("task", _task("kind", "bucket"))), "ctw-model")
+    buckets = groups  # each holds about as many distinct keys as a group, whatever the input's size
+    asked = stage(requests(grouped, buckets), "ctw-requests")
+    model = stage(lookup.merged(asked, groups), "ctw-model")
     valued = stage(with_values(model, short_contexts(model)), "ctw-values")
     total, known = model.where(F.col("kind") == WORDS).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     tokens, vocabulary = total + train_documents, known + (train_documents > 0)
-    scored = _sums(grouped, answers(asked, valued), train_documents)
+    scored = _sums(grouped, lookup.answers(asked, valued, groups, VALUES), train_documents, buckets)
     base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(tokens + vocabulary + 1))
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
