@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.llm import context_trees, line_dedup, minhash, mixing, packing, quality, token_files, topk, toxicity
+from gridpanel.llm import context_trees, line_dedup, minhash, mixing, packing, quality, suffix_dedup, token_files, topk, toxicity
 from gridpanel.llm.common import fold, read, stage
 from gridpanel.scratch import scratch_path
 
@@ -78,6 +78,12 @@ def op5_token_files(spark: SparkSession, folder: str, tokenizer: str | None = No
     return token_files.read_documents(spark, manifest, store)
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(read(spark, folder, "documents").select("doc_id", "text"), length=50)
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long")
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -134,6 +140,7 @@ QUERIES = {
     "op3_exact_top_k": op3_exact_top_k,
     "op4_context_trees": op4_context_trees,
     "op5_token_files": op5_token_files,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_mixing": op7_mixing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
