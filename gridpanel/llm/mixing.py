@@ -83,7 +83,7 @@ def mix(
     sized = stage(docs.select("doc_id", F.xxhash64(*docs.columns).alias("_row"), "source", size.alias("size")), "mix-sizes")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeat)
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    sources = sources.withColumn("blocks", blocks).withColumn("slots", F.coalesce(F.round(F.col("target") * F.col("blocks") / F.col("source_size")), F.lit(0)).cast("long"))
+    sources = sources.withColumn("blocks", blocks).withColumn("slots", F.coalesce(F.round(F.try_divide(F.col("target") * F.col("blocks"), F.col("source_size"))), F.lit(0)).cast("long"))
     sources = stage(sources.withColumn("first_slot", F.sum("slots").over(Window.orderBy("index")) - F.col("slots")), "mix-sources")
     n_docs, n_slots = sized.count(), sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
 
