@@ -121,6 +121,8 @@ def answers(asked: DataFrame, valued: DataFrame, groups: int, kinds: Mapping[int
 def fill(blobs: Mapping[tuple[int, int], bytes], kind: int, dtype: str, bucket: np.ndarray) -> np.ndarray:
     """Values of sorted keys from a group's answers, given the keys' buckets."""
     values = np.zeros(len(bucket))
+    if not len(bucket):
+        return values
     order = np.argsort(bucket, kind="stable")
     found, heads = np.unique(bucket[order], return_index=True)
     for b, mine in zip(found.tolist(), np.split(order, heads[1:]), strict=True):
