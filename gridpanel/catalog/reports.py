@@ -162,7 +162,7 @@ UNION ALL SELECT {key} 'weighted avg', round(sum(p * support) / sum(support), 6)
 
 
 _SCALED = ["previous_race_pos", "previous_year_pos", "qualy_pos", "gain", "sprint_pos"]
-_HASHED = "((({key} % 2147483647) + 42) * 48271) % 2147483647 % 100 < 20"
+_HASHED = "CAST('0x' || left(md5({key} || ':42'), 8) AS BIGINT) % 100 < 20"
 
 SQL = {
     "expanding_window_folds": _folds_sql(FOLDS) + "SELECT position_id, row_index, test_fold FROM folds",

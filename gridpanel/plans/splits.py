@@ -9,19 +9,16 @@ from pyspark.sql import functions as F
 
 from gridpanel.operators.ordering import ordered_index
 
-# multiplier and modulus of the classic minimal-standard generator
-_MULTIPLIER = 48_271
-_MODULUS = 2_147_483_647
-
 
 def holdout(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
-    """Add ``part`` (train / test) from a hash of a numeric key.
+    """Add ``part`` (train / test) from a mixing hash of a key, of any type that has a text form.
 
     The same key always falls on the same side, on any cluster and after any
-    retry, which a random draw per partition does not promise.
+    retry, and the side says nothing about the digits of the key.
     """
-    scrambled = ((F.pmod(F.col(key), F.lit(_MODULUS)) + seed) * _MULTIPLIER) % _MODULUS
-    return df.withColumn("part", F.when(scrambled % 100 < test_percent, "test").otherwise("train"))
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("part", F.when(number % 100 < test_percent, "test").otherwise("train"))
 
 
 class Folds(NamedTuple):

@@ -47,6 +47,13 @@ def test_holdout_share_and_stability(spark):
     assert again == splits.holdout(spark.range(20_000), "id").filter("part = 'test'").agg(F.sum("id")).first()[0]
 
 
+def test_holdout_says_nothing_about_the_key(spark):
+    # keys that end in the class, as minted ones do
+    keys = spark.range(20_000).selectExpr("cast(id * 20 + id % 20 as int) AS key", "id % 20 AS label")
+    parts = splits.holdout(keys, "key").groupBy("label").agg(F.avg(F.expr("int(part = 'test')")).alias("share")).collect()
+    assert len(parts) == 20 and all(0.15 < r.share < 0.25 for r in parts)
+
+
 def test_scaling_centres_and_handles_constants(spark):
     df = spark.createDataFrame([(1, 5), (2, 5), (3, 5)], "a int, b int")
     scaled = models.fit_scaling(df, ["a", "b"]).apply(df).orderBy("a").collect()
