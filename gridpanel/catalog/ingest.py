@@ -13,6 +13,8 @@ from gridpanel.plans import ingest
 from gridpanel.sources.tables import read_inputs
 
 CUT = "1998-01-01"
+# every seventh user stands for a session of the older source, from this id on
+OLDER = 1_000_000_000_000
 
 
 def snowflake_join_chain(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,10 +141,10 @@ def highest_key(spark: SparkSession, folder: str) -> DataFrame:
     """Next meeting key per source table: the highest key in use plus the step."""
     orders, customer = read_inputs(spark, folder, "orders", "customer")
     parts = [
-        df.agg(F.lit(name).alias("source"), (F.max(key) + ingest.STEP).alias("next_key"))
+        (name, highest(df, key) + ingest.STEP)
         for df, key, name in [(orders, "o_orderkey", "orders"), (customer, "c_custkey", "customer")]
     ]
-    return parts[0].unionByName(parts[1])
+    return spark.createDataFrame(parts, "source string, next_key bigint")
 
 
 def external_id_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,7 +217,7 @@ def final_positions(spark: SparkSession, folder: str) -> DataFrame:
     (events,) = read_inputs(spark, folder, "events")
     k = F.expr("try_cast(get_json_object(props, '$.k') AS int)")
     lists = events.select(
-        F.col("user_id").alias("session_key"),
+        F.when(F.col("user_id") % 7 == 0, F.col("user_id") + OLDER).otherwise(F.col("user_id")).alias("session_key"),
         k.alias("driver_number"),
         F.length("event_type").alias("position"),
         F.lit("events").alias("_file"),
@@ -228,9 +230,11 @@ def final_positions(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.min("ordinal").alias("position_id"), F.min("position").alias("position"))
         .select("position_id", "driver_number", "position", "session_id")
     )
-    sessions = lists.select(F.col("session_key").alias("session_id")).distinct()
-    rows = ingest.load_final_positions(lists, sessions, stored).rows
-    return rows.select("position_id", "session_id", "driver_number", "position")
+    sessions = lists.select(F.col("session_key").alias("session_id")).filter("session_id % 11 <> 0").distinct()
+    loaded = ingest.load_final_positions(lists, sessions, stored, below=OLDER)
+    columns = ["session_id", F.coalesce("driver_number", F.lit(-1)).alias("driver_number"), "position"]
+    good = loaded.rows.select("position_id", *columns, F.lit("").alias("reason"))
+    return good.unionByName(loaded.rejected.select(F.lit(-1).cast("bigint").alias("position_id"), *columns, "reason"))
 
 
 def conditional_row_expansion(spark: SparkSession, folder: str) -> DataFrame:
@@ -344,13 +348,13 @@ stored_circuits AS (
   FROM source WHERE p_size > 40 GROUP BY circuit_name
 ),
 new_countries AS (
-  SELECT 50000 + 10 * (row_number() OVER (ORDER BY min(p_partkey)) - 1) AS country_id, country_name
+  SELECT greatest(50000, (SELECT max(country_id) + 10 FROM stored_countries)) + 10 * (row_number() OVER (ORDER BY min(p_partkey)) - 1) AS country_id, country_name
   FROM source WHERE country_name NOT IN (SELECT country_name FROM stored_countries) GROUP BY country_name
 ),
 all_countries AS (
   SELECT country_id, country_name FROM stored_countries UNION ALL SELECT country_id, country_name FROM new_countries
 ),
-keyed AS (SELECT *, 100000 + 10 * (row_number() OVER (ORDER BY p_partkey) - 1) AS circuit_id FROM source),
+keyed AS (SELECT *, greatest(100000, (SELECT max(circuit_id) + 10 FROM stored_circuits)) + 10 * (row_number() OVER (ORDER BY p_partkey) - 1) AS circuit_id FROM source),
 first_rows AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY circuit_name ORDER BY p_partkey) = 1)
 """
 
@@ -438,21 +442,30 @@ SELECT user_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
     "final_positions": """
 WITH lists AS (
-  SELECT event_id, user_id AS session_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS driver_number,
+  SELECT event_id, CASE WHEN user_id % 7 = 0 THEN user_id + 1000000000000 ELSE user_id END AS session_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS driver_number,
          CAST(length(event_type) AS INTEGER) AS position, event_type
   FROM events
 ),
 stored AS (
   SELECT session_id, driver_number, min(event_id) AS position_id FROM lists WHERE event_type = 'purchase' GROUP BY ALL
 ),
+judged AS (
+  SELECT *, CASE WHEN driver_number IS NULL THEN 'The "driver_number" parameter is missing.'
+                 WHEN session_id >= 1000000000000 THEN 'Session of the older source' ELSE '' END AS reason
+  FROM lists
+),
 final AS (
-  SELECT session_id, driver_number, position FROM lists
-  WHERE session_id < 10000
+  SELECT session_id, driver_number, position FROM judged
+  WHERE reason = ''
   QUALIFY row_number() OVER (PARTITION BY session_id, driver_number ORDER BY event_id DESC) = 1
 )
 SELECT (SELECT max(position_id) FROM stored) + row_number() OVER (ORDER BY session_id, driver_number) AS position_id,
-       session_id, driver_number, position
-FROM final ANTI JOIN stored USING (session_id, driver_number)""",
+       session_id, driver_number, position, '' AS reason
+FROM final ANTI JOIN stored USING (session_id, driver_number) WHERE session_id % 11 <> 0
+UNION ALL
+SELECT -1, session_id, driver_number, position, 'Unknown session' FROM final WHERE session_id % 11 = 0
+UNION ALL
+SELECT -1, session_id, coalesce(driver_number, -1), position, reason FROM judged WHERE reason <> ''""",
     "conditional_row_expansion": """
 WITH entries AS (
   SELECT *, unnest([

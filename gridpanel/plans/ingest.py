@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 from gridpanel.functions.scalars import composite_id, date_and_time, parse_offset
 from gridpanel.operators import quarantine
 from gridpanel.operators.keyed import first_per_key, last_value
-from gridpanel.operators.upsert import absent, highest, insert_if_absent, mint_keys, present
+from gridpanel.operators.upsert import absent, highest, insert_if_absent, mint_keys
 from gridpanel.scratch import stage
+from gridpanel.sources.landing import CORRUPT
 
 ORDER = ["_file", "ordinal"]
 COUNTRY_BASE = 50_000
 CIRCUIT_BASE = 100_000
 STEP = 10
-# session ids below this bound belong to the newer source
+# stored session ids below this bound belong to the newer source
 NEW_SOURCE_SESSIONS = 10_000
 
 
@@ -55,6 +56,15 @@ def seasons_to_load(
     return wanted.join(known, match, "left").select(*keys, action.alias("action"), "reason")
 
 
+def _started() -> Column:
+    return F.expr("try_cast(left(date_start, 19) AS timestamp_ntz)")
+
+
+def unreadable(df: DataFrame) -> list[tuple[str, Column]]:
+    """The rule that keeps documents aside which could not be parsed, where the reader tells."""
+    return [("Unreadable document", F.col(CORRUPT).isNotNull())] if CORRUPT in df.columns else []
+
+
 def load_meetings(
     payload: DataFrame, countries: DataFrame, circuits: DataFrame, meetings: DataFrame
 ) -> dict[str, Loaded]:
@@ -62,11 +72,14 @@ def load_meetings(
     good, bad = quarantine.split(
         payload,
         [
+            *unreadable(payload),
             *quarantine.required("meeting_key", "circuit_key", "country_key"),
             quarantine.too_long("country_code", 4),
             quarantine.too_long("country_name", 255),
             quarantine.too_long("meeting_name", 255),
             quarantine.too_long("meeting_official_name", 500),
+            ("Malformed date or time", F.col("date_start").isNotNull() & _started().isNull()),
+            ("Malformed offset", F.col("gmt_offset").isNotNull() & parse_offset(F.col("gmt_offset")).isNull()),
         ],
     )
     country_rows = good.select(
@@ -84,7 +97,7 @@ def load_meetings(
         "meeting_name",
         "meeting_official_name",
         F.col("circuit_key").alias("circuit_id"),
-        F.expr("try_cast(left(date_start, 19) AS timestamp_ntz)").alias("date_start"),
+        _started().alias("date_start"),
         parse_offset(F.col("gmt_offset")).alias("gmt_offset"),
         F.col("year").alias("season"),
         F.lit(None).cast("int").alias("no"),
@@ -108,26 +121,26 @@ def load_circuits(
 
     Countries are matched by name and minted only when new; every source row
     uses up a circuit key, whether or not its circuit is new; a known circuit
-    only gets its missing external id.
+    only gets its missing external id. Keys start above the stored ones, so a
+    later load never gives one out again.
     """
-    good, bad = quarantine.split(source, quarantine.required("circuit_name", "country_name"))
+    good, bad = quarantine.split(source, [*unreadable(source), *quarantine.required("circuit_name", "country_name")])
     named = good.select("country_name", *ORDER)
     unknown = insert_if_absent(named, countries, ["country_name"], ORDER)
+    country_base = max(COUNTRY_BASE, highest(countries, "country_id") + STEP)
+    circuit_base = max(CIRCUIT_BASE, highest(circuits, "circuit_id") + STEP)
     new_countries = stage(
-        mint_keys(unknown, ORDER, "country_id", COUNTRY_BASE, STEP).select(
+        mint_keys(unknown, ORDER, "country_id", country_base, STEP).select(
             "country_id", F.lit(None).cast("string").alias("country_code"), "country_name"
         ),
         "countries",
     )
-    by_name = stage(
-        first_per_key(
-            countries.select("country_id", "country_name").unionByName(new_countries.drop("country_code")),
-            ["country_name"],
-            ["country_id"],
-        ),
-        "countries",
+    by_name = first_per_key(
+        countries.select("country_id", "country_name").unionByName(new_countries.drop("country_code")),
+        ["country_name"],
+        ["country_id"],
     )
-    keyed = mint_keys(good, ORDER, "circuit_id", CIRCUIT_BASE, STEP)
+    keyed = mint_keys(good, ORDER, "circuit_id", circuit_base, STEP)
     incoming = keyed.join(by_name, "country_name").select(
         "circuit_id", F.col("circuit_name").alias("circuit_short_name"), "country_id", "external_id", *ORDER
     )
@@ -158,10 +171,19 @@ def fill_external_ids(circuits: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def load_sessions(payload: DataFrame, meetings: DataFrame, sessions: DataFrame, season: int) -> Loaded:
-    """New sessions of a season's meetings, payloads landed per meeting."""
-    good, bad = quarantine.split(payload, quarantine.required("session_key", "meeting_key"))
-    wanted = meetings.filter(F.col("season") == season).select("meeting_id")
-    rows = good.join(wanted, good["meeting_key"] == wanted["meeting_id"]).select(
+    """New sessions of a season's meetings, payloads landed per meeting; all others are kept aside with a reason."""
+    known = meetings.select("meeting_id", F.col("season").alias("_season"))
+    placed = payload.join(known, payload["meeting_key"] == known["meeting_id"], "left")
+    good, bad = quarantine.split(
+        placed,
+        [
+            *unreadable(payload),
+            *quarantine.required("session_key", "meeting_key"),
+            ("Unknown meeting", F.col("meeting_id").isNull()),
+            ("Meeting of another season", ~F.col("_season").eqNullSafe(F.lit(season))),
+        ],
+    )
+    rows = good.select(
         F.col("session_key").alias("session_id"),
         F.lit(None).cast("int").alias("og_session_id"),
         "session_type",
@@ -209,7 +231,7 @@ def load_race_sessions(races: DataFrame, meetings: DataFrame, sessions: DataFram
     matched = races.join(known, (races["season"] == known["season"]) & (races["round"] == known["no"]), "left").select(
         *[races[c] for c in races.columns], "meeting_id"
     )
-    good, bad = quarantine.split(matched, [("No meeting for this season and round", F.col("meeting_id").isNull())])
+    good, bad = quarantine.split(matched, [*unreadable(races), ("No meeting for this season and round", F.col("meeting_id").isNull())])
     rows = session_rows(good).withColumn("og_session_id", F.lit(None).cast("int"))
     new = insert_if_absent(rows, sessions, ["session_id"], ORDER)
     return Loaded(new.select(*sessions.columns), bad)
@@ -234,6 +256,7 @@ def load_race_meetings(races: DataFrame, circuits: DataFrame, meetings: DataFram
     good, bad = quarantine.split(
         found,
         [
+            *unreadable(races),
             *quarantine.required("season", "round"),
             ("Unknown circuit", F.col("circuit_id").isNull()),
             ("Malformed date or time", F.col("date_start").isNull()),
@@ -253,23 +276,38 @@ def load_race_meetings(races: DataFrame, circuits: DataFrame, meetings: DataFram
     return Loaded(insert_if_absent(rows, meetings, ["season", "no"], ORDER).drop(*ORDER), bad)
 
 
-def _load_positions(rows: DataFrame, positions: DataFrame, small_batch: bool) -> Loaded:
-    good, bad = quarantine.split(rows, quarantine.required("driver_number", "position", "session_id"))
-    new = absent(good, positions, ["driver_number", "session_id"], small_batch)
+def _load_positions(rows: DataFrame, rejected: DataFrame, positions: DataFrame, small_batch: bool) -> Loaded:
+    new = absent(rows, positions, ["driver_number", "session_id"], small_batch)
     base = highest(positions, "position_id") + 1
     minted = mint_keys(new, ["session_id", "driver_number"], "position_id", base, 1)
-    return Loaded(minted.select(*positions.columns), bad)
+    return Loaded(minted.select(*positions.columns), rejected)
 
 
 def load_final_positions(
-    events: DataFrame, sessions: DataFrame, positions: DataFrame, small_batch: bool = False
+    events: DataFrame,
+    sessions: DataFrame,
+    positions: DataFrame,
+    small_batch: bool = False,
+    below: int | None = NEW_SOURCE_SESSIONS,
 ) -> Loaded:
-    """Last position per driver and session of the newer source's event lists."""
-    newer = events.filter(F.col("session_key") < NEW_SOURCE_SESSIONS)
+    """Last valid position per driver and session of the newer source's event lists.
+
+    ``below``: session ids from there on belong to the older source (None: no
+    bound). Invalid events, and results without a stored session, are kept
+    aside with a reason.
+    """
+    older = [] if below is None else [("Session of the older source", F.col("session_key") >= below)]
+    rules = [*unreadable(events), *quarantine.required("session_key", "driver_number", "position"), *older]
+    good, bad = quarantine.split(events, rules)
     # reduced to one row per key before any join, so a session with very many events is no burden
-    final = last_value(newer, ["session_key", "driver_number"], "position", ORDER)
+    final = last_value(good, ["session_key", "driver_number"], "position", ORDER)
     rows = final.withColumnRenamed("session_key", "session_id")
-    return _load_positions(present(rows, sessions, ["session_id"]), positions, small_batch)
+    known = sessions.select(F.col("session_id").alias("_session_id")).distinct()
+    placed = rows.join(known, rows["session_id"] == known["_session_id"], "left")
+    good, lost = quarantine.split(placed, [("Unknown session", F.col("_session_id").isNull())])
+    columns = ["session_id", "driver_number", "position", quarantine.REASON]
+    rejected = bad.withColumnRenamed("session_key", "session_id").select(*columns).unionByName(lost.select(*columns))
+    return _load_positions(good.drop("_session_id"), rejected, positions, small_batch)
 
 
 def load_qualifying(
@@ -280,7 +318,7 @@ def load_qualifying(
     season: int | None = None,
     small_batch: bool = False,
 ) -> Loaded:
-    """First listed position per driver of the qualifying documents, of one season or of all."""
+    """First valid position per driver of the qualifying documents, of one season or of all."""
     asked = meetings if season is None else meetings.filter(F.col("season") == season)
     slots = first_per_key(
         sessions.filter(F.col("session_name") == "Qualifying")
@@ -289,6 +327,10 @@ def load_qualifying(
         ["season", "round"],
         ["session_id"],
     )
-    first = first_per_key(results, ["season", "round", "driver_number"], ORDER)
-    rows = first.join(slots, ["season", "round"]).select("session_id", "driver_number", "position")
-    return _load_positions(rows, positions, small_batch)
+    good, bad = quarantine.split(results, [*unreadable(results), *quarantine.required("driver_number", "position")])
+    first = first_per_key(good, ["season", "round", "driver_number"], ORDER)
+    placed = first.join(slots, ["season", "round"], "left")
+    good, lost = quarantine.split(placed, [("No qualifying session for this season and round", F.col("session_id").isNull())])
+    columns = ["season", "round", "driver_number", "position", quarantine.REASON]
+    rejected = bad.select(*columns).unionByName(lost.select(*columns))
+    return _load_positions(good.select("session_id", "driver_number", "position"), rejected, positions, small_batch)

@@ -33,35 +33,46 @@ def _in_document_order(payload: DataFrame) -> DataFrame:
     return payload.withColumn("ordinal", F.monotonically_increasing_id())
 
 
-def read_meetings(spark: SparkSession, path: str) -> DataFrame:
+def read_meetings(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Flat array of meetings; document order is (``_file``, ``ordinal``)."""
-    return _in_document_order(read_payload(spark, path, schemas.MEETING_PAYLOAD))
+    return _in_document_order(read_payload(spark, path, schemas.MEETING_PAYLOAD, lines))
 
 
-def read_sessions(spark: SparkSession, path: str) -> DataFrame:
+def read_sessions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Sessions of each meeting, from ``meeting_key=<id>`` folders."""
-    return _in_document_order(read_payload(spark, path, f"{schemas.SESSION_PAYLOAD}, meeting_key bigint"))
+    return _in_document_order(read_payload(spark, path, f"{schemas.SESSION_PAYLOAD}, meeting_key bigint", lines))
 
 
-def read_position_events(spark: SparkSession, path: str) -> DataFrame:
+def read_position_events(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Ordered position events of each session, from ``session_key=<id>`` folders."""
-    return _in_document_order(read_payload(spark, path, f"{schemas.POSITION_PAYLOAD}, session_key bigint"))
+    return _in_document_order(read_payload(spark, path, f"{schemas.POSITION_PAYLOAD}, session_key bigint", lines))
+
+
+def _elements(documents: DataFrame, array: str, name: str) -> DataFrame:
+    """``_file``, ``ordinal``, the array's elements; an unreadable document is one row with ``_corrupt`` and nothing else."""
+    corrupt = [CORRUPT] if CORRUPT in documents.columns else []
+    rows = documents.select("_file", *corrupt, F.posexplode_outer(array).alias("ordinal", name))
+    there = F.col(name).isNotNull()
+    return rows.filter(there | F.col(CORRUPT).isNotNull() if corrupt else there)
+
+
+def _kept(documents: DataFrame) -> list[str]:
+    return ["_file", "ordinal", *([CORRUPT] if CORRUPT in documents.columns else [])]
 
 
 def circuit_rows(documents: DataFrame) -> DataFrame:
     """Circuits array of nested circuit documents (``_file``, ``MRData``)."""
-    return documents.select("_file", F.posexplode("MRData.CircuitTable.Circuits").alias("ordinal", "c")).select(
+    return _elements(documents, "MRData.CircuitTable.Circuits", "c").select(
         F.col("c.circuitId").alias("external_id"),
         F.col("c.circuitName").alias("circuit_name"),
         F.col("c.Location.country").alias("country_name"),
-        "_file",
-        "ordinal",
+        *_kept(documents),
     )
 
 
 def race_rows(documents: DataFrame) -> DataFrame:
     """Races array of nested season documents, optional sub-documents kept as structs."""
-    return documents.select("_file", F.posexplode("MRData.RaceTable.Races").alias("ordinal", "r")).select(
+    return _elements(documents, "MRData.RaceTable.Races", "r").select(
         F.expr("try_cast(r.season AS int)").alias("season"),
         F.expr("try_cast(r.round AS int)").alias("round"),
         F.col("r.raceName").alias("race_name"),
@@ -72,37 +83,32 @@ def race_rows(documents: DataFrame) -> DataFrame:
         F.col("r.SecondPractice").alias("second_practice"),
         F.col("r.ThirdPractice").alias("third_practice"),
         F.col("r.Sprint").alias("sprint"),
-        "_file",
-        "ordinal",
+        *_kept(documents),
     )
 
 
 def qualifying_rows(documents: DataFrame) -> DataFrame:
     """Races, then results, of doubly nested qualifying documents."""
-    races = documents.select("_file", F.explode("MRData.RaceTable.Races").alias("r"))
-    results = races.select(
-        "_file",
+    races = _elements(documents, "MRData.RaceTable.Races", "r").drop("ordinal")
+    results = races.select("*", F.posexplode_outer("r.QualifyingResults").alias("ordinal", "q"))
+    there = F.col("q").isNotNull()
+    corrupt = CORRUPT in documents.columns
+    return results.filter(there | F.col(CORRUPT).isNotNull() if corrupt else there).select(
         F.expr("try_cast(r.season AS int)").alias("season"),
         F.expr("try_cast(r.round AS int)").alias("round"),
-        F.posexplode("r.QualifyingResults").alias("ordinal", "q"),
-    )
-    return results.select(
-        "season",
-        "round",
         F.expr("try_cast(q.number AS int)").alias("driver_number"),
         F.expr("try_cast(q.position AS int)").alias("position"),
-        "_file",
-        "ordinal",
+        *_kept(documents),
     )
 
 
-def read_circuits(spark: SparkSession, path: str) -> DataFrame:
-    return circuit_rows(read_payload(spark, path, schemas.CIRCUIT_DOCUMENT))
+def read_circuits(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    return circuit_rows(read_payload(spark, path, schemas.CIRCUIT_DOCUMENT, lines))
 
 
-def read_races(spark: SparkSession, path: str) -> DataFrame:
-    return race_rows(read_payload(spark, path, schemas.RACE_DOCUMENT))
+def read_races(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    return race_rows(read_payload(spark, path, schemas.RACE_DOCUMENT, lines))
 
 
-def read_qualifying(spark: SparkSession, path: str) -> DataFrame:
-    return qualifying_rows(read_payload(spark, path, schemas.QUALIFYING_DOCUMENT))
+def read_qualifying(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    return qualifying_rows(read_payload(spark, path, schemas.QUALIFYING_DOCUMENT, lines))

@@ -2,7 +2,8 @@
 
 The same keyed load as the batch plan, run on the files that arrived since the
 last run. The query's checkpoint remembers the files; a batch that is repeated
-after a failure adds nothing, because stored keys are skipped.
+after a failure adds nothing, because stored keys are skipped. What cannot be
+stored is written to ``positions_rejected`` with its reason.
 """
 
 from __future__ import annotations
@@ -13,23 +14,28 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridpanel.plans.ingest import load_final_positions
 from gridpanel.sources import schemas
+from gridpanel.sources.landing import CORRUPT
 from gridpanel.sources.tables import append, read_table
 
 
 def load_new_positions(spark: SparkSession, landing: str, tables: str, checkpoint: str) -> StreamingQuery:
     """Start a run over all files not yet seen; it ends by itself."""
     payload = (
-        spark.readStream.schema(f"{schemas.POSITION_PAYLOAD}, session_key bigint")
+        spark.readStream.schema(f"{schemas.POSITION_PAYLOAD}, session_key bigint, {CORRUPT} string")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", True)
         .json(landing)
         .withColumn("_file", F.col("_metadata.file_path"))
     )
 
-    def load(batch: DataFrame, _: int) -> None:
+    def load(batch: DataFrame, number: int) -> None:
         ordered = batch.withColumn("ordinal", F.monotonically_increasing_id())
         stored = read_table(spark, tables, "positions")
-        new = load_final_positions(ordered, read_table(spark, tables, "sessions"), stored, small_batch=True).rows
-        append(new, tables, "positions")
+        loaded = load_final_positions(ordered, read_table(spark, tables, "sessions"), stored, small_batch=True)
+        append(loaded.rows, tables, "positions")
+        # a file per batch, replaced if the batch is repeated
+        loaded.rejected.write.mode("overwrite").parquet(f"{tables}/positions_rejected/batch={number}")
 
     return (
         payload.writeStream.foreachBatch(load)

@@ -171,7 +171,11 @@ def test_final_positions_batch_and_stream(spark, store, tmp_path):
     payload = landing.read_position_events(spark, str(tmp_path / "p"))
     loaded = ingest.load_final_positions(payload, read(spark, store, "sessions"), read(spark, store, "positions"))
     assert {(r.session_id, r.driver_number, r.position) for r in loaded.rows.collect()} == {(9001, 44, 1), (9001, 1, 4)}
-    assert loaded.rejected.count() == 1
+    reasons = sorted((r.session_id, r.reason) for r in loaded.rejected.collect())
+    missing = 'The "position" parameter is missing.'
+    assert reasons == [(9001, missing), *[(20_000, "Session of the older source")] * 5, (20_000, missing)]
+    lost = ingest.load_final_positions(payload, read(spark, store, "sessions").limit(0), read(spark, store, "positions"))
+    assert lost.rows.count() == 0 and lost.rejected.filter("reason = 'Unknown session'").count() == 2
 
     def run():
         load_new_positions(spark, str(tmp_path / "p"), store, str(tmp_path / "stream")).awaitTermination()
@@ -180,6 +184,39 @@ def test_final_positions_batch_and_stream(spark, store, tmp_path):
     assert run() == [(9001, 1, 4), (9001, 44, 1)]
     land(tmp_path / "p" / "session_key=9001" / "b.json", [{"driver_number": 44, "position": 9}, {"driver_number": 77, "position": 5}])
     assert run() == [(9001, 1, 4), (9001, 44, 1), (9001, 77, 5)]
+    kept_aside = spark.read.parquet(f"{store}/positions_rejected")
+    assert kept_aside.filter("reason = 'Session of the older source'").count() == 5
+
+
+def test_unreadable_documents_are_kept_aside(spark, store, tmp_path):
+    good = {"MRData": {"CircuitTable": {"Circuits": [{"circuitId": "a", "circuitName": "A", "Location": {"country": "X"}}]}}}
+    land(tmp_path / "c" / "a.json", good)
+    (tmp_path / "c" / "b.json").write_text('{"MRData": {"CircuitTable": ')
+    circuits, countries = read(spark, store, "circuits"), read(spark, store, "countries")
+    _, merged, bad = ingest.load_circuits(landing.read_circuits(spark, str(tmp_path / "c")), countries, circuits)
+    assert [r.circuit_short_name for r in merged.collect()] == ["A"]
+    assert [r.reason for r in bad.collect()] == ["Unreadable document"]
+    for name, reader in (("r", landing.read_races), ("q", landing.read_qualifying)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "b.json").write_text("[{")
+        rows = reader(spark, str(tmp_path / name)).collect()
+        assert len(rows) == 1 and rows[0]["_corrupt"] == "[{"
+
+
+def test_a_second_circuit_load_gives_no_key_twice(spark, store, tmp_path):
+    def document(*pairs):
+        return {"MRData": {"CircuitTable": {"Circuits": [{"circuitId": c, "circuitName": c, "Location": {"country": k}} for c, k in pairs]}}}
+
+    circuits, countries = read(spark, store, "circuits"), read(spark, store, "countries")
+    land(tmp_path / "1" / "a.json", document(("A", "Ax")))
+    new, merged, _ = ingest.load_circuits(landing.read_circuits(spark, str(tmp_path / "1")), countries, circuits)
+    land(tmp_path / "2" / "a.json", document(("B", "Bx"), ("A", "Ax"), ("C", "Ax")))
+    stored = countries.unionByName(new)
+    more, again, _ = ingest.load_circuits(landing.read_circuits(spark, str(tmp_path / "2")), stored, merged)
+    ids = [r.country_id for r in stored.unionByName(more).collect()]
+    assert len(ids) == len(set(ids)) == 2
+    ids = [r.circuit_id for r in again.collect()]
+    assert len(ids) == len(set(ids)) == 3
 
 
 def test_seasons_to_load(spark):
