@@ -424,7 +424,7 @@ FROM asked""",
     "quarantine_split": """
 WITH rows_ AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 marked AS (
-  SELECT *, CASE WHEN k IS NULL THEN 'The "k" parameter is missing.' WHEN value < 5 THEN 'Value too small'
+  SELECT *, CASE WHEN k IS NULL THEN 'k is missing' WHEN value < 5 THEN 'Value too small'
                  WHEN k <= 3 OR k > 95 THEN 'Invalid k' ELSE '' END AS reason
   FROM rows_
 )
@@ -450,7 +450,7 @@ stored AS (
   SELECT session_id, driver_number, min(event_id) AS position_id FROM lists WHERE event_type = 'purchase' GROUP BY ALL
 ),
 judged AS (
-  SELECT *, CASE WHEN driver_number IS NULL THEN 'The "driver_number" parameter is missing.'
+  SELECT *, CASE WHEN driver_number IS NULL THEN 'driver_number is missing'
                  WHEN session_id >= 1000000000000 THEN 'Session of the older source' ELSE '' END AS reason
   FROM lists
 ),

@@ -55,16 +55,17 @@ class Lookback:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, BLOCK).orderBy(self.axis)
 
-    def at(self, value: str, rows: str, offset: int, strict: bool) -> Column:
+    def at(self, value: str, rows: str, offset: int, strict: bool, needed: Column) -> Column:
         """The one value ``offset`` steps away, NULL if there is none.
 
         ``rows`` counts the source rows behind each value: with ``strict`` a
-        second match is an error, as it is for a scalar subquery.
+        second match is an error where the value is ``needed``, as it is for a
+        scalar subquery that is evaluated.
         """
         frame = self.window().rangeBetween(offset, offset)
         found = F.max(value).over(frame)
         if strict:
-            many = F.sum(rows).over(frame) > 1
+            many = needed & (F.sum(rows).over(frame) > 1)
             found = F.when(many, F.raise_error(F.lit(f"more than one {value} row for a look-up"))).otherwise(found)
         return F.when(self.usable(), found)
 

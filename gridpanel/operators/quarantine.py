@@ -31,7 +31,7 @@ def error_payload(payload: Column, message: Column) -> Column:
 
 
 def required(*columns: str) -> list[tuple[str, Column]]:
-    return [(f'The "{c}" parameter is missing.', F.col(c).isNull()) for c in columns]
+    return [(f"{c} is missing", F.col(c).isNull()) for c in columns]
 
 
 def valid_year(column: str, after: int = 2013, latest: Column | None = None) -> tuple[str, Column]:

@@ -58,7 +58,11 @@ def fill_if_null(stored: DataFrame, incoming: DataFrame, keys: list[str], order:
         F.coalesce(stored[c], new[f"_new_{c}"]).alias(c) if c in batch.columns else stored[c]
         for c in stored.columns
     ]
-    return stored.join(new, match, "full_outer").select(*merged)
+    # A left join and the rows it leaves over: unlike a full join, it can split a key that many stored rows share.
+    filled = stored.join(new, match, "left").select(*merged)
+    kinds = dict(stored.dtypes)
+    added = [F.col(c) if c in batch.columns else F.lit(None).cast(kinds[c]).alias(c) for c in stored.columns]
+    return filled.unionByName(absent(batch, stored, keys).select(*added))
 
 
 def mint_keys(df: DataFrame, order: list[str | Column], name: str, base: int, step: int) -> DataFrame:

@@ -61,22 +61,21 @@ def join_results(positions: DataFrame, sessions: DataFrame, meetings: DataFrame)
     )
 
 
-def pivot_sessions(results: DataFrame, extra_keys: tuple[str, ...] = (), strict: bool = True) -> DataFrame:
-    """Session results of one entity in one meeting as columns, with the number of rows behind each."""
+def pivot_sessions(results: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Session results of one entity in one meeting as columns, with the number of rows behind each.
+
+    ``race`` is the worst race position, ``races`` has every race row.
+    """
 
     def of(session: str) -> Column:
         return F.col("session_name") == session
 
-    race = F.max(F.when(of(RACE), F.col("position")))
-    if strict:
-        twice = F.raise_error(F.lit("more than one race row for an entity in a meeting"))
-        race = F.when(F.count_if(of(RACE)) > 1, twice).otherwise(race)
     return (
         results.filter(F.col("session_name").isin(RACE, QUALIFYING, SPRINT))
         .groupBy("season", "no", "meeting_id", "meeting_name", "driver_number", *extra_keys)
         .agg(
-            F.max(F.when(of(RACE), F.col("position_id"))).alias("position_id"),
-            race.alias("race"),
+            F.collect_list(F.when(of(RACE), F.struct("position_id", "position"))).alias("races"),
+            F.max(F.when(of(RACE), F.col("position"))).alias("race"),
             F.max(F.when(of(QUALIFYING), F.col("position"))).alias("qualifying"),
             F.max(F.when(of(SPRINT), F.col("position"))).alias("sprint"),
             F.count_if(of(RACE)).alias("race_rows"),
@@ -90,12 +89,15 @@ def _by_period(results: DataFrame, spec: PanelSpec) -> DataFrame:
     past = Lookback(("season", "driver_number"), "no", max(1, spec.rolling_periods), spec.block_width)
     # one shuffle serves the pivot and the windows: both are clustered by (season, driver_number, block)
     spread = past.spread(results, ["meeting_id", "driver_number"]).repartition(*past.keys, BLOCK)
-    cells = pivot_sessions(spread, (BLOCK,), spec.strict)
+    cells = pivot_sessions(spread, (BLOCK,))
+    # only race rows look anything up, and in the first period nothing before it
+    asks = F.col("race_rows") > 0
+    later = asks & ~F.col("no").eqNullSafe(F.lit(spec.first_period))
     here = cells.withColumns(
         {
-            "qualifying": past.at("qualifying", "qualifying_rows", 0, spec.strict),
-            "sprint": past.at("sprint", "sprint_rows", 0, spec.strict),
-            "previous_race": past.at("race", "race_rows", -1, spec.strict),
+            "qualifying": past.at("qualifying", "qualifying_rows", 0, spec.strict, asks),
+            "sprint": past.at("sprint", "sprint_rows", 0, spec.strict, asks),
+            "previous_race": past.at("race", "race_rows", -1, spec.strict, later),
         }
     )
     gained = here.withColumn("gain", F.col("qualifying") - F.col("race"))
@@ -108,21 +110,23 @@ def _by_period(results: DataFrame, spec: PanelSpec) -> DataFrame:
 def _by_season(cells: DataFrame, spec: PanelSpec) -> DataFrame:
     past = Lookback(("driver_number", "meeting_name"), "season", 1, spec.block_width)
     spread = past.spread(cells, ["meeting_id", "driver_number"])
-    return spread.withColumn("previous_year", past.at("race", "race_rows", -1, spec.strict)).filter(past.own())
+    found = past.at("race", "race_rows", -1, spec.strict, F.col("race_rows") > 0)
+    return spread.withColumn("previous_year", found).filter(past.own())
 
 
 def feature_panel(results: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """All features of every race result.
+    """All features of every race result; an entity with two race rows in a meeting has two rows.
 
     Both look-backs run before rows without a race are dropped, since those
     rows carry the qualifying and sprint results of the same period.
     """
     s = spec.sentinels
-    wide = _by_season(_by_period(results, spec), spec).filter(F.col("race").isNotNull())
+    wide = _by_season(_by_period(results, spec), spec).select("*", F.explode("races").alias("_race"))
+    wide = wide.filter(F.col("_race.position").isNotNull())
     return wide.select(
-        "position_id",
+        "_race.position_id",
         "driver_number",
-        F.col("race").alias("position"),
+        "_race.position",
         "meeting_name",
         "season",
         "no",

@@ -67,6 +67,8 @@ def arff_lines(
         F.concat_ws(",", *values).alias("line"),
         *[(F.col(o) if isinstance(o, str) else o).alias(k) for o, k in zip(order or [], keys)],
     )
+    if not keys:  # the rows stay in their partitions, behind the header's
+        return header.coalesce(1).select("line").unionByName(rows.select("line"))
     return (
         header.unionByName(rows, allowMissingColumns=True)
         .repartitionByRange("_rank", *keys)

@@ -172,7 +172,7 @@ def test_final_positions_batch_and_stream(spark, store, tmp_path):
     loaded = ingest.load_final_positions(payload, read(spark, store, "sessions"), read(spark, store, "positions"))
     assert {(r.session_id, r.driver_number, r.position) for r in loaded.rows.collect()} == {(9001, 44, 1), (9001, 1, 4)}
     reasons = sorted((r.session_id, r.reason) for r in loaded.rejected.collect())
-    missing = 'The "position" parameter is missing.'
+    missing = "position is missing"
     assert reasons == [(9001, missing), *[(20_000, "Session of the older source")] * 5, (20_000, missing)]
     lost = ingest.load_final_positions(payload, read(spark, store, "sessions").limit(0), read(spark, store, "positions"))
     assert lost.rows.count() == 0 and lost.rejected.filter("reason = 'Unknown session'").count() == 2

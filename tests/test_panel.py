@@ -148,7 +148,6 @@ def test_mean_gain_rounds_half_away_and_skips_missing(spark, gains, expected):
 @pytest.mark.parametrize(
     "rows",
     [
-        [row(1, 7, 4, "Race", 2), row(2, 7, 5, "Race", 2)],
         [row(1, 7, 4, "Race", 2, meeting=1), row(2, 7, 5, "Race", 2, meeting=2, name="x"), row(3, 7, 5, "Race", 3, name="y")],
         [row(1, 7, 4, "Qualifying", 2), row(2, 7, 5, "Qualifying", 2), row(3, 7, 5, "Race", 2)],
     ],
@@ -170,3 +169,29 @@ def test_join_of_the_three_tables(spark):
     meetings = spark.createDataFrame([(7, "venue", 2020, 2)], "meeting_id bigint, meeting_name string, season int, no int")
     joined = panel.join_results(positions, sessions, meetings).collect()
     assert [tuple(r) for r in joined] == [(1, 44, 3, "Race", 7, "venue", 2020, 2)]
+
+
+def _rows(spark, *rows):
+    schema = "position_id long, driver_number int, position int, session_name string, meeting_id long, meeting_name string, season int, no int"
+    return spark.createDataFrame(list(rows), schema)
+
+
+def test_look_ups_raise_only_where_they_are_read(spark):
+    race, quali = "Race", "Qualifying"
+    cases = [
+        # a cell with a qualifying row only has nothing to look up
+        ((1, 44, 3, race, 1, "A", 2023, 1), (2, 44, 4, race, 1, "A", 2023, 1), (3, 44, 5, quali, 2, "B", 2023, 2)),
+        # the first period has no previous one, whatever is stored before it
+        ((1, 44, 3, race, 1, "Z", 2023, 0), (2, 44, 4, race, 1, "Z", 2023, 0), (3, 44, 5, race, 2, "B", 2023, 1)),
+        # two race rows in the last meeting are two results
+        ((1, 44, 3, race, 1, "A", 2023, 1), (2, 44, 4, race, 2, "B", 2023, 2), (3, 44, 9, race, 2, "B", 2023, 2)),
+    ]
+    for rows in cases:
+        expected = sorted((r[0], r[2]) for r in rows if r[3] == race)
+        got = panel.feature_panel(_rows(spark, *rows)).collect()
+        assert sorted((r.position_id, r.position) for r in got) == expected
+    twice = _rows(spark, *cases[0][:2], (3, 44, 5, race, 2, "B", 2023, 2))
+    with pytest.raises(PySparkException, match="more than one"):
+        panel.feature_panel(twice).collect()
+    loose = panel.feature_panel(twice, panel.PanelSpec(strict=False)).collect()
+    assert sorted((r.position_id, r.previous_race_pos) for r in loose) == [(1, 21), (2, 21), (3, 4)]
