@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridpanel.functions.scalars import parse_offset
 from gridpanel.operators.nesting import attach_children, attach_parent
-from gridpanel.plans import documents
+from gridpanel.plans import documents, ingest
 from gridpanel.sources import schemas
 from gridpanel.sources.landing import qualifying_rows
 from gridpanel.sources.tables import read_inputs
@@ -61,6 +61,23 @@ def session_documents(spark: SparkSession, folder: str) -> DataFrame:
     return documents.as_json(documents.session_documents(sessions, meetings, circuits))
 
 
+def season_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Order years and the years ten after them as requested seasons, filled orders as the stored meetings."""
+    (orders,) = read_inputs(spark, folder, "orders")
+    rows = orders.select(
+        F.col("o_orderkey").alias("meeting_id"),
+        F.col("o_orderpriority").alias("meeting_name"),
+        F.year("o_orderdate").alias("season"),
+        F.month("o_orderdate").alias("no"),
+        "o_orderstatus",
+    )
+    stored = rows.filter("o_orderstatus = 'F'").drop("o_orderstatus")
+    asked = rows.select("season").unionByName(rows.select((F.col("season") + 10).alias("season"))).distinct()
+    plan = ingest.seasons_to_load(asked, stored, after=1995, latest=F.lit(2006))
+    found = documents.season_documents(plan, stored)
+    return found.select("season", "action", F.coalesce("at", F.lit(-1)).alias("at"), F.coalesce("document", F.lit("")).alias("document"))
+
+
 def nested_payload_rows(spark: SparkSession, folder: str) -> DataFrame:
     """A doubly nested result document per event, as text, taken apart again."""
     (events,) = read_inputs(spark, folder, "events")
@@ -95,6 +112,7 @@ meetings AS (
 """
 
 QUERIES = {
+    "season_documents": season_documents,
     "nested_documents": nested_documents,
     "meeting_documents": meeting_documents,
     "session_documents": session_documents,
@@ -102,6 +120,22 @@ QUERIES = {
 }
 
 SQL = {
+    "season_documents": """
+WITH rows_ AS (
+  SELECT o_orderkey AS meeting_id, o_orderpriority AS meeting_name, CAST(year(o_orderdate) AS INTEGER) AS season,
+         CAST(month(o_orderdate) AS INTEGER) AS no, o_orderstatus
+  FROM orders
+),
+asked AS (SELECT season FROM rows_ UNION SELECT season + 10 FROM rows_),
+plan AS (
+  SELECT season, CASE WHEN season <= 1995 OR season > 2006 THEN 'invalid'
+                      WHEN season IN (SELECT season FROM rows_ WHERE o_orderstatus = 'F') THEN 'serve' ELSE 'load' END AS action
+  FROM asked
+)
+SELECT r.season, 'serve' AS action, row_number() OVER (PARTITION BY r.season ORDER BY no, meeting_id) - 1 AS at,
+       CAST(to_json({'meeting_id': meeting_id, 'meeting_name': meeting_name, 'season': r.season, 'no': no}) AS VARCHAR) AS document
+FROM rows_ r JOIN plan p ON p.season = r.season AND p.action = 'serve' WHERE o_orderstatus = 'F'
+UNION ALL SELECT season, action, -1, '' FROM plan WHERE action <> 'serve'""",
     "nested_documents": f"""
 WITH placed AS (
   SELECT c_nationkey, c_custkey, c_name,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridpanel.functions.scalars import interval_text, iso_timestamp
 from gridpanel.operators.nesting import attach_children, attach_parent
+from gridpanel.operators.ordering import index_in_group
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -16,6 +17,23 @@ def as_json(df: DataFrame, name: str = "document") -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns), _KEEP_NULLS).alias(name))
 
 
+def season_documents(plan: DataFrame, meetings: DataFrame) -> DataFrame:
+    """Answer requested seasons: per ``serve`` season its meetings as documents, in the order of ``no``
+    (``at``: 0, 1, ...; meetings without a number last); per other season one row with its action.
+
+    ``plan`` has (season, action), as ``plans.ingest.seasons_to_load`` gives it.
+    """
+    served = meetings.join(plan.filter("action = 'serve'").select("season"), "season", "left_semi")
+    placed = index_in_group(served, ["season"], [F.col("no").asc_nulls_last(), "meeting_id"], "at")
+    documents = placed.select(
+        "season", F.lit("serve").alias("action"), "at", F.to_json(F.struct(*meetings.columns), _KEEP_NULLS).alias("document")
+    )
+    others = plan.filter("action <> 'serve'").select(
+        "season", "action", F.lit(None).cast("bigint").alias("at"), F.lit(None).cast("string").alias("document")
+    )
+    return documents.unionByName(others)
+
+
 def country_documents(countries: DataFrame, circuits: DataFrame, page_size: int = 1000) -> DataFrame:
     """Countries with their list of circuits, in pages of ``page_size`` circuits."""
     return attach_children(

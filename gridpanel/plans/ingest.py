@@ -18,6 +18,7 @@ from gridpanel.operators.keyed import first_per_key, last_value
 from gridpanel.operators.upsert import absent, highest, insert_if_absent, mint_keys
 from gridpanel.scratch import stage
 from gridpanel.sources.landing import CORRUPT
+from gridpanel.sources.schemas import TEXT_LIMITS
 
 ORDER = ["_file", "ordinal"]
 COUNTRY_BASE = 50_000
@@ -74,10 +75,7 @@ def load_meetings(
         [
             *unreadable(payload),
             *quarantine.required("meeting_key", "circuit_key", "country_key"),
-            quarantine.too_long("country_code", 4),
-            quarantine.too_long("country_name", 255),
-            quarantine.too_long("meeting_name", 255),
-            quarantine.too_long("meeting_official_name", 500),
+            *[quarantine.too_long(name, limit) for name, limit in TEXT_LIMITS.items()],
             ("Malformed date or time", F.col("date_start").isNotNull() & _started().isNull()),
             ("Malformed offset", F.col("gmt_offset").isNotNull() & parse_offset(F.col("gmt_offset")).isNull()),
         ],

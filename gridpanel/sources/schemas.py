@@ -1,4 +1,7 @@
-"""Explicit schemas of tables, landed payloads and data files."""
+"""Explicit schemas of tables, landed payloads and data files.
+
+The field names are fixed by the payload and table formats they describe.
+"""
 
 from __future__ import annotations
 
