@@ -1,7 +1,8 @@
 """Time the headline queries; one JSON line on stdout.
 
-Every query is planned and run in full (its rows go to a no-op sink), once,
-after one warm-up query.
+Every query is planned and run in full (its rows go to a no-op sink) after one
+warm-up query; the figure is the median of RUNS runs. Studies that take longer
+than LONG seconds run once.
 """
 
 from __future__ import annotations
@@ -10,10 +11,14 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 from gridpanel import catalog
 from gridpanel.session import local_session
 
+RUNS = 3
+LONG = 10
+
 HEADLINE = [
     "prev_period_position",
     "prev_season_position",
@@ -46,6 +51,7 @@ HEADLINE = [
     "range_slice",
     "arff_lines",
     "svm_linear",
+    "points_folds",
 ]
 
 
@@ -55,7 +61,7 @@ def main() -> None:
     chosen = sys.argv[1:] or HEADLINE
     spark = local_session(cores, shuffle_partitions=8, memory="12g")
     run(spark, folder, "prev_period_position")
-    seconds = {name: round(run(spark, folder, name), 3) for name in chosen}
+    seconds = {name: round(timed(spark, folder, name), 3) for name in chosen}
     result = {
         "metric": "total seconds over headline queries",
         "value": round(sum(seconds.values()), 3),
@@ -67,6 +73,13 @@ def main() -> None:
     spark.stop()
 
 
+def timed(spark, folder: str, name: str) -> float:
+    runs = [run(spark, folder, name)]
+    while len(runs) < RUNS and runs[0] < LONG:
+        runs.append(run(spark, folder, name))
+    return median(runs)
+
+
 def run(spark, folder: str, name: str) -> float:
     started = time.time()
     catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
