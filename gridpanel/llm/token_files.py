@@ -22,10 +22,11 @@ their text; an empty table gives no files and an empty result.
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,50 +47,110 @@ DESCRIPTOR = 0
 
 NULL_ID = -(1 << 63)
 FRAME_IDS = 1 << 18
-CACHE_WORDS = 400_000
+CACHE_WORDS = 350_000
 _ENTRY = struct.Struct("<IIII")
 _FOOTER = struct.Struct("<IBI")
-_MORE_SPACE = re.compile(r"\s | \s|^ | $")
+#: Signs that part from a word before them; the apostrophe is not one of them.
+_TAIL = ".,!?:;|"
 
 
-class Encoder:
-    """Ids of whole texts; words seen before come from a bounded cache.
+class _Cut(Exception):
+    """A text that has to be encoded as a whole."""
+
 
-    The byte-level pre-tokenizer never joins what a single space between two
-    non-spaces parts, so a text is the concatenation of its words, each with
-    its space before it. Texts with any other use of spaces, or with a special
-    token's string, are encoded as they are.
+class Encoder:
+    """Ids of whole texts; words seen before come from bounded caches.
+
+    A byte-level pre-tokenizer never joins what a single space between two
+    non-spaces parts, nor what a single line break parts, nor a word and the
+    signs behind it. So a text is the concatenation of its words, each with its
+    space before it, and new words are sent to the tokenizer's model one by one.
+    Texts that use spaces in any other way, or hold a special token's string,
+    and tokenizers of another kind, are encoded as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        steps = made["pre_tokenizer"] or {}
+        self.by_word = steps.get("type") == "ByteLevel" and steps.get("use_regex") and not steps.get("add_prefix_space") and not (made["normalizer"] or made["post_processor"])
+        self.by_word = self.by_word and made["model"]["type"] == "BPE" and not any(made["model"].get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        # The byte-level alphabet: printable bytes stand for themselves, the others for signs from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: 256 + k for k, b in enumerate(others)}
+        self.space = chr(self.alphabet[32])
+        self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words: list[list[str] | None] = []
-        missing: dict[str, None] = {}
-        for text in texts:
-            if _MORE_SPACE.search(text) or any(s in text for s in self.special):
-                words.append(None)
-                continue
-            own = text.split(" ")
-            own[1:] = [" " + w for w in own[1:]]
-            words.append(own)
-            missing.update(dict.fromkeys(w for w in own if w not in self.cache))
-        if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache.clear()
-            missing = dict.fromkeys(w for own in words if own for w in own)
-        new = list(missing)
-        self.cache.update(zip(new, self._plain(new), strict=True))
-        whole = iter(self._plain([t for t, own in zip(texts, words, strict=True) if own is None]))
-        return [next(whole) if own is None else b"".join(map(self.cache.__getitem__, own)) for own in words]
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [self._text(t) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        if not self.by_word or any(s in text for s in self.special):
+            return self._plain(text)
+        own = text.split(" ")
+        own[1:] = [" " + w for w in own[1:]]
+        try:
+            return b"".join(map(self.units.__getitem__, own))
+        except KeyError:
+            pass
+        try:
+            return b"".join([self.units.get(u) or self._unit(u) for u in own])
+        except _Cut:
+            return self._plain(text)
+
+    def _unit(self, unit: str) -> bytes:
+        """A word with its space, new or from the older half of the cache."""
+        ids = self.older.get(unit)
+        if ids is None:
+            body = unit[1:] if unit[:1] == " " else unit
+            if not body or body[0].isspace() or body[-1].isspace():
+                raise _Cut
+            if "\n" not in unit:
+                ids = self._piece(unit)
+            else:
+                lines = unit.split("\n")
+                if any(not x or x[-1].isspace() or (k and x[0].isspace()) for k, x in enumerate(lines)):
+                    ids = self._plain(unit)
+                else:
+                    ids = self._part("\n").join(map(self._piece, lines))
+        if len(self.units) >= CACHE_WORDS:
+            self.older, self.units = self.units, {}
+        self.units[unit] = ids
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        word = piece.rstrip(_TAIL)
+        if len(word) < len(piece) and word and word[-1].isalnum():
+            return self._part(word) + self._part(piece[len(word) :])
+        return self._part(piece)
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            letters = part[1:] if part[:1] == " " else part
+            if letters.isalpha() and max(letters) < "\u0250":
+                if letters.isascii():  # stand for themselves
+                    symbols = part.replace(" ", self.space)
+                else:
+                    symbols = part.encode().decode("latin-1").translate(self.alphabet)
+                ids = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+            else:
+                ids = self._plain(part)
+            if len(self.parts) >= CACHE_WORDS:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _encoders: dict[str, Encoder] = {}
@@ -255,4 +316,6 @@ def read_documents(spark: SparkSession, manifest: DataFrame, folder: str | None
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return with_starts(manifest).repartition("path", "frame").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A manifest is small and its frames are not: dealt out by hand.
+    frames = with_starts(manifest).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "frame")
+    return frames.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
