@@ -25,4 +25,5 @@ SQL: dict[str, str] = {
     **documents.SQL,
     **reports.SQL,
     **tracks.SQL,
+    **training.SQL,
 }

@@ -17,7 +17,7 @@ TOP = 10
 
 def _folds(spark: SparkSession, folder: str, count: int = FOLDS) -> splits.Folds:
     marked = panel.labelled(panel.feature_panel(results_from_lineitem(spark, folder)), TOP)
-    return splits.expanding_window(marked, count, panel.SORT)
+    return splits.expanding_window(marked.select("position_id", "label", "qualy_pos", *panel.SORT), count, panel.SORT)
 
 
 def expanding_window_folds(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,7 +114,7 @@ QUERIES = {
 # -- checks --------------------------------------------------------------------
 
 
-def _folds_sql(folds: int) -> str:
+def folds_sql(folds: int) -> str:
     return (
         panel_sql()
         + f""",
@@ -165,8 +165,8 @@ _SCALED = ["previous_race_pos", "previous_year_pos", "qualy_pos", "gain", "sprin
 _HASHED = "CAST('0x' || left(md5({key} || ':42'), 8) AS BIGINT) % 100 < 20"
 
 SQL = {
-    "expanding_window_folds": _folds_sql(FOLDS) + "SELECT position_id, row_index, test_fold FROM folds",
-    "fold_sizes": _folds_sql(20)
+    "expanding_window_folds": folds_sql(FOLDS) + "SELECT position_id, row_index, test_fold FROM folds",
+    "fold_sizes": folds_sql(20)
     + """
 SELECT f.fold, count(*) FILTER (WHERE test_fold < f.fold) AS train_rows,
        count(*) FILTER (WHERE test_fold = f.fold) AS test_rows,
@@ -187,7 +187,7 @@ stats AS (
 SELECT position_id, part,
        {", ".join(f"round(({f} - m_{f}) / CASE WHEN d_{f} = 0 THEN 1 ELSE d_{f} END, 6) + 0.0 AS {f}_scaled" for f in _SCALED)}
 FROM split CROSS JOIN stats""",
-    "rule_accuracy": _folds_sql(FOLDS)
+    "rule_accuracy": folds_sql(FOLDS)
     + f""",
 per_fold AS (
   SELECT test_fold AS fold, avg(CASE WHEN (qualy_pos <= {TOP}) = (label = 1) THEN 1.0 ELSE 0.0 END) AS accuracy,
@@ -196,7 +196,7 @@ per_fold AS (
 )
 SELECT fold, round(accuracy, 6) AS accuracy, support FROM per_fold
 UNION ALL SELECT 0, round(avg(accuracy), 6), count(*) FROM per_fold""",
-    "classification_report": _folds_sql(FOLDS)
+    "classification_report": folds_sql(FOLDS)
     + ","
     + _report_sql(
         f"""SELECT label, CASE WHEN qualy_pos <= {TOP} THEN 1 ELSE 0 END AS prediction, count(*) AS n
