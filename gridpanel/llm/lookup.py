@@ -66,14 +66,15 @@ def request(kind: int, group: int, bucket: np.ndarray, keys: np.ndarray, counts:
     )
 
 
-def salted(asked: DataFrame, groups: int) -> DataFrame:
-    return asked.withColumn("salt", F.pmod(F.xxhash64("group"), F.lit(max(1, -(-groups // GROUPS_PER_SALT)))))
+def merged(asked: DataFrame, groups: int, per_salt: int = GROUPS_PER_SALT) -> DataFrame:
+    """kind, bucket, keys, counts of all groups, and total (sum of counts) and known (keys with a count)."""
+    if groups > per_salt:
+        asked = _merged(_salted(asked, groups, per_salt).withColumn("task", F.xxhash64("kind", "bucket", "salt")))
+    return _merged(asked.withColumn("task", F.xxhash64("kind", "bucket")))
 
 
-def merged(asked: DataFrame, groups: int) -> DataFrame:
-    """kind, bucket, keys, counts of all groups, and total (sum of counts) and known (keys with a count)."""
-    first = _merged(salted(asked, groups).withColumn("task", F.xxhash64("kind", "bucket", "salt")))
-    return _merged(first.withColumn("task", F.xxhash64("kind", "bucket")))
+def _salted(asked: DataFrame, groups: int, per_salt: int) -> DataFrame:
+    return asked.withColumn("salt", F.pmod(F.xxhash64("group"), F.lit(max(1, -(-groups // per_salt)))))
 
 
 def _merged(rows: DataFrame) -> DataFrame:
@@ -90,9 +91,9 @@ def _merged(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(work, "kind int, bucket long, keys binary, counts binary, total long, known long")
 
 
-def answers(asked: DataFrame, valued: DataFrame, groups: int, kinds: Mapping[int, str]) -> DataFrame:
+def answers(asked: DataFrame, valued: DataFrame, groups: int, kinds: Mapping[int, str], per_salt: int = GROUPS_PER_SALT) -> DataFrame:
     """group, kind, bucket, values (packed, of the type kinds names) in the order of each request's keys."""
-    asked = salted(asked, groups)
+    asked = _salted(asked, groups, per_salt)
     salts = asked.select("kind", "bucket", "salt").distinct()
     task = F.xxhash64("kind", "bucket", "salt").alias("task")
     model = valued.join(salts, ["kind", "bucket"]).select(task, F.lit(0).alias("part"), F.lit(None).cast("long").alias("group"), "kind", "bucket", "keys", "values")

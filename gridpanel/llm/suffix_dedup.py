@@ -6,7 +6,7 @@ with a smaller doc_id. Candidates come from minimisers: each window of
 it, so equal windows share it, and neighbouring windows with the same minimum
 form one range of text.
 
-1. Batches of documents (about 16 MB) are stored, and their minimisers' keys are
+1. Batches of documents (about 8 MB) are stored, and their minimisers' keys are
    asked for: which occur in more than one document? (48 bits of a key; a chance
    hit costs work only.)
 2. The ranges of shared minimisers go to buckets by minimiser, so that all
@@ -20,9 +20,9 @@ form one range of text.
    for the bytes themselves. The smallest doc_id of each number's windows decides.
 4. The removed ranges go back to their batch.
 
-A bucket takes part in two rounds, per salt (so many batches at a time) and as a
-whole with one document per distinct range, so that a passage of a third of all
-documents costs a bucket one entry per salt.
+A passage of a third of all documents costs its bucket one range per batch. Beyond
+BATCHES_PER_SALT batches a bucket takes part in two rounds, per salt (so many
+batches at a time) and as a whole with one document per distinct range.
 
 Defined results: null and empty texts have no bytes; a null doc_id counts as
 smaller than all others; rows with equal doc_ids take nothing from one another;
@@ -36,6 +36,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +46,11 @@ from gridpanel.llm.common import stage, text_bytes
 from gridpanel.llm.minhash import sorted_groups
 
 GRAM = 16
-BATCH_BYTES = 16 << 20
-BATCHES_PER_SALT = 256
+BATCH_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+#: A passage that every batch has costs a bucket one range, some 100 bytes, for each of these.
+BATCHES_PER_SALT = 1 << 16
 NULL_ID = -(1 << 63)
 KIND = 0
 U = np.uint64
@@ -118,6 +122,18 @@ def take_ranges(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndar
     return raw[np.arange(int(size.sum())) + np.repeat(start - offset, size)]
 
 
+def key_pieces(key: np.ndarray, size: np.ndarray) -> list[tuple[int, int]]:
+    """Cuts of a table sorted by key into pieces of whole keys, about PIECE_BYTES of text each."""
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    total, cuts = np.cumsum(size), [0]
+    while cuts[-1] < len(key):
+        goal = (total[cuts[-1] - 1] if cuts[-1] else 0) + PIECE_BYTES
+        k = max(int(np.searchsorted(total, goal, "right")), cuts[-1] + 1)
+        later = np.searchsorted(heads, k)
+        cuts.append(int(heads[later]) if later < len(heads) else len(key))
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
 def equal_ranges(raw: np.ndarray, start: np.ndarray, size: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
     """For each range, the index of the equal range with the smallest doc_id (itself, if it is that one)."""
     if not len(start):
@@ -245,18 +261,36 @@ def _range_rows(bucket: list, group: list, arrays: list, raw: list) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(group, pa.int64()), pa.array(arrays, pa.binary()), pa.array(raw, pa.binary())], ["bucket", "group", "arrays", "raw"])
 
 
-def shared_ranges(stored: DataFrame, answered: DataFrame, length: int, buckets: int) -> DataFrame:
+def shared_flags(asked: DataFrame) -> DataFrame:
+    """group, bucket, flags (packed bits, in the order of the request): which keys several documents have.
+
+    A batch asks for a key once, so a bucket holds about as many keys at any size of the input.
+    """
+
+    def work(batches):
+        for rows in sorted_groups(batches, "bucket"):
+            keys = [lookup.unpack_keys(k) for k in rows.column("keys").to_pylist()]
+            found, totals = lookup.merge(keys, [lookup.unpacked(c, "<i8") for c in rows.column("counts").to_pylist()])
+            several = totals > 1
+            flags = [np.packbits(several[np.searchsorted(found, k)]).tobytes() for k in keys]
+            yield pa.RecordBatch.from_arrays([*(rows.column(n).combine_chunks() for n in ("group", "bucket")), pa.array(flags, pa.binary())], ["group", "bucket", "flags"])
+
+    dealt = asked.select("bucket", "group", "keys", "counts").repartition("bucket").sortWithinPartitions("bucket", "group")
+    return dealt.mapInArrow(work, "group long, bucket long, flags binary")
+
+
+def _texts(stored: DataFrame) -> DataFrame:
+    """Batches, with the same columns wherever they are joined, so that one exchange serves all joins of a query."""
+    return stored.where("kind is null").select("group", "keys", "counts", "raw")
+
+
+def shared_ranges(stored: DataFrame, flags: DataFrame, length: int, buckets: int) -> DataFrame:
     """Ranges of shared minimisers by bucket; and, without a bucket, what a batch can settle on its own."""
-    texts = stored.where("kind is null").select("group", F.lit(1).alias("part"), "bucket", "keys", "counts", "raw", F.lit(None).cast("binary").alias("values"))
-    none = F.lit(None).cast("binary")
-    replies = answered.select("group", F.lit(0).alias("part"), "bucket", none.alias("keys"), none.alias("counts"), none.alias("raw"), "values")
+    told = flags.groupBy("group").agg(F.collect_list(F.struct("bucket", "flags")).alias("told"))
 
     def work(batches):
-        for rows in sorted_groups(batches, "group"):
-            rows = rows.to_pylist()
-            blobs = {(KIND, r["bucket"]): r["values"] for r in rows if r["part"] == 0}
-            group = rows[-1]["group"]
-            ids, at, raw = _documents(rows[-1])
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            ids, at, raw = _documents(row)
             found = []
             for first, end in _pieces(at):
                 start, n, least, document = ranges(raw[at[first] : at[end]], at[first : end + 1] - at[first], length)
@@ -264,17 +298,18 @@ def shared_ranges(stored: DataFrame, answered: DataFrame, length: int, buckets:
             if not found:
                 continue
             start, n, least, document = (np.concatenate(f) for f in zip(*found, strict=True))
-            key = textkit.mix(least) >> U(16)
-            distinct, code = np.unique(key, return_inverse=True)
-            if not len(distinct):
-                continue
-            shared = lookup.fill(blobs, KIND, "<f4", (distinct % U(buckets)).astype(np.int64)) > 0
+            distinct, code = np.unique(textkit.mix(least) >> U(16), return_inverse=True)
+            bucket = (distinct % U(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            shared = np.zeros(len(distinct), bool)
+            for answer in row["told"] or []:
+                mine = order[slice(*np.searchsorted(bucket[order], [answer["bucket"], answer["bucket"] + 1]))]
+                shared[mine] = np.unpackbits(np.frombuffer(answer["flags"], np.uint8), count=len(mine))
             mine = shared[code]
             start, n, least, owner = start[mine], n[mine], least[mine], ids[document[mine]]
-            yield from _settle_and_send(group, raw, start, n, least, owner, length, least_bucket(least, buckets))
+            yield from _settle_and_send(row["group"], raw, start, n, least, owner, length, least_bucket(least, buckets))
 
-    dealt = replies.unionByName(texts).repartition("group").sortWithinPartitions("group", "part")
-    return dealt.mapInArrow(work, RANGES)
+    return _texts(stored).join(told, "group", "left").mapInArrow(work, RANGES)
 
 
 def least_bucket(least: np.ndarray, buckets: int) -> np.ndarray:
@@ -289,15 +324,7 @@ def _settle_and_send(group, raw, start, n, least, owner, length, bucket):
     # Ranges of equal minimisers next to each other, so that every piece holds whole groups.
     order = np.argsort(least, kind="stable")
     start, size, n, least, owner, bucket = (x[order] for x in (start, size, n, least, owner, bucket))
-    cuts = [0]
-    total = np.cumsum(size)
-    heads = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]])) if len(least) else np.zeros(0, np.int64)
-    while cuts[-1] < len(start):
-        goal = (total[cuts[-1] - 1] if cuts[-1] else 0) + textkit.CHUNK_BYTES
-        k = int(np.searchsorted(total, goal, "right"))
-        later = heads[np.searchsorted(heads, max(k, cuts[-1] + 1)) :]
-        cuts.append(int(later[0]) if len(later) else len(start))
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+    for a, b in key_pieces(least, size):
         text = take_ranges(raw, start[a:b], size[a:b])
         first = equal_ranges(text, np.cumsum(size[a:b]) - size[a:b], size[a:b], owner[a:b])
         gone = owner[a:b][first] < owner[a:b]
@@ -317,10 +344,18 @@ def _settle_and_send(group, raw, start, n, least, owner, length, bucket):
 
 
 def settle(sent: DataFrame, length: int, forward: bool) -> DataFrame:
-    """Per task of bucket rows: removed ranges by batch; with forward, also the first of each distinct range, again by bucket."""
+    """Per task of bucket rows: removed ranges by batch; with forward, also the first of each distinct range, again by bucket.
+
+    Rows without a bucket, ranges removed before, pass through.
+    """
 
     def work(batches):
         for rows in sorted_groups(batches, "task"):
+            done = rows.filter(pc.is_null(rows.column("bucket")))
+            yield from done.select(["bucket", "group", "arrays", "raw"]).to_batches()
+            rows = rows.filter(pc.is_valid(rows.column("bucket")))
+            if not len(rows):
+                continue
             bucket = rows.column("bucket")[0].as_py()
             tables = [_unpack_table(b) for b in rows.column("arrays").to_pylist()]
             groups = np.repeat(np.asarray(rows.column("group")), [len(t) for t in tables])
@@ -328,21 +363,37 @@ def settle(sent: DataFrame, length: int, forward: bool) -> DataFrame:
             raw = np.concatenate([lookup.unpacked(b, np.uint8) for b in rows.column("raw").to_pylist()])
             size = table["n"] + length - 1
             start = np.cumsum(size) - size
-            first = equal_ranges(raw, start, size, table["doc_id"])
-            later = table["doc_id"][first] < table["doc_id"]
-            # Equal ranges of one document stand for themselves; one of them carries the windows.
-            heads = np.unique(first)
-            least = smallest_documents(raw, start[heads], table["n"][heads], table["key"][heads], table["doc_id"][heads], length)
-            place = np.zeros(len(table), np.int64)
-            place[heads] = np.cumsum(table["n"][heads]) - table["n"][heads]
-            rest = np.flatnonzero(~later)
-            n = table["n"][rest]
-            windows = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            gone = least[np.repeat(place[first[rest]], n) + windows] < np.repeat(table["doc_id"][rest], n)
-            where = np.repeat(table["place"][rest], n)[gone] + windows[gone]
-            owners = np.concatenate([groups[later], np.repeat(groups[rest], n)[gone]])
-            begins = np.concatenate([table["place"][later], where])
-            sizes = np.concatenate([size[later], np.full(len(where), length)])
+            order = np.argsort(table["key"], kind="stable")
+            open_rows, gone_rows, gone_starts, gone_sizes = [], [], [], []
+            for a, b in key_pieces(table["key"][order], size[order]):
+                rows_here = order[a:b]
+                piece, n = table[rows_here], size[rows_here]
+                text = take_ranges(raw, start[rows_here], n)
+                at = np.cumsum(n) - n
+                first = equal_ranges(text, at, n, piece["doc_id"])
+                later = piece["doc_id"][first] < piece["doc_id"]
+                # Equal ranges of one document stand for themselves; one of them carries the windows.
+                heads = np.unique(first)
+                least = smallest_documents(text, at[heads], piece["n"][heads], piece["key"][heads], piece["doc_id"][heads], length)
+                place = np.zeros(len(piece), np.int64)
+                place[heads] = np.cumsum(piece["n"][heads]) - piece["n"][heads]
+                rest = np.flatnonzero(~later)
+                n = piece["n"][rest]
+                windows = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                gone = least[np.repeat(place[first[rest]], n) + windows] < np.repeat(piece["doc_id"][rest], n)
+                # Runs of removed windows become one range each.
+                hit = np.flatnonzero(gone)
+                owner = np.repeat(rest, n)[hit]
+                new = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (owner[1:] != owner[:-1])]) if len(hit) else np.zeros(0, bool)
+                heads = np.flatnonzero(new)
+                count = np.diff(np.append(heads, len(hit)))
+                open_rows.append(rows_here[rest])
+                gone_rows += [rows_here[later], rows_here[owner[heads]]]
+                gone_starts += [piece["place"][later], piece["place"][owner[heads]] + windows[hit[heads]]]
+                gone_sizes += [piece["n"][later] + length - 1, count + length - 1]
+            if not open_rows:
+                continue
+            owners, begins, sizes, rest = groups[np.concatenate(gone_rows)], np.concatenate(gone_starts), np.concatenate(gone_sizes), np.concatenate(open_rows)
             order = np.argsort(owners, kind="stable")
             found, edges = np.unique(owners[order], return_index=True)
             for g, mine in zip(found.tolist(), np.split(order, edges[1:]) if len(found) else [], strict=True):
@@ -358,18 +409,15 @@ def settle(sent: DataFrame, length: int, forward: bool) -> DataFrame:
 
 def remove(stored: DataFrame, removed: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (removed ranges of the text, maximal) and kept (the bytes left) of every document."""
-    none = F.lit(None).cast("binary")
-    texts = stored.where("kind is null").select("group", F.lit(1).alias("part"), "keys", "counts", "raw", none.alias("arrays"))
-    cuts = removed.select("group", F.lit(0).alias("part"), none.alias("keys"), none.alias("counts"), none.alias("raw"), "arrays")
+    cuts = removed.groupBy("group").agg(F.collect_list("arrays").alias("cuts"))
     spans_type = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
 
     def work(batches):
-        for rows in sorted_groups(batches, "group"):
-            rows = rows.to_pylist()
-            ids, at, raw = _documents(rows[-1])
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            ids, at, raw = _documents(row)
             edge = np.zeros(len(raw) + 1, np.int32)
-            for r in rows[:-1]:
-                start, size = lookup.unpacked(r["arrays"], "<i8").reshape(2, -1)
+            for arrays in row["cuts"] or []:
+                start, size = lookup.unpacked(arrays, "<i8").reshape(2, -1)
                 np.add.at(edge, start, 1)
                 np.subtract.at(edge, start + size, 1)
             gone = np.cumsum(edge[:-1]) > 0
@@ -382,7 +430,10 @@ def remove(stored: DataFrame, removed: DataFrame) -> DataFrame:
             per_doc = np.searchsorted(begins, at)
             base = np.repeat(at[:-1], np.diff(per_doc))
             kept = raw[~gone]
-            kept_at = np.concatenate([[0], np.cumsum(~gone)])[at]
+            left = np.zeros(len(raw) + 1, np.int64)
+            np.cumsum(~gone, out=left[1:])
+            kept_at = left[at]
+            del left, edge, border, before, after
             for first, end in _pieces(at):
                 k, s = kept_at[first : end + 1], per_doc[first : end + 1]
                 values = pa.Array.from_buffers(pa.binary(), end - first, [None, pa.py_buffer((k - k[0]).astype(np.int32).tobytes()), pa.py_buffer(kept[k[0] : k[-1]].tobytes())])
@@ -390,35 +441,24 @@ def remove(stored: DataFrame, removed: DataFrame) -> DataFrame:
                 doc_ids = pa.array(ids[first:end], pa.int64(), mask=ids[first:end] == NULL_ID)
                 yield pa.RecordBatch.from_arrays([doc_ids, pa.array(np.diff(at[first : end + 1])), pa.ListArray.from_arrays((s - s[0]).astype(np.int32), spans).cast(spans_type), values], ["doc_id", "n_bytes", "spans", "kept"])
 
-    dealt = cuts.unionByName(texts).repartition("group").sortWithinPartitions("group", "part")
-    return dealt.mapInArrow(work, "doc_id long, n_bytes long, spans array<struct<from: long, to: long>>, kept binary")
+    return _texts(stored).join(cuts, "group", "left").mapInArrow(work, "doc_id long, n_bytes long, spans array<struct<from: long, to: long>>, kept binary")
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, batches_per_salt: int = BATCHES_PER_SALT) -> DataFrame:
     """doc_id, n_bytes, spans, kept of every document of docs(doc_id, text). length: 16 bytes at least."""
     if length < GRAM:
         raise ValueError(f"length has to be {GRAM} at least")
-    buckets = max(64, math.ceil(text_bytes(docs) / BATCH_BYTES))
+    buckets = max(64, math.ceil(text_bytes(docs) / BUCKET_BYTES))
     stored = stage(store_batches(docs, length, buckets), "suffix-batches")
     asked = stored.where("kind is not null").drop("raw")
     groups = stored.where("kind is null").count()
-    model = lookup.merged(asked, groups)
-
-    def flag(batches):
-        for batch in batches:
-            values = [lookup.packed((lookup.unpacked(c, "<i8") > 1).astype("<f4")) for c in batch.column("counts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("kind", "bucket", "keys")), pa.array(values, pa.binary())], ["kind", "bucket", "keys", "values"])
-
-    valued = stage(model.select("kind", "bucket", "keys", "counts").mapInArrow(flag, "kind int, bucket long, keys binary, values binary"), "suffix-shared")
-    answered = lookup.answers(asked, valued, groups, {KIND: "<f4"})
-    sent = stage(shared_ranges(stored, answered, length, buckets), "suffix-ranges")
-    removed = sent.where("bucket is null")
+    sent = shared_ranges(stored, shared_flags(asked), length, buckets)
     salts = max(1, math.ceil(groups / batches_per_salt))
-    open_ranges = sent.where("bucket is not null")
     if salts > 1:
-        salt = F.pmod(F.xxhash64("group"), F.lit(salts))
-        first = stage(settle(open_ranges.withColumn("task", F.xxhash64("bucket", salt)), length, forward=True), "suffix-settled")
-        removed = removed.unionByName(first.where("bucket is null"))
-        open_ranges = first.where("bucket is not null")
-    last = settle(open_ranges.withColumn("task", F.xxhash64("bucket")), length, forward=False)
-    return remove(stored, removed.unionByName(last))
+        sent = settle(_dealt(sent, "bucket", F.pmod(F.xxhash64("group"), F.lit(salts))), length, forward=True)
+    return remove(stored, settle(_dealt(sent, "bucket"), length, forward=False))
+
+
+def _dealt(rows: DataFrame, *keys) -> DataFrame:
+    """Adds the task; rows without a bucket go anywhere."""
+    return rows.withColumn("task", F.when(F.col("bucket").isNull(), F.xxhash64("group")).otherwise(F.xxhash64(*keys)))
