@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,16 +15,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each step moves a node's neighbours to the smallest one it knows, as joins
     and minimum aggregates with map-side combine; the table is written after
-    each round. No component is ever gathered in one task. Loops and repeated
+    each round. A task first shortens the edges it has at hand to trees of depth
+    one. No component is ever gathered in one task. Loops and repeated
     edges do no harm; nodes that only occur in a loop have no row.
     """
-    links = stage(_oriented(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
+    links = edges.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).mapInArrow(_shorten, "u long, v long")
+    links = stage(_oriented(links), "components")
     before = None
     while (now := links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()) != before:
         before = now
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = _oriented(both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        # Repeated pairs do no harm to a minimum; only what is written is made distinct.
+        large = both.join(lowest, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(lowest, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         links = stage(_oriented(moved.select("e.*")), "components")
@@ -30,6 +35,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return members.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _shorten(batches):
+    """The edges of each batch as stars around the smallest node of what they connect."""
+    for batch in batches:
+        u, v = (np.asarray(batch.column(n)) for n in ("u", "v"))
+        nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        a, b = at[: len(u)], at[len(u) :]
+        label = np.arange(len(nodes))
+        while True:
+            before = label.copy()
+            np.minimum.at(label, a, label[b])
+            np.minimum.at(label, b, label[a])
+            label = label[label]
+            if (label == before).all():
+                break
+        apart = label != np.arange(len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[apart]), pa.array(nodes[label[apart]])], ["u", "v"])
+
+
 def _oriented(pairs: DataFrame) -> DataFrame:
     """Distinct pairs, the larger node first, without loops."""
     return pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

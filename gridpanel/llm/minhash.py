@@ -259,20 +259,18 @@ class Sets:
         common = int((b[place] == a).sum())
         return 100 * common >= percent * (len(a) + len(b) - common)
 
-    def compare(self, left: list[int], right: list[int], percent: int) -> list[tuple[int, int]]:
-        """Links that join clusters, over all pairs of left and right not joined yet."""
-        found = []
+    def compare(self, left: list[int], right: list[int], percent: int) -> None:
+        """Join what is linked, over all pairs of left and right that are not joined yet."""
         for i in left:
             for j in right:
                 if i != j and self.find(i) != self.find(j) and self.linked(i, j, percent):
                     self.degree[[i, j]] += 1
                     self.root[max(self.find(i), self.find(j))] = min(self.find(i), self.find(j))
-                    found.append((i, j))
-        return found
 
 
 def _compare_tasks(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """rows: task, side (0, 1 or 2: both), cluster, node, text. Links a, b between the sides of each task, with b's degree there."""
+    """rows: task, side (0, 1 or 2: both), cluster, node, text. For each node that is joined with others in its
+    task: a (the node), b (the first node of its group there, side 0 first) and the links it was seen to have."""
 
     def work(batches):
         for group in sorted_groups(batches, "task"):
@@ -283,12 +281,13 @@ def _compare_tasks(rows: DataFrame, words: int, percent: int) -> DataFrame:
                     sets.root[sets.find(k)] = sets.find(same.iloc[0])
             side = frame["side"].to_numpy()
             both = np.flatnonzero(side == 2).tolist()
-            found = sets.compare(both, both, percent) if both else sets.compare(np.flatnonzero(side == 0).tolist(), np.flatnonzero(side == 1).tolist(), percent)
-            a, b = sets.nodes[[i for i, _ in found]], sets.nodes[[j for _, j in found]]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            sets.compare(both or np.flatnonzero(side == 0).tolist(), both or np.flatnonzero(side == 1).tolist(), percent)
+            root = np.array([sets.find(i) for i in range(len(sets.nodes))], np.int64)
+            told = (root != np.arange(len(root))) | (sets.degree > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(sets.nodes[told]), pa.array(sets.nodes[root[told]]), pa.array(sets.degree[told])], ["a", "b", "degree"])
 
-    dealt = rows.select("task", "side", "cluster", "node", "text").repartition("task").sortWithinPartitions("task", "node")
-    return dealt.mapInArrow(work, "a long, b long")
+    dealt = rows.select("task", "side", "cluster", "node", "text").repartition("task").sortWithinPartitions("task", "side", "node")
+    return dealt.mapInArrow(work, "a long, b long, degree long")
 
 
 def confirmed_links(members: DataFrame, words: int, percent: int, small: int = 256, block: int = 128) -> DataFrame:
@@ -297,51 +296,52 @@ def confirmed_links(members: DataFrame, words: int, percent: int, small: int = 2
     members: node, component (of the candidates), text. Components of up to
     ``small`` documents are compared in one task.
     """
-    sizes = members.groupBy("component").agg(F.count("*").alias("members"))
+    sizes = stage(members.groupBy("component").agg(F.count("*").alias("members")), "minhash-sizes")
     sized = members.join(sizes, "component")
-    alone = sized.where(F.col("members") <= small).select(F.col("component").alias("task"), F.lit(2).alias("side"), F.lit(-1).cast("long").alias("cluster"), "node", "text")
-    links = stage(_compare_tasks(alone, words, percent), "minhash-links")
-    large = sized.where(F.col("members") > small)
+    alone = F.lit(-1).cast("long").alias("cluster")
+    little = sized.where(F.col("members") <= small).select(F.col("component").alias("task"), F.lit(2).alias("side"), alone, "node", "text")
+    links = stage(_compare_tasks(little, words, percent), "minhash-links")
     if not sizes.where(F.col("members") > small).limit(1).count():
-        return links
+        return links.select("a", "b")
     # Blocks of about ``block`` documents by hash, each compared in itself.
     number = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / block))
-    large = stage(large.select("component", "members", "node", "text", number.alias("block")), "minhash-large")
-    inside = large.select(F.xxhash64("component", "block").alias("task"), F.lit(2).alias("side"), F.lit(-1).cast("long").alias("cluster"), "node", "text")
-    links = _union(links, _compare_tasks(inside, words, percent))
-    # The member with most links of the largest cluster against all that are outside it.
-    state = _clusters(large, links)
-    degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-    hubs = state.where("inside").join(degrees, "node").groupBy("component").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub"))
-    outside = state.where("not inside").join(hubs, "component")
-    tasks = outside.select(F.xxhash64("component", "block").alias("task"), "hub", F.lit(1).alias("side"), "cluster", "node")
-    stars = tasks.select("task", F.col("hub").alias("node")).distinct().select("task", F.lit(0).alias("side"), F.lit(-1).cast("long").alias("cluster"), "node")
+    large = stage(sized.where(F.col("members") > small).select("component", "node", "text", number.alias("block")), "minhash-large")
     texts = large.select("node", "text")
-    rows = tasks.select("task", "side", "cluster", "node").unionByName(stars).join(texts, "node")
-    links = _union(links, _compare_tasks(rows, words, percent))
+    inside = large.select(F.xxhash64("component", "block").alias("task"), F.lit(2).alias("side"), alone, "node", "text")
+    inside = stage(_compare_tasks(inside, words, percent), "minhash-links")
+    links = links.unionByName(inside)
+    state = large.select("component", "block", "node").join(inside.withColumnRenamed("a", "node"), "node", "left")
+    state = _with_largest(state.select("component", "block", "node", F.coalesce("b", "node").alias("cluster"), F.coalesce("degree", F.lit(0)).alias("degree")))
+    if not state.where("not inside").limit(1).count():
+        return links.select("a", "b")
+    # The member with most links of the largest cluster against all that are outside it.
+    hubs = state.where("inside").groupBy("component").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub"))
+    hubs = stage(hubs, "minhash-hubs")
+    tasks = state.where("not inside").join(hubs, "component").select(F.xxhash64("component", "block").alias("task"), "hub", F.lit(1).alias("side"), "cluster", "node")
+    centres = tasks.select("task", F.col("hub").alias("node")).distinct().select("task", F.lit(0).alias("side"), alone, "node")
+    stars = tasks.select("task", "side", "cluster", "node").unionByName(centres).join(texts, "node")
+    stars = stage(_compare_tasks(stars, words, percent), "minhash-links")
+    links = links.unionByName(stars)
+    reached = stars.join(hubs.select(F.col("hub").alias("b")), "b", "left_semi").select(F.col("a").alias("node"))
+    moved = state.join(reached, "node", "left_semi").select("component", "cluster").distinct().withColumn("_moved", F.lit(True))
+    state = state.join(moved, ["component", "cluster"], "left").withColumn("cluster", F.when(F.col("_moved"), F.col("top")).otherwise(F.col("cluster")))
+    state = _with_largest(state.select("component", "block", "node", "cluster", "degree"))
     # What is still outside the largest cluster against all other blocks; its own block is done.
-    state = stage(_clusters(large, links), "minhash-state")
     blocks = state.select("component", F.col("block").alias("other")).distinct()
     parts = state.where("not inside").select("component", F.col("block").alias("part")).distinct()
     tasks = parts.join(blocks, "component").where("part <> other").withColumn("task", F.xxhash64("component", "part", "other"))
     left = state.where("not inside").join(tasks, (state["component"] == tasks["component"]) & (state["block"] == tasks["part"]))
     right = state.join(tasks, (state["component"] == tasks["component"]) & (state["block"] == tasks["other"]))
     rows = left.select("task", F.lit(0).alias("side"), "cluster", "node").unionByName(right.select("task", F.lit(1).alias("side"), "cluster", "node"))
-    return _union(links, _compare_tasks(rows.join(texts, "node"), words, percent))
-
-
-def _union(links: DataFrame, more: DataFrame) -> DataFrame:
-    return links.unionByName(stage(more, "minhash-links"))
+    rest = stage(_compare_tasks(rows.join(texts, "node"), words, percent), "minhash-links")
+    return links.unionByName(rest).select("a", "b")
 
 
-def _clusters(large: DataFrame, links: DataFrame) -> DataFrame:
-    """component, block, node, cluster (so far), inside (of the component's largest cluster)."""
-    found = connected_components(links).withColumnRenamed("component", "cluster")
-    named = large.select("component", "block", "node").join(found, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
-    named = stage(named, "minhash-clusters")
-    sizes = named.groupBy("component", "cluster").agg(F.count("*").alias("n"))
+def _with_largest(state: DataFrame) -> DataFrame:
+    """Adds top (the component's largest cluster) and inside (a member of it), written."""
+    sizes = state.groupBy("component", "cluster").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("component").agg(F.max_by("cluster", F.struct("n", -F.col("cluster"))).alias("top"))
-    return named.join(largest, "component").withColumn("inside", F.col("cluster") == F.col("top")).drop("top")
+    return stage(state.join(largest, "component").withColumn("inside", F.col("cluster") == F.col("top")), "minhash-state")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, most: int = 1024, small: int = 256, block: int = 128) -> DataFrame:
@@ -352,7 +352,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, most: in
     signed = stage(signatures(docs, words), "minhash-signed")
     full = signed.where("n_shingles > 0")
     by_set = ["set_a", "set_b", "n_shingles"]
-    classes = stage(full.groupBy(*by_set).agg(F.min("node").alias("class")), "minhash-classes")
+    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("least")
+    classes = stage(full.groupBy(*by_set).agg(F.min("node").alias("class"), least), "minhash-classes")
     rows = full.join(classes.select(F.col("class").alias("node")), "node")
     edges = stage(candidate_edges(rows.select("node", "signature", "bands"), percent / 100, most), "minhash-edges")
     groups = stage(connected_components(edges), "minhash-groups")
@@ -361,13 +362,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, most: in
     members = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_row"))).select("node", "component", "text")
     links = stage(confirmed_links(stage(members, "minhash-members"), words, percent, small, block), "minhash-confirmed")
     named = classes.join(connected_components(links).withColumnRenamed("node", "class"), "class", "left")
-    named = named.select(*by_set, F.coalesce("component", "class").alias("label"))
-    labelled = signed.select("doc_id", "row", "node", *by_set).join(named, by_set, "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = stage(labelled.select("doc_id", "row", "node", "n_shingles", "label"), "minhash-labelled")
-    heads = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    with_head = labelled.join(heads, "label")
-    first = with_head.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label").agg(F.min("node").alias("_first"))
-    return with_head.join(first, "label").select("doc_id", "row", "n_shingles", "component_id", (F.col("node") == F.col("_first")).alias("kept_row"))
+    named = stage(named.select(*by_set, "least", F.coalesce("component", "class").alias("label")), "minhash-named")
+    heads = stage(named.groupBy("label").agg(F.min("least").alias("head")), "minhash-heads")
+    named = named.join(heads, "label").select(*by_set, F.col("head.doc_id").alias("_first_id"), F.col("head.node").alias("_first"))
+    # Documents without shingles match no class and stand alone.
+    out = signed.select("doc_id", "row", "node", *by_set).join(named, by_set, "left")
+    component = F.when(F.col("_first").isNull(), F.col("doc_id")).otherwise(F.col("_first_id")).alias("component_id")
+    return out.select("doc_id", "row", "n_shingles", component, F.coalesce(F.col("node") == F.col("_first"), F.lit(True)).alias("kept_row"))
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
