@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gridpanel.catalog import training
 from gridpanel.plans import compare, evaluate, models, splits, studies
 from gridpanel.plans.demo_panel import results_from_lineitem
 
@@ -107,3 +108,22 @@ def test_podium_study_on_the_derived_panel(spark, folder):
     counts = studies.podium_finish(results_from_lineitem(spark, folder), 2, sets, ("logistic", "boosted"), SMALL)
     mean = {r.model: r.accuracy for r in compare.mean_accuracy(counts).collect()}
     assert set(mean) == {"logistic", "boosted"} and all(value > 0.5 for value in mean.values())
+
+
+@pytest.fixture
+def fits(monkeypatch):
+    """(kind, features, settings) of every fit asked for; nothing is trained, every row is predicted 0."""
+    asked = []
+
+    def fit(kind, train, features, rows, settings=models.Settings()):
+        asked.append((kind, tuple(features), settings))
+        return lambda df, name: df.withColumn(name, F.lit(0.0))
+
+    monkeypatch.setattr(models, "fit", fit)
+    return asked
+
+
+def test_ablation_runs_all_folds(spark, folder, fits):
+    rows = training.ablation(spark, folder).collect()
+    assert {(r.feature_set, r.model) for r in rows} == {(s, m) for s in models.FEATURE_SETS for m in compare.CLASS_MODELS}
+    assert {r.folds for r in rows} == {20} and len(fits) == 4 * 20 * 4
