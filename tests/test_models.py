@@ -127,3 +127,13 @@ def test_ablation_runs_all_folds(spark, folder, fits):
     rows = training.ablation(spark, folder).collect()
     assert {(r.feature_set, r.model) for r in rows} == {(s, m) for s in models.FEATURE_SETS for m in compare.CLASS_MODELS}
     assert {r.folds for r in rows} == {20} and len(fits) == 4 * 20 * 4
+
+
+def test_registered_queries_fit_full_size_models(spark, folder, fits):
+    full = {0.0: models.Settings(), 1.2: models.Settings(svm_c=1.2)}
+    fewest = {"model_compare": 5, "svm_kernel_features": 1, "gbt_regress_round": 1, "svm_linear": 1, "points_folds": 20, "points_fold_support": 20}
+    for name, count in fewest.items():
+        fits.clear()
+        training.QUERIES[name](spark, folder)
+        wanted = full[1.2 if name in {"svm_linear", "points_folds", "points_fold_support"} else 0.0]
+        assert len(fits) == count and {s for _, _, s in fits} == {wanted}, name
