@@ -3,7 +3,9 @@
 Parameters follow the usual single-machine defaults where Spark has the same
 knob: an L2 penalty of strength 1/C on the summed loss is ``1 / (C * rows)``
 on Spark's mean loss, forests have 100 trees, boosting 100 rounds of depth 3
-at rate 0.1. Spark needs a depth limit for trees; ``max_depth`` sets it.
+at rate 0.1. Spark limits the depth of trees; ``max_depth`` is the most it
+allows. The linear models and SVMs end by Spark's tolerance (1e-6) unless their
+iterations run out before.
 """
 
 from __future__ import annotations
@@ -43,9 +45,10 @@ class Settings:
     c: float = 1.0
     svm_c: float = 1.0
     linear_iterations: int = 1000
-    svm_iterations: int = 100
+    multinomial_iterations: int = 100_000
+    svm_iterations: int = 100_000
     trees: int = 100
-    max_depth: int = 10
+    max_depth: int = 30
     boosting_rounds: int = 100
     boosting_depth: int = 3
     boosting_rate: float = 0.1
@@ -139,7 +142,7 @@ def fit(kind: str, train: DataFrame, features: list[str], rows: int, settings: S
         ),
         "multinomial": lambda: LogisticRegression(
             family="multinomial",
-            maxIter=s.linear_iterations,
+            maxIter=s.multinomial_iterations,
             regParam=1.0 / (s.c * rows),
             standardization=False,
             **columns,

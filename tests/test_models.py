@@ -137,3 +137,24 @@ def test_registered_queries_fit_full_size_models(spark, folder, fits):
         training.QUERIES[name](spark, folder)
         wanted = full[1.2 if name in {"svm_linear", "points_folds", "points_fold_support"} else 0.0]
         assert len(fits) == count and {s for _, _, s in fits} == {wanted}, name
+
+
+def test_defaults_leave_the_end_to_the_models(planted, monkeypatch):
+    s = models.Settings()
+    assert (s.max_depth, s.linear_iterations, s.multinomial_iterations) == (30, 1000, 100_000)
+    seen = {}
+    for name in ("LogisticRegression", "LinearSVC"):
+        estimator = getattr(models, name)
+
+        class Watched(estimator):
+            def fit(self, dataset, params=None, own=name):
+                model = super().fit(dataset, params)
+                seen[own] = (model.summary().totalIterations if own == "LinearSVC" else model.summary.totalIterations, self.getMaxIter())
+                return model
+
+        monkeypatch.setattr(models, name, Watched)
+    classes = planted.withColumn("label", F.ceil(F.col("position") / 5).cast("double"))
+    models.fit("multinomial", classes, FEATURES, 600)
+    models.fit("linear_svm", planted, FEATURES, 600)
+    assert seen["LogisticRegression"][1] == 100_000 and seen["LinearSVC"][1] == s.svm_iterations
+    assert all(done < most for done, most in seen.values()), seen
