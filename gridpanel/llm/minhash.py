@@ -326,11 +326,13 @@ def confirmed_links(members: DataFrame, words: int, percent: int, small: int = 2
     moved = state.join(reached, "node", "left_semi").select("component", "cluster").distinct().withColumn("_moved", F.lit(True))
     state = state.join(moved, ["component", "cluster"], "left").withColumn("cluster", F.when(F.col("_moved"), F.col("top")).otherwise(F.col("cluster")))
     state = _with_largest(state.select("component", "block", "node", "cluster", "degree"))
-    # What is still outside the largest cluster against all other blocks; its own block is done.
-    blocks = state.select("component", F.col("block").alias("other")).distinct()
-    parts = state.where("not inside").select("component", F.col("block").alias("part")).distinct()
-    tasks = parts.join(blocks, "component").where("part <> other").withColumn("task", F.xxhash64("component", "part", "other"))
-    left = state.where("not inside").join(tasks, (state["component"] == tasks["component"]) & (state["block"] == tasks["part"]))
+    # What is still outside the largest cluster against all other blocks; its own block is done. Two blocks that both
+    # have such members meet once, as wholes: what lies inside the largest cluster on both sides is joined already.
+    blocks = state.groupBy("component", F.col("block").alias("other")).agg(F.max(~F.col("inside")).alias("mutual"))
+    parts = blocks.where("mutual").select("component", F.col("other").alias("part"))
+    tasks = parts.join(blocks, "component").where("part < other or (part > other and not mutual)")
+    tasks = stage(tasks.withColumn("task", F.xxhash64("component", "part", "other")), "minhash-pairs")
+    left = state.join(tasks, (state["component"] == tasks["component"]) & (state["block"] == tasks["part"])).where("mutual or not inside")
     right = state.join(tasks, (state["component"] == tasks["component"]) & (state["block"] == tasks["other"]))
     rows = left.select("task", F.lit(0).alias("side"), "cluster", "node").unionByName(right.select("task", F.lit(1).alias("side"), "cluster", "node"))
     rest = stage(_compare_tasks(rows.join(texts, "node"), words, percent), "minhash-links")

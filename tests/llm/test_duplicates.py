@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridpanel.llm import lookup, minhash, suffix_dedup
 from gridpanel.llm.components import connected_components
@@ -169,3 +170,20 @@ def test_lookup_answers_in_order(spark):
     valued = lookup.merged(asked, groups=100).selectExpr("kind", "bucket", "keys", "counts as values")
     out = {r.group: lookup.unpacked(r["values"], "<i8").tolist() for r in lookup.answers(asked, valued, 100, {0: "<i8"}).collect()}
     assert out == {0: [1, 2, 2], 1: [2, 1], 2: [2]}
+
+
+def test_each_pair_of_blocks_meets_once(spark, monkeypatch):
+    # one candidate component of documents that are not linked: almost all stay outside its largest cluster
+    rows = [(k, 1, f"w{k} x{k} y{k}") for k in range(40)] + [(40, 1, "w3 x3 y3")]
+    members = spark.createDataFrame(rows, "node long, component long, text string")
+    pairs, compare = [], minhash._compare_tasks
+
+    def watched(tasks, words, percent):
+        sides = tasks.groupBy("task").agg(F.sort_array(F.collect_set(F.pmod(F.xxhash64("node"), F.lit(6)))).alias("blocks"), F.max("side").alias("side"))
+        pairs.append([tuple(r.blocks) for r in sides.where("side = 1").collect()])
+        return compare(tasks, words, percent)
+
+    monkeypatch.setattr(minhash, "_compare_tasks", watched)
+    links = minhash.confirmed_links(members, 2, 80, small=7, block=7).collect()
+    assert {tuple(sorted((r.a, r.b))) for r in links if r.a != r.b} == {(3, 40)}
+    assert pairs[-1] and len(pairs[-1]) == len(set(pairs[-1]))
