@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.llm import context_trees, line_dedup, minhash, mixing, packing, quality, suffix_dedup, token_files, topk, toxicity
+from gridpanel.llm import code_trie, context_trees, line_dedup, mean_search, minhash, mixing, packing, quality, suffix_dedup, token_files, topk, toxicity, winnowing
 from gridpanel.llm.common import fold, read, stage
 from gridpanel.scratch import scratch_path
 
@@ -134,6 +134,124 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality_score")
 
 
+def op11_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = winnowing.find_passages(docs, read(spark, folder, "benchmark").select("item_id", "text"), window=10)
+    hits = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    items = [F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")]
+    return found.select("doc_id", "n_words", hits.alias("n_hit"), *items, (hits > 0).alias("contaminated"))
+
+
+OP11_SQL = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+),
+item_starts AS (SELECT item_id, w, least(10, len(w)) AS t, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, t, array_to_string(w[i : i + t - 1], ' ') AS g FROM item_starts),
+doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+doc_starts AS (SELECT doc_id, w, t, unnest(range(1, len(w) - t + 2)) AS i FROM doc_words, (SELECT DISTINCT t FROM windows)),
+hits AS (
+  SELECT DISTINCT d.doc_id, d.t, d.i, x.item_id
+  FROM (SELECT doc_id, t, i, array_to_string(w[i : i + t - 1], ' ') AS g FROM doc_starts) d JOIN windows x USING (t, g)
+),
+hit_words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + t)) AS j FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+def op12_code_trie(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = code_trie.prepare(read(spark, folder, "embeddings").select("vec_id", "embedding", "label"), scale=256)
+    books = code_trie.train(vectors, parts=16, entries=64, rounds=2, scale=256)
+    coded = stage(code_trie.encode(vectors, books, keep=["vec_id", "label"]), "codes")
+    summed = code_trie.with_label_error(coded).drop("label")
+    return summed.withColumn("codebooks_sha256", F.lit(books.sha256() if books else None).cast("string"))
+
+
+def _op12_sql(rounds: int = 2) -> str:
+    """The rounds, one after the other."""
+    ctes = """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS (SELECT vec_id, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] AS x FROM kept, range(16) t(p)),
+first_ids AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64),
+book0 AS (SELECT p, e, x FROM parts JOIN first_ids USING (vec_id))"""
+    for r in range(rounds + 1):
+        ctes += f""",
+near{r} AS (
+  SELECT a.vec_id, a.p, any_value(a.x) AS x, min(struct_pack(d := list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e := b.e)) AS n
+  FROM parts a JOIN book{r} b USING (p) GROUP BY a.vec_id, a.p
+)"""
+        if r < rounds:
+            ctes += f""",
+sums{r} AS (
+  SELECT p, n.e AS e, i, sum(y)::BIGINT AS s, count(*) AS c
+  FROM (SELECT p, n, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM near{r}) GROUP BY ALL
+),
+moved{r} AS (SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY i) AS x FROM sums{r} GROUP BY p, e),
+book{r + 1} AS (SELECT p, e, coalesce(m.x, b.x) AS x FROM book{r} b LEFT JOIN moved{r} m USING (p, e))"""
+    return ctes + f""",
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', n.e), '' ORDER BY p) AS code, sum(n.d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id
+),
+by_label AS (SELECT label, sum(error)::BIGINT AS label_error FROM coded JOIN kept USING (vec_id) GROUP BY label),
+digest AS (
+  SELECT sha256(string_agg(y, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(x)::VARCHAR AS y, generate_subscripts(x, 1) AS i FROM book{rounds})
+)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id) JOIN by_label b ON kept.label IS NOT DISTINCT FROM b.label, digest
+"""
+
+
+def op13_mean_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return mean_search.cluster(vectors, k=40, rounds=5, components=64, scale=256, seed=2, keep=["vec_id"])
+
+
+def _op13_sql(rounds: int = 5) -> str:
+    """The rounds, one after the other."""
+    ctes = """
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+centroids0 AS (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, v AS x
+  FROM (SELECT sha256('2:' || vec_id::VARCHAR) AS h, v FROM kept ORDER BY h LIMIT 40)
+)"""
+    for r in range(rounds + 1):
+        ctes += f""",
+near{r} AS (
+  SELECT a.vec_id, any_value(a.v) AS v, min(struct_pack(d := list_sum(list_transform(list_zip(a.v, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, c := b.c)) AS n
+  FROM kept a, centroids{r} b GROUP BY a.vec_id
+)"""
+        if r < rounds:
+            ctes += f""",
+sums{r} AS (SELECT n.c AS c, i, sum(y)::BIGINT AS s, count(*) AS m FROM (SELECT n, unnest(v) AS y, generate_subscripts(v, 1) AS i FROM near{r}) GROUP BY ALL),
+moved{r} AS (SELECT c, list((s - ((s % m) + m) % m) // m ORDER BY i) AS x FROM sums{r} GROUP BY c),
+centroids{r + 1} AS (SELECT c, coalesce(k.x, b.x) AS x FROM centroids{r} b LEFT JOIN moved{r} k USING (c))"""
+    return ctes + f""",
+found AS (SELECT vec_id, n.c::INTEGER AS cluster, n.d AS distance FROM near{rounds})
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(x, ',')) AS centroid_sha256
+FROM found JOIN centroids{rounds} ON c = cluster
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -145,10 +263,16 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_winnowing": op11_winnowing,
+    "op12_code_trie": op12_code_trie,
+    "op13_mean_search": op13_mean_search,
 }
 
 SQL: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op3_exact_top_k": OP3_SQL,
     "op8_minhash_near_dedup": OP8_SQL,
+    "op11_winnowing": OP11_SQL,
+    "op12_code_trie": _op12_sql(),
+    "op13_mean_search": _op13_sql(),
 }

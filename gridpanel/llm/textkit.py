@@ -82,9 +82,22 @@ class Hasher:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + length)
 
 
-def word_ranges(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class WordSums:
+    """Prefix sums of word hashes that give the hash of any run of words at once."""
+
+    def __init__(self, words: np.ndarray):
+        up, self.down = powers(len(words) + 1)
+        self.words = len(words)
+        self.sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * up[:-1], out=self.sums[1:])
+
+    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
+def word_ranges(raw: np.ndarray, at: np.ndarray, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words in order, and the first word of each document (one more than rows)."""
-    solid = ~SPACE[raw]
+    solid = ~separators[raw]
     border = np.zeros(len(raw) + 1, bool)
     border[at] = True
     before = np.empty(len(raw), bool)
