@@ -50,6 +50,12 @@ def fold_sizes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def race_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """Folds whose edges lie between races: none is split between training and test rows."""
+    folds = splits.unsplit(_folds(spark, folder), ["season", "no"])
+    return folds.rows.select("position_id", "test_fold")
+
+
 def hash_holdout_split(spark: SparkSession, folder: str) -> DataFrame:
     (orders,) = read_inputs(spark, folder, "orders")
     return splits.holdout(orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
@@ -104,6 +110,7 @@ def position_report(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "expanding_window_folds": expanding_window_folds,
     "fold_sizes": fold_sizes,
+    "race_folds": race_folds,
     "hash_holdout_split": hash_holdout_split,
     "standard_scaling": standard_scaling,
     "rule_accuracy": rule_accuracy,
@@ -162,7 +169,7 @@ UNION ALL SELECT {key} 'weighted avg', round(sum(p * support) / sum(support), 6)
 
 
 _SCALED = ["previous_race_pos", "previous_year_pos", "qualy_pos", "gain", "sprint_pos"]
-_HASHED = "CAST('0x' || left(md5({key} || ':42'), 8) AS BIGINT) % 100 < 20"
+HASHED = "CAST('0x' || left(md5({key} || ':42'), 8) AS BIGINT) % 100 < 20"
 
 SQL = {
     "expanding_window_folds": folds_sql(FOLDS) + "SELECT position_id, row_index, test_fold FROM folds",
@@ -173,13 +180,14 @@ SELECT f.fold, count(*) FILTER (WHERE test_fold < f.fold) AS train_rows,
        CAST(sum(label) FILTER (WHERE test_fold < f.fold) AS BIGINT) AS train_positives,
        CAST(sum(label) FILTER (WHERE test_fold = f.fold) AS BIGINT) AS test_positives
 FROM folds CROSS JOIN (SELECT CAST(unnest(range(1, 21)) AS INTEGER) AS fold) f GROUP BY f.fold""",
+    "race_folds": folds_sql(FOLDS) + "SELECT position_id, min(test_fold) OVER (PARTITION BY season, no) AS test_fold FROM folds",
     "hash_holdout_split": f"""
-SELECT o_orderkey, o_orderpriority, CASE WHEN {_HASHED.format(key="o_orderkey")} THEN 'test' ELSE 'train' END AS part
+SELECT o_orderkey, o_orderpriority, CASE WHEN {HASHED.format(key="o_orderkey")} THEN 'test' ELSE 'train' END AS part
 FROM orders""",
     "standard_scaling": panel_sql()
     + f""",
 split AS (
-  SELECT *, CASE WHEN {_HASHED.format(key="position_id")} THEN 'test' ELSE 'train' END AS part FROM panel
+  SELECT *, CASE WHEN {HASHED.format(key="position_id")} THEN 'test' ELSE 'train' END AS part FROM panel
 ),
 stats AS (
   SELECT {", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS d_{f}" for f in _SCALED)} FROM split WHERE part = 'train'

@@ -1,106 +1,261 @@
 """Model comparison on a shared split, over folds and over feature sets.
 
-The driver only loops over fits. The panel is staged once with its fold
-numbers, each fold reads the rows it needs, all models of a fold predict in
-one pass over its test rows, and what is kept are confusion counts.
+Rows are staged once with a block number: fold f trains on all blocks before f
+and is tested on block f (a hold-out is one fold). Linear models and SVMs of all
+folds and feature sets are solved together (``solvers``); trees are grown by
+Spark tasks, fold by fold (``trees``). Finished models go to the tasks that hold
+the test rows, which send back counts of (label, prediction) pairs.
+
+Results are written to a ledger folder as each part of a study ends: one part
+per linear kind, one per fold of the tree kinds. A study that is started again
+with the same ledger, data and settings does only the parts that are missing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import hashlib
+import pickle
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpanel.plans import models
-from gridpanel.plans.evaluate import accuracy, classification_report, confusion, fold_mean, last_fold
+from gridpanel.plans import models, solvers, trees
+from gridpanel.plans.evaluate import accuracy, classification_report, fold_mean, last_fold
 from gridpanel.plans.splits import Folds, holdout
-from gridpanel.scratch import scratch_path, stage
+from gridpanel.scratch import exists, scratch_path, stage
 
 POSITION_MODELS = ("multinomial", "tree", "forest", "boosted_regression", "kernel_svm")
 CLASS_MODELS = ("logistic", "forest", "linear_svm", "boosted")
+LINEAR = ("logistic", "linear_svm", "multinomial", "kernel_svm")
+TREES = ("tree", "forest", "boosted", "boosted_regression")
+SLICE = 10
+COUNTS = "feature_set string, fold int, model string, label double, prediction double, n bigint"
+CERTIFICATES = "feature_set string, fold int, model string, train_rows bigint, passes int, residual double, converged boolean"
 
 
-def _in_threads(df: DataFrame, call: Callable, arguments: Iterable, parallelism: int) -> list:
-    """Results of the calls; up to ``parallelism`` run, as Spark jobs, at a time."""
-    run = inheritable_thread_target(df.sparkSession)(call)
-    with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(run, arguments))
+class Study(NamedTuple):
+    """Staged rows (block, label, draw, features) and what is compared on them."""
 
+    rows: DataFrame
+    features: list[str]
+    sets: dict[str, list[str]]
+    folds: int
+    kinds: tuple[str, ...]
+    settings: models.Settings
+    ledger: str
 
-def _predictions(
-    train: DataFrame,
-    test: DataFrame,
-    features: list[str],
-    kinds: tuple[str, ...],
-    rows: int,
-    settings: models.Settings,
-    parallelism: int = 1,
-) -> DataFrame:
-    """Test rows of every model: (model, label, prediction)."""
-
-    def fit(kind: str) -> models.Predictor:
-        return models.fit(kind, train, features, rows, settings)
-
-    out = test
-    for kind, predict in zip(kinds, _in_threads(train, fit, kinds, parallelism)):
-        out = predict(out, f"_by_{kind}")
-    votes = F.array(
-        *[F.struct(F.lit(kind).alias("model"), F.col(f"_by_{kind}").alias("prediction")) for kind in kinds]
-    )
-    return out.select("label", F.explode(votes).alias("v")).select("v.model", "label", "v.prediction")
-
-
-def on_holdout(
+    def columns(self, name: str) -> tuple[int, ...]:
+        return tuple(self.features.index(f) for f in self.sets[name])
+
+    def part(self, kind: str, name: str) -> str:
+        return f"{self.ledger}/{kind}/part={name}"
+
+
+def _study(rows: DataFrame, sets: dict[str, list[str]], folds: int, kinds: tuple[str, ...], settings: models.Settings, ledger: str | None) -> Study:
+    """rows: block, label, key (unique), features."""
+    features = sorted({f for chosen in sets.values() for f in chosen})
+    numbers = [F.col(f).cast("double").alias(f) for f in features]
+    staged = stage(rows.select(F.col("block").cast("int"), F.col("label").cast("double"), F.xxhash64("key").alias("draw"), *numbers), "study")
+    if ledger is not None:
+        # a digest of the rows, so that results of other data are never taken for these
+        digest = staged.agg(F.count("*"), F.sum(F.xxhash64("block", "label", "draw", *features).cast("decimal(38,0)"))).first()
+        what = repr((tuple(digest), sorted(sets.items()), folds, settings))
+        ledger = f"{ledger.rstrip('/')}/{hashlib.sha256(what.encode()).hexdigest()[:16]}"
+    return Study(staged, features, sets, folds, kinds, settings, ledger or scratch_path(rows.sparkSession, "ledger"))
+
+
+def holdout_study(
     labelled: DataFrame,
     features: list[str],
     kinds: tuple[str, ...] = POSITION_MODELS,
     settings: models.Settings = models.Settings(),
     key: str = "position_id",
-    parallelism: int = 4,
-) -> DataFrame:
-    """Confusion counts (model, label, prediction, n) on one hashed hold-out."""
-    split = stage(holdout(labelled.select(key, *features, "label"), key), "holdout")
-    train, test = split.filter("part = 'train'"), split.filter("part = 'test'")
-    train = train.persist()
-    rows = train.count()
-    predicted = _predictions(train, test, features, kinds, rows, settings, parallelism)
-    counts = stage(confusion(predicted, ["model"]), "confusion")
-    train.unpersist()
-    return counts
+    ledger: str | None = None,
+) -> Study:
+    """One hashed hold-out; the feature set is called ``all``."""
+    split = holdout(labelled.select(F.col(key).alias("key"), *features, "label"), "key")
+    rows = split.withColumn("block", F.when(F.col("part") == "train", 0).otherwise(1))
+    return _study(rows, {"all": features}, 1, kinds, settings, ledger)
 
 
-def over_folds(
+def fold_study(
     folds: Folds,
     feature_sets: dict[str, list[str]],
     kinds: tuple[str, ...] = CLASS_MODELS,
     settings: models.Settings = models.Settings(),
-    parallelism: int = 4,
-) -> DataFrame:
-    """Confusion counts (feature_set, fold, model, label, prediction, n).
-
-    Up to ``parallelism`` folds are trained at a time, so that the small last
-    steps of one fit do not leave the cluster idle.
-    """
-    spark = folds.rows.sparkSession
-    wanted = sorted({f for features in feature_sets.values() for f in features})
-    staged = stage(folds.rows.select("row_index", "test_fold", "label", *wanted), "folds").persist()
-    local = folds._replace(rows=staged)
-    path = scratch_path(spark, "confusion")
-
-    def evaluate_fold(job: tuple[str, int]) -> None:
-        name, fold = job
-        rows = folds.first_test_row(fold)
-        predicted = _predictions(local.train(fold), local.test(fold), feature_sets[name], kinds, rows, settings)
-        confusion(predicted, ["model"]).write.parquet(f"{path}/feature_set={name}/fold={fold}")
-
-    jobs = [(name, fold) for name in feature_sets for fold in range(1, folds.count + 1)]
-    _in_threads(staged, evaluate_fold, jobs, parallelism)
-    staged.unpersist()
-    counts = "model string, label double, prediction double, n bigint, feature_set string, fold int"
-    return spark.read.schema(counts).parquet(path)
+    ledger: str | None = None,
+) -> Study:
+    rows = folds.rows.withColumnsRenamed({"test_fold": "block", "row_index": "key"})
+    return _study(rows, feature_sets, folds.count, kinds, settings, ledger)
+
+
+def on_holdout(labelled: DataFrame, features: list[str], kinds: tuple[str, ...] = POSITION_MODELS, settings: models.Settings = models.Settings(), key: str = "position_id", ledger: str | None = None) -> DataFrame:
+    """Confusion counts (model, label, prediction, n) on one hashed hold-out."""
+    return run(holdout_study(labelled, features, kinds, settings, key, ledger)).drop("feature_set", "fold")
+
+
+def over_folds(folds: Folds, feature_sets: dict[str, list[str]], kinds: tuple[str, ...] = CLASS_MODELS, settings: models.Settings = models.Settings(), ledger: str | None = None) -> DataFrame:
+    """Confusion counts (feature_set, fold, model, label, prediction, n)."""
+    return run(fold_study(folds, feature_sets, kinds, settings, ledger))
+
+
+def run(study: Study, parallelism: int = 4) -> DataFrame:
+    """Confusion counts of all parts; those the ledger holds already are not done again."""
+    spark = study.rows.sparkSession
+    grown = tuple(k for k in study.kinds if k in TREES)
+    jobs: list[tuple[str, Callable[[], dict]]] = [(kind, lambda kind=kind: _solved(study, kind)) for kind in study.kinds if kind in LINEAR]
+    if grown:
+        name = "-".join(grown)
+        jobs += [(f"{name}-{fold}", lambda fold=fold: _grown(study, grown, fold)) for fold in range(1, study.folds + 1)]
+
+    def work(job: tuple[str, Callable[[], dict]]) -> None:
+        name, fit = job
+        if not exists(spark, study.part("counts", name) + "/_SUCCESS"):
+            _confusion(study, fit(), name)
+
+    _in_threads(study.rows, work, jobs, parallelism)
+    return spark.read.schema(COUNTS).parquet(*[study.part("counts", name) for name, _ in jobs])
+
+
+def certificates(study: Study) -> DataFrame:
+    """How each linear model and SVM of a finished study ended: passes over the rows, what was left, whether that is within bounds."""
+    spark = study.rows.sparkSession
+    return spark.read.schema(CERTIFICATES).parquet(*[study.part("certificates", kind) for kind in study.kinds if kind in LINEAR])
+
+
+def _in_threads(df: DataFrame, call: Callable, arguments: Iterable, parallelism: int) -> list:
+    """Results of the calls; up to ``parallelism`` run, as Spark jobs, at a time."""
+    run_ = inheritable_thread_target(df.sparkSession)(call)
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(run_, arguments))
+
+
+def _solved(study: Study, kind: str) -> dict[tuple[str, int, str], object]:
+    """Linear models of one kind, for every feature set and fold; their certificates are written."""
+    s = study.settings
+    stats = _block_sums(study)
+    wanted: dict[tuple[str, int], list] = {}
+    votes: dict[tuple[str, int], list[float]] = {}
+    for name in study.sets:
+        columns = study.columns(name)
+        designs = solvers.Design(columns)
+        for fold in range(1, study.folds + 1):
+            mean, deviation, classes, variance = stats(columns, fold)
+            if kind == "logistic":
+                found = [solvers.Binary(designs, fold, (1.0, 0.0), s.c, hinge=False)]
+            elif kind == "linear_svm":
+                found = [solvers.Binary(designs, fold, (1.0, 0.0), s.svm_c, hinge=True, shift=mean, scale=np.where(deviation > 0, deviation, 1.0))]
+            elif kind == "multinomial":
+                found = [solvers.Multinomial(designs, fold, np.array(classes), s.c)]
+            else:
+                found = solvers.pairs(solvers.nystroem(columns, _landmarks(study, columns), 1.0 / (len(columns) * (variance or 1.0))), fold, classes, s.svm_c)
+                votes[name, fold] = classes
+            wanted[name, fold] = found
+    every = [m for found in wanted.values() for m in found]
+    solvers.solve(study.rows, study.features, every, s.gradient_tolerance, s.svm_gap, s.newton_passes)
+    ends = [
+        (name, fold, kind, max((m.rows for m in found), default=0), max((m.passes for m in found), default=0), max((m.residual for m in found), default=0.0), all(m.converged for m in found))
+        for (name, fold), found in wanted.items()
+    ]
+    study.rows.sparkSession.createDataFrame(ends, CERTIFICATES).coalesce(1).write.mode("overwrite").parquet(study.part("certificates", kind))
+    wrap = {"multinomial": lambda n, f, m: solvers.Softmax(m[0]), "kernel_svm": lambda n, f, m: solvers.Votes(m, votes[n, f])}
+    return {(n, f, kind): wrap.get(kind, lambda n, f, m: solvers.Signs(m[0]))(n, f, m) for (n, f), m in wanted.items()}
+
+
+def _block_sums(study: Study) -> Callable:
+    """Mean and deviation of columns, classes, and the variance of all entries, of the rows a fold trains on; one aggregate."""
+    moments = [F.sum(p).alias(f"{f}_{k}") for f in study.features for k, p in (("x", F.col(f)), ("xx", F.col(f) * F.col(f)))]
+    # a row per block, with as many labels as there are classes
+    found = study.rows.groupBy("block").agg(F.count("*").alias("n"), F.collect_set("label").alias("labels"), *moments).collect()
+
+    def of(columns: tuple[int, ...], fold: int):
+        mine = [r for r in found if r["block"] < fold]
+        n = max(sum(r["n"] for r in mine), 1)
+        x = np.array([sum(r[f"{study.features[c]}_x"] or 0.0 for r in mine) for c in columns]) / n
+        xx = np.array([sum(r[f"{study.features[c]}_xx"] or 0.0 for r in mine) for c in columns]) / n
+        classes = sorted({label for r in mine for label in r["labels"]})
+        return x, np.sqrt(np.maximum(xx - x * x, 0.0)), classes, float(xx.mean() - x.mean() ** 2)
+
+    return of
+
+
+def _landmarks(study: Study, columns: tuple[int, ...]) -> np.ndarray:
+    """Rows of the first block, which every fold trains on, with the smallest hashes."""
+    names = [study.features[c] for c in columns]
+    chosen = study.rows.where("block = 0").orderBy("draw", *names).limit(study.settings.kernel_features).select(*names).collect()
+    return np.unique(np.array([list(r) for r in chosen], np.float64).reshape(len(chosen), len(names)), axis=0)
+
+
+def _training_rows(study: Study, fold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of at most ``tree_rows`` rows that a fold trains on, those with the smallest hashes."""
+    rows = study.rows.where(F.col("block") < fold).orderBy("draw", "label", *study.features).limit(study.settings.tree_rows)
+    table = rows.select("label", *study.features).toArrow()
+    return np.stack([np.asarray(table.column(f)) for f in study.features], axis=1).reshape(table.num_rows, len(study.features)), np.asarray(table.column("label"))
+
+
+def _grown(study: Study, kinds: tuple[str, ...], fold: int) -> dict[tuple[str, int, str], object]:
+    """Tree models of one fold; every task grows some trees of one model."""
+    spark, s = study.rows.sparkSession, study.settings
+    sample = spark.sparkContext.broadcast(_training_rows(study, fold))
+    specs = []
+    for name in study.sets:
+        for kind in kinds:
+            slices = [range(a, min(a + SLICE, s.trees)) for a in range(0, s.trees, SLICE)] if kind == "forest" else [range(1)]
+            specs += [(name, kind, study.columns(name), part) for part in slices]
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, label = sample.value
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                _, kind, columns, part = specs[i]
+                if kind in ("tree", "forest"):
+                    made = trees.grow_forest(x, label, columns, part, s.seed, s.max_depth, bootstrap=kind == "forest")
+                else:
+                    made = trees.boost(x, label, columns, s.boosting_rounds, s.boosting_depth, s.boosting_rate, kind == "boosted_regression")
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([pickle.dumps(made)], pa.binary())], ["id", "made"])
+
+    rows = spark.range(0, len(specs), 1, len(specs)).mapInArrow(grow, "id long, made binary").collect()
+    sample.destroy()
+    found: dict[tuple[str, int, str], list] = {}
+    for row in sorted(rows, key=lambda r: r["id"]):
+        name, kind, _, _ = specs[row["id"]]
+        found.setdefault((name, fold, kind), []).append(pickle.loads(row["made"]))
+    return {key: trees.Voting(made) if key[2] in ("tree", "forest") else made[0] for key, made in found.items()}
+
+
+def _confusion(study: Study, fitted: dict[tuple[str, int, str], object], part: str) -> None:
+    """Writes confusion counts of models on the test rows of their folds; counts are combined before they are shuffled."""
+    spark = study.rows.sparkSession
+    by_fold: dict[int, list] = {}
+    for (name, fold, kind), model in fitted.items():
+        by_fold.setdefault(fold, []).append((name, kind, model))
+    sent = spark.sparkContext.broadcast(by_fold)
+    features = study.features
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack([np.asarray(batch.column(f)) for f in features], axis=1)
+            block, label = np.asarray(batch.column("block")), np.asarray(batch.column("label"))
+            for fold in np.unique(block).tolist():
+                mine = block == fold
+                for name, kind, model in sent.value.get(fold, []):
+                    pairs, n = np.unique(np.stack([label[mine], model.predict(x[mine])]), axis=1, return_counts=True)
+                    size = len(n)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * size), pa.array([fold] * size, pa.int32()), pa.array([kind] * size), pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n)],
+                        ["feature_set", "fold", "model", "label", "prediction", "n"],
+                    )
+
+    tested = study.rows.where(F.col("block").isin(sorted(by_fold))).select("block", "label", *features)
+    counts = tested.mapInArrow(count, COUNTS).groupBy("feature_set", "fold", "model", "label", "prediction").agg(F.sum("n").alias("n"))
+    counts.coalesce(1).write.mode("overwrite").parquet(study.part("counts", part))
+    sent.destroy()
 
 
 def mean_accuracy(counts: DataFrame) -> DataFrame:

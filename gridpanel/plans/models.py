@@ -40,8 +40,19 @@ FEATURE_SETS: dict[str, list[str]] = {
 
 @dataclass(frozen=True)
 class Settings:
-    """Knobs shared by the models; the defaults are the full-size ones."""
+    """Knobs shared by the models; the defaults are the full-size ones.
 
+    Studies use ``gradient_tolerance`` (gradient per row), ``svm_gap`` (duality gap
+    over objective) and ``newton_passes`` (most passes over the rows) for linear
+    models; ``kernel_features`` is the number of landmark rows of a kernel SVM.
+    ``tree_rows`` bounds the training rows of one tree model, so that a task can
+    hold them; they are chosen by a hash.
+    """
+
+    gradient_tolerance: float = 1e-8
+    svm_gap: float = 1e-3
+    newton_passes: int = 200
+    tree_rows: int = 20_000
     c: float = 1.0
     svm_c: float = 1.0
     linear_iterations: int = 1000

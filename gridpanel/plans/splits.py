@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpanel.operators.ordering import ordered_index
+from gridpanel.scratch import stage
 
 
 def holdout(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
@@ -33,11 +34,10 @@ class Folds(NamedTuple):
         return self.total - (self.count - fold + 1) * self.test_size
 
     def train(self, fold: int) -> DataFrame:
-        return self.rows.filter(F.col("row_index") < self.first_test_row(fold))
+        return self.rows.filter(F.col("test_fold") < fold)
 
     def test(self, fold: int) -> DataFrame:
-        start = self.first_test_row(fold)
-        return self.rows.filter((F.col("row_index") >= start) & (F.col("row_index") < start + self.test_size))
+        return self.rows.filter(F.col("test_fold") == fold)
 
 
 def fold_of(row_index: Column, total: int, folds: int) -> Column:
@@ -61,3 +61,15 @@ def expanding_window(df: DataFrame, folds: int, order: list[str]) -> Folds:
     if size == 0:
         raise ValueError(f"{folds} folds need at least {folds + 1} rows, found {total}")
     return Folds(placed.withColumn("test_fold", fold_of(F.col("row_index"), total, folds)), total, size, folds)
+
+
+def unsplit(folds: Folds, together: list[str]) -> Folds:
+    """The same folds with edges moved to the ends of groups, such as races: a group is tested where its first row is.
+
+    A fold can become empty when a group is longer than it. Groups may be of any
+    size: one number per group is joined back, and null keys are a group like others.
+    """
+    firsts = stage(folds.rows.groupBy(*together).agg(F.min("test_fold").alias("_fold")), "first-folds")
+    same = [folds.rows[c].eqNullSafe(firsts[c]) for c in together]
+    kept = [folds.rows[c] for c in folds.rows.columns if c != "test_fold"]
+    return folds._replace(rows=folds.rows.join(firsts, same).select(*kept, F.col("_fold").alias("test_fold")))

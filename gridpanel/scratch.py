@@ -37,6 +37,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def release(spark: SparkSession, path: str) -> bool:
     """Delete one staged table by its path (through the file system Spark uses for it)."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridpanel.catalog import training
-from gridpanel.plans import compare, evaluate, models, splits, studies
+from gridpanel.plans import compare, evaluate, models, solvers, splits, studies, trees
 from gridpanel.plans.demo_panel import results_from_lineitem
 
 SMALL = models.Settings(
@@ -110,33 +111,192 @@ def test_podium_study_on_the_derived_panel(spark, folder):
     assert set(mean) == {"logistic", "boosted"} and all(value > 0.5 for value in mean.values())
 
 
-@pytest.fixture
-def fits(monkeypatch):
-    """(kind, features, settings) of every fit asked for; nothing is trained, every row is predicted 0."""
+def test_queries_run_whole_studies(spark, folder, monkeypatch):
+    """Folds, kinds, feature sets and settings are those of the full studies; nothing is trained here."""
     asked = []
 
-    def fit(kind, train, features, rows, settings=models.Settings()):
-        asked.append((kind, tuple(features), settings))
-        return lambda df, name: df.withColumn(name, F.lit(0.0))
+    def run(study, parallelism=4):
+        asked.append((study.folds, study.kinds, tuple(study.sets), study.settings))
+        return spark.createDataFrame([], compare.COUNTS)
+
+    monkeypatch.setattr(compare, "run", run)
+    full, points = models.Settings(), models.Settings(svm_c=1.2)
+    sets = tuple(models.FEATURE_SETS)
+    wanted = {
+        "model_compare": (1, compare.POSITION_MODELS, ("all",), full),
+        "svm_kernel_features": (1, ("kernel_svm",), ("all",), full),
+        "gbt_regress_round": (1, ("boosted_regression",), ("all",), full),
+        "svm_linear": (1, ("linear_svm",), ("all",), points),
+        "points_folds": (5, compare.CLASS_MODELS, ("base+sprint",), points),
+        "points_fold_support": (5, compare.CLASS_MODELS, ("base+sprint",), points),
+        "planted_ablation": (20, compare.CLASS_MODELS, sets, full),
+        "ablation": (20, compare.CLASS_MODELS, sets, models.Settings(boosting_seed=42)),
+    }
+    for name, want in wanted.items():
+        asked.clear()
+        training.QUERIES[name](spark, folder)
+        assert asked == [want], name
 
-    monkeypatch.setattr(models, "fit", fit)
-    return asked
 
+def test_defaults_are_full_size():
+    s = models.Settings()
+    assert (s.trees, s.max_depth, s.boosting_rounds, s.boosting_depth, s.tree_rows) == (100, 30, 100, 3, 20_000)
 
-def test_ablation_runs_all_folds(spark, folder, fits):
-    rows = training.ablation(spark, folder).collect()
-    assert {(r.feature_set, r.model) for r in rows} == {(s, m) for s in models.FEATURE_SETS for m in compare.CLASS_MODELS}
-    assert {r.folds for r in rows} == {20} and len(fits) == 4 * 20 * 4
 
+def test_a_stopped_study_goes_on_where_it_ended(planted, tmp_path, monkeypatch):
+    folds = splits.expanding_window(planted, 4, ["position_id"])
+    started = []
+    grown, solved = compare._grown, compare._solved
 
-def test_registered_queries_fit_full_size_models(spark, folder, fits):
-    full = {0.0: models.Settings(), 1.2: models.Settings(svm_c=1.2)}
-    fewest = {"model_compare": 5, "svm_kernel_features": 1, "gbt_regress_round": 1, "svm_linear": 1, "points_folds": 20, "points_fold_support": 20}
-    for name, count in fewest.items():
-        fits.clear()
-        training.QUERIES[name](spark, folder)
-        wanted = full[1.2 if name in {"svm_linear", "points_folds", "points_fold_support"} else 0.0]
-        assert len(fits) == count and {s for _, _, s in fits} == {wanted}, name
+    def counting(inner, after):
+        def call(study, what, *rest):
+            started.append(what if inner is solved else rest[0])
+            if len(started) > after:
+                raise RuntimeError("lost")
+            return inner(study, what, *rest)
+
+        return call
+
+    sets = {"base": FEATURES}
+    study = compare.fold_study(folds, sets, ("logistic", "forest"), SMALL, str(tmp_path))
+    monkeypatch.setattr(compare, "_grown", counting(grown, 3))
+    monkeypatch.setattr(compare, "_solved", counting(solved, 3))
+    with pytest.raises(RuntimeError):
+        compare.run(study, parallelism=1)
+    assert started[:4] == ["logistic", 1, 2, 3]
+    started.clear()
+    monkeypatch.setattr(compare, "_grown", counting(grown, 99))
+    monkeypatch.setattr(compare, "_solved", counting(solved, 99))
+    again = compare.fold_study(splits.expanding_window(planted, 4, ["position_id"]), sets, ("logistic", "forest"), SMALL, str(tmp_path))
+    counts = compare.run(again, parallelism=1)
+    assert again.ledger == study.ledger and started == [3, 4]
+    whole = compare.over_folds(folds, sets, ("logistic", "forest"), SMALL)
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, whole.collect()))
+    other = compare.fold_study(splits.expanding_window(planted.where("position_id > 0"), 4, ["position_id"]), sets, ("logistic", "forest"), SMALL, str(tmp_path))
+    assert other.ledger != study.ledger
+
+
+def _arrays(df, features):
+    rows = df.select("label", *features).collect()
+    return np.array([[float(r[f]) for f in features] for r in rows]), np.array([r.label for r in rows])
+
+
+def _solve(df, found, settings=models.Settings()):
+    rows = df.withColumn("block", F.lit(0)).select("block", "label", *[F.col(f).cast("double") for f in FEATURES])
+    solvers.solve(rows.repartition(3), FEATURES, found, settings.gradient_tolerance, settings.svm_gap)
+
+
+def test_logistic_and_softmax_end_at_the_optimum(planted):
+    design = solvers.Design((0, 1, 2))
+    bands = planted.withColumn("label", F.ceil(F.col("position") / 5).cast("double"))
+    one = solvers.Binary(design, 1, (1.0, 0.0), 1.0, hinge=False)
+    many = solvers.Multinomial(design, 1, np.array([1.0, 2.0, 3.0, 4.0]), 1.0)
+    _solve(planted, [one])
+    _solve(bands, [many])
+    assert one.converged and many.converged and one.passes < 30
+    x, y = _arrays(planted, FEATURES)
+    z = np.hstack([x, np.ones((len(x), 1))])
+    chance = 1 / (1 + np.exp(-z @ one.point))
+    gradient = z.T @ (chance - y) + np.append(one.point[:-1], 0.0)
+    assert np.abs(gradient).max() < 1e-4
+    # Spark ML on the same penalty gives the same answers
+    predicted = models.fit("logistic", planted, FEATURES, 600)(planted, "p").select("p").collect()
+    assert (np.array([r.p for r in predicted]) == solvers.Signs(one).predict(x)).mean() > 0.995
+    xb, yb = _arrays(bands, FEATURES)
+    found = (solvers.Softmax(many).predict(xb) == yb).mean()
+    spark_ml = models.fit("multinomial", bands, FEATURES, 600)(bands, "p").select(F.avg(F.expr("double(p = label)"))).first()[0]
+    assert abs(found - spark_ml) < 0.02
+
+
+@pytest.mark.parametrize("c", [0.05, 1.2])
+def test_svm_gap_bounds_the_distance_to_the_optimum(planted, c):
+    x, y = _arrays(planted, FEATURES)
+    mean, deviation = x.mean(axis=0), x.std(axis=0)
+    svm = solvers.Binary(solvers.Design((0, 1, 2)), 1, (1.0, 0.0), c, hinge=True, shift=mean, scale=deviation)
+    _solve(planted, [svm])
+    assert svm.converged and 0 <= svm.residual <= models.Settings().svm_gap
+    sign = np.where(y == 1, 1.0, -1.0)
+    z = np.hstack([(x - mean) / deviation, np.ones((len(x), 1))])
+
+    def primal(w):
+        return 0.5 * w[:-1] @ w[:-1] + c * np.maximum(0, 1 - sign * (z @ w)).sum()
+
+    raw = svm.point
+    w = np.append(raw[:-1] * deviation, raw[-1] + raw[:-1] @ mean)
+    reached = primal(w)
+    rng = np.random.default_rng(0)
+    best = reached
+    for scale in (1.0, 0.1, 0.01, 0.001):
+        for _ in range(3000):
+            other = w + scale * rng.normal(size=len(w))
+            best = min(best, primal(other))
+    assert reached <= best * (1 + 1.1e-3)
+
+
+def test_kernel_features_reproduce_the_kernel():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(40, 3))
+    design = solvers.nystroem((0, 1, 2), x, 0.3)
+    z = design.apply(x)[:, :-1]
+    assert np.allclose(z @ z.T, solvers.rbf(x, x, 0.3), atol=1e-5)
+
+
+def test_forest_equals_a_plain_tree_where_it_must():
+    """One tree on all rows and columns: each split is the best one, leaves are pure or cannot be split."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 9, (300, 3)).astype(float)
+    y = rng.integers(0, 3, 300).astype(float)
+    forest = trees.grow_forest(x, y, (0, 1, 2), range(1), 1, 30, bootstrap=False)
+
+    def gini(labels):
+        share = np.unique(labels, return_counts=True)[1] / len(labels)
+        return len(labels) * (1 - (share**2).sum())
+
+    def check(node, rows):
+        labels = y[rows]
+        if forest.left[node] == 0:
+            assert len(set(labels)) == 1 or len(np.unique(x[rows], axis=0)) == 1
+            return
+        f, border = forest.feature[node], forest.edges[forest.feature[node]][forest.bin[node]]
+        low = x[rows, f] < border
+        best = min(
+            gini(labels[x[rows, g] <= v]) + gini(labels[x[rows, g] > v]) for g in range(3) for v in np.unique(x[rows, g])[:-1]
+        )
+        assert gini(labels[low]) + gini(labels[~low]) == pytest.approx(best)
+        check(forest.left[node], rows[low])
+        check(forest.left[node] + 1, rows[~low])
+
+    check(0, np.arange(300))
+    shares = {tuple(r): y[(x == r).all(axis=1)] for r in x}
+    for row, labels in shares.items():
+        assert np.allclose(forest.votes(np.array([row]))[0], [(labels == c).mean() for c in forest.classes])
+
+
+def test_trees_of_a_forest_do_not_depend_on_their_task():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 9, (200, 4)).astype(float)
+    y = (x[:, 0] + rng.integers(0, 4, 200) > 5).astype(float)
+    whole = trees.grow_forest(x, y, (0, 1, 2, 3), range(6), 48, 30, bootstrap=True).votes(x)
+    parts = [trees.grow_forest(x, y, (0, 1, 2, 3), range(a, a + 2), 48, 30, bootstrap=True).votes(x) for a in (0, 2, 4)]
+    assert np.allclose(whole, sum(parts))
+
+
+def test_boosting_lowers_the_loss_and_handles_one_class():
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 20, (400, 3)).astype(float)
+    y = 2 * x[:, 0] + rng.normal(0, 0.1, 400)
+    model = trees.boost(x, y, (0, 1, 2), 100, 3, 0.1, regression=True)
+    assert ((model.score(x) - y) ** 2).mean() < 0.05 * y.var()
+    same = trees.boost(x, np.ones(400), (0, 1, 2), 100, 3, 0.1, regression=False)
+    assert (same.predict(x) == 1).all()
+
+
+def test_folds_that_split_no_race(spark):
+    rows = spark.range(100).selectExpr("id", "cast(id / 7 as int) AS race")
+    folds = splits.unsplit(splits.expanding_window(rows, 4, ["id"]), ["race"])
+    got = folds.rows.groupBy("race").agg(F.countDistinct("test_fold").alias("n"), F.min("test_fold").alias("f"), F.min("id").alias("i")).collect()
+    assert all(r.n == 1 for r in got) and all(r.f == max(0, (r.i - 20) // 20 + 1) for r in got)
+    assert folds.test(2).count() + folds.train(2).count() == folds.train(3).count()
 
 
 def test_defaults_leave_the_end_to_the_models(planted, monkeypatch):
