@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -174,8 +175,23 @@ def test_cached_encoding_is_the_tokenizer_s(tokenizer, texts):
 
     plain = Tokenizer.from_file(tokenizer)
     expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
-    got = [np.frombuffer(b, "<u4").tolist() for b in token_files.encoder(tokenizer).encode(texts)]
-    assert got == expected
+    parts = [t.encode() for t in texts]
+    raw, at = np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    for end in (None, 2):
+        ids, counts = token_files.encoder(tokenizer).encode(raw, at, end)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
+        assert got == [[*e, *([] if end is None else [end])] for e in expected]
+
+
+def test_encoder_forgets_words_when_its_table_is_full(tokenizer, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 5)
+    made, plain = token_files.Encoder(tokenizer), Tokenizer.from_file(tokenizer)
+    for k in range(6):
+        text = " ".join(f"word{k}{j}, again" for j in range(4))
+        ids, _ = made.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids and len(made.hashes) <= 5 + 8
 
 
 def test_round_trip(make_docs, spark, tokenizer, tmp_path, monkeypatch):
@@ -196,19 +212,74 @@ def test_round_trip(make_docs, spark, tokenizer, tmp_path, monkeypatch):
     assert token_files.read_documents(spark, empty, str(tmp_path)).count() == 0
 
 
-def test_readers_need_only_the_frames_they_ask_for():
+def test_long_texts_and_small_frames(make_docs, spark, tokenizer, tmp_path):
+    """A text longer than an encoder's chunk, frames closed inside and between batches."""
+    from tokenizers import Tokenizer
+
+    rows = [(k, f"some words number {k} " * (k % 7) + "end") for k in range(200)] + [(500, "lorem ipsum, " * 400_000 + "x")]
+    manifest = token_files.write_tokens(make_docs(rows), tokenizer, 2, str(tmp_path), frame_ids=100)
+    frames = manifest.collect()
+    assert sum(f.documents for f in frames) == len(rows) and all(f.first_doc <= f.last_doc for f in frames)
+    assert sum(f.tokens < 100 for f in frames) <= len({f.file for f in frames})
+    plain = Tokenizer.from_file(tokenizer)
+    got = {r.doc_id: r.ids for r in token_files.read_documents(spark, manifest, str(tmp_path), with_ids=True).collect()}
+    assert got == {i: [*plain.encode(t, add_special_tokens=False).ids, 2] for i, t in rows}
+
+
+def test_only_frames_of_the_documents_asked_for_are_read(make_docs, spark, tokenizer, tmp_path):
+    rows = [(k, f"document {k} " * 20) for k in range(300)] + [(None, "no id"), (77, "same id")]
+    manifest = token_files.write_tokens(make_docs(rows), tokenizer, 2, str(tmp_path), frame_ids=500)
+    whole = token_files.read_documents(spark, manifest, str(tmp_path)).collect()
+    wanted = spark.createDataFrame([(5,), (77,), (None,), (5,), (9999,)], "doc_id long")
+    frames = manifest.collect()
+    needed = {(f.path, f.frame) for f in frames for i in (5, 77, token_files.NULL_ID) if f.first_doc <= i <= f.last_doc}
+    assert len(needed) < len(frames) / 2
+    for path in {f.path for f in frames}:
+        with open(path, "r+b") as file:
+            reader = token_files.Reader(file, (tmp_path / path).stat().st_size)
+            for f in frames:
+                if f.path == path and (path, f.frame) not in needed:
+                    file.seek(int(reader.starts[f.frame]) + 4)
+                    file.write(b"damaged!")
+    got = token_files.read_documents(spark, manifest, str(tmp_path), wanted).collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in whole if r.doc_id in (5, 77, None)) and len(got) == 4
+    with pytest.raises(Exception, match="."):
+        token_files.read_documents(spark, manifest, str(tmp_path)).collect()
+
+
+def test_seek_table_has_the_public_layout():
     stream = io.BytesIO()
     writer = token_files.Writer(stream)
-    frames = [([1, None], [b"\1\0\0\0", b""]), ([7], [struct.pack("<3I", 5, 6, 2)]), ([8], [b"\2\0\0\0" * 1000])]
+    frames = [([1, token_files.NULL_ID], [1, 0], [1]), ([7], [3], [5, 6, 2]), ([8], [1000], [2] * 1000)]
+    frames = [tuple(np.array(x) for x in f) for f in frames]
     for f in frames:
         writer.add(*f)
     writer.close()
     raw = stream.getvalue()
     assert zstandard.ZstdDecompressor().decompressobj().decompress(raw) == token_files.frame(*frames[0])  # plain readers see frames
+    number, descriptor, magic = struct.unpack("<IBI", raw[-9:])
+    assert (number, descriptor, magic) == (3, 0x80, 0x8F92EAB1)
+    table = raw[-9 - 12 * number - 8 :]
+    assert struct.unpack("<II", table[:8]) == (0x184D2A5E, 12 * number + 9)
+    at = 0
+    for k, f in enumerate(frames):
+        packed, size, check = struct.unpack_from("<III", table, 8 + 12 * k)
+        content = zstandard.ZstdDecompressor().decompress(raw[at : at + packed])
+        assert content == token_files.frame(*f) and len(content) == size and xxhash.xxh64_intdigest(content) & 0xFFFFFFFF == check
+        at += packed
+    assert at + 8 + 12 * number + 9 == len(raw)
+
+
+def test_readers_need_only_the_frames_they_ask_for():
+    stream = io.BytesIO()
+    writer = token_files.Writer(stream)
+    for f in [([1, token_files.NULL_ID], [1, 0], [1]), ([7], [3], [5, 6, 2]), ([8], [1000], [2] * 1000)]:
+        writer.add(*(np.array(x) for x in f))
+    writer.close()
+    raw = stream.getvalue()
     reader = token_files.Reader(io.BytesIO(raw), len(raw))
     ids, counts, tokens = token_files.read_frame(reader.content(1))
     assert (ids.tolist(), counts.tolist(), tokens.tolist()) == ([7], [3], [5, 6, 2])
-    assert sum(e[0] for e in reader.entries) + 8 + 16 * 3 + 9 == len(raw)
     damaged = bytearray(raw)
     damaged[reader.starts[1] + reader.entries[1][0] - 6] ^= 1
     broken = token_files.Reader(io.BytesIO(bytes(damaged)), len(damaged))
