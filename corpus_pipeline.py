@@ -14,8 +14,7 @@ from gridpanel.llm.common import read, stage
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    stats = stage(quality.document_stats(docs), "quality")
-    return quality.keep_documents(docs, read(spark, sf_dir, "labels"), stats)
+    return quality.keep_documents(docs, read(spark, sf_dir, "labels"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

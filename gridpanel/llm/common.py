@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridpanel.scratch import stage
 
-__all__ = ["SPACES", "WORD", "fold", "lowered", "read", "row_id", "stage", "text_bytes"]
+__all__ = ["SPACES", "WORD", "fold", "lowered", "packed", "read", "row_id", "stage", "text_bytes"]
 
 #: Fixed value: white space of all contracts, as a character class.
 SPACES = "\\x20\\x09-\\x0D"
@@ -38,3 +38,8 @@ def row_id(doc_id: Column, text: Column) -> Column:
 def text_bytes(docs: DataFrame) -> int:
     """Total size of all texts."""
     return docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+
+
+def packed(docs: DataFrame) -> Column:
+    """A row as one struct, so that work beside it can use any column name."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])

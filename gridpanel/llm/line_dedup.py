@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpanel.llm.common import lowered, row_id, stage
+from gridpanel.llm.common import lowered, packed, row_id, stage
 
 ENDS = " \t\n\x0b\x0c\r"
 KEY = ["_hash", "_check"]
@@ -67,31 +67,38 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_points: int = 1, keep_
     )
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Documents with all their columns, _kept (the remaining text), _n_lines and _n_dropped."""
-    marked = docs.withColumn("_row", row_id(F.col("doc_id"), F.col("text")))
+def _applied(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """_in (the input row), _kept (the remaining text), _n_lines and _n_dropped."""
+    marked = docs.select(packed(docs).alias("_in"), row_id(F.col("doc_id"), F.col("text")).alias("_row"))
     right = bitmaps.withColumnRenamed("_row", "_row_right")
-    joined = marked.join(right, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_row_right")), "left")
+    joined = marked.join(right, F.col("_in.doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_row_right")), "left")
     # The lambdas' arguments bind the words and lines once per document.
     kept = F.expr(
         """element_at(transform(array(named_struct(
-             'lines', split(text, '\\n', -1),
+             'lines', split(_in.text, '\\n', -1),
              'words', transform(sequence(0, element_at(keep, -1).word), w -> coalesce(map_from_entries(keep)[w], -1L)))),
            d -> filter(d.lines, (x, i) -> i div 64 >= size(d.words) OR getbit(d.words[cast(i div 64 as int)], i % 64) = 1)), 1)"""
     )
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col("_in.text"), F.lit(""))
     return joined.select(
-        *[F.col(c) for c in docs.columns],
-        F.size(_lines(F.col("text"))).cast("long").alias("_n_lines"),
+        "_in",
+        F.size(_lines(F.col("_in.text"))).cast("long").alias("_n_lines"),
         F.coalesce("n_dropped", F.lit(0)).cast("long").alias("_n_dropped"),
         F.when(F.col("keep").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("_kept"),
     )
 
 
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Documents with all their columns, _kept (the remaining text), _n_lines and _n_dropped; columns of these names make way."""
+    results = ["_n_lines", "_n_dropped", "_kept"]
+    kept = [F.col("_in").getField(c).alias(c) for c in docs.columns if c not in results]
+    return _applied(docs, bitmaps).select(*kept, *results)
+
+
 def drop_lines(docs: DataFrame, **settings) -> DataFrame:
     """Documents with their frequent lines gone from text; n_chars follows where there is such a column."""
-    applied = apply_bitmaps(docs, keep_bitmaps(docs, **settings))
-    changed = {"text": F.when(F.col("_n_dropped") > 0, F.col("_kept")).otherwise(F.col("text"))}
+    applied = _applied(docs, keep_bitmaps(docs, **settings))
+    changed = {"text": F.when(F.col("_n_dropped") > 0, F.col("_kept")).otherwise(F.col("_in.text"))}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_n_dropped") > 0, F.length("_kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return applied.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+        changed["n_chars"] = F.when(F.col("_n_dropped") > 0, F.length("_kept")).otherwise(F.col("_in.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return applied.select(*[changed.get(c, F.col("_in").getField(c)).alias(c) for c in docs.columns])

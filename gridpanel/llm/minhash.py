@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpanel.llm import textkit
-from gridpanel.llm.common import row_id, stage
+from gridpanel.llm.common import packed, row_id, stage
 from gridpanel.llm.components import connected_components
 
 BANDS, ROWS, BITS = 32, 5, 2
@@ -376,6 +376,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, most: in
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """One document of each near-duplicate group, with all its columns."""
     decided = near_duplicates(docs, **settings).where("kept_row").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"))
-    keyed = docs.withColumn("_id", row_id(F.col("doc_id"), F.col("text")))
-    kept = keyed.join(decided, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_id") == F.col("_row")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_id"]).select(*docs.columns)
+    keyed = docs.select(packed(docs).alias("_in"), F.col("doc_id").alias("_key"), row_id(F.col("doc_id"), F.col("text")).alias("_id"))
+    kept = keyed.join(decided, F.col("_key").eqNullSafe(F.col("_doc")) & (F.col("_id") == F.col("_row")), "left_semi")
+    return kept.dropDuplicates(["_key", "_id"]).select(*[F.col("_in").getField(c).alias(c) for c in docs.columns])

@@ -27,9 +27,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpanel.llm.common import WORD, stage
+from gridpanel.llm.common import WORD, packed, stage
 
 ROUNDS = 12
+SLOTS_PER_TASK = 1 << 16
 
 
 def permute(value: Column, size: Column, keys: list[Column], seed: int) -> Column:
@@ -123,6 +124,8 @@ def _takes(slots: DataFrame, sources: DataFrame, n_slots: int, shard_slots: int,
     counts = shard_counts(slots, sources, n_slots, shard_slots, seed)
     in_order = Window.partitionBy("index").orderBy("shard")
     numbered = counts.withColumn("_end", F.sum("count").over(in_order)).withColumn("_begin", F.col("_end") - F.col("count"))
+    # counts are few rows and slots many: spread before they are laid out
+    numbered = numbered.repartition(max(1, math.ceil(n_slots / SLOTS_PER_TASK)), "index", "shard")
     each = numbered.select("index", F.explode(F.sequence(F.col("_begin"), F.col("_end") - 1)).alias("k"))
     each = each.join(sources.where("blocks > 0").select("index", "blocks"), "index")
     each = each.select("index", "blocks", F.expr("k div blocks").alias("epoch"), F.expr("k % blocks").alias("i"))
@@ -152,21 +155,22 @@ def materialize(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     The t-th row of a document holds the ranges taken at least t times, with
     their white space; a document taken whole keeps its text as it is.
     """
-    keyed = docs.withColumn("_row", F.xxhash64(*docs.columns)).dropDuplicates(["_row"])
-    spans = mixed.where("taken > 0").select(F.col("_row").alias("_key"), "size", "spans")
-    both = keyed.join(spans, F.col("_row") == F.col("_key"))
+    keyed = docs.select(packed(docs).alias("_in"), F.col("doc_id").alias("_doc"), F.xxhash64(*docs.columns).alias("_row"))
+    keyed = keyed.dropDuplicates(["_doc", "_row"])
+    spans = mixed.where("taken > 0").select(F.col("doc_id").alias("_of_doc"), F.col("_row").alias("_of_row"), "size", "spans")
+    both = keyed.join(spans, F.col("_doc").eqNullSafe(F.col("_of_doc")) & (F.col("_row") == F.col("_of_row")))
     times = F.expr("explode(sequence(1, cast(array_max(transform(spans, s -> s.times)) as int)))")
-    copies = both.select(*[F.col(c) for c in docs.columns], "size", "spans", times.alias("_time"))
+    copies = both.select("_in", "size", "spans", times.alias("_time"))
     chosen = F.expr("filter(spans, s -> s.times >= _time)")
     copies = copies.withColumn("_chosen", chosen).withColumn("_words", F.expr("aggregate(_chosen, 0L, (n, s) -> n + s.to - s.from)"))
     cut = F.expr(
-        f"""element_at(transform(array(regexp_extract_all(text, r'[{SPACES_TEXT}]*{WORD}', 0)),
+        f"""element_at(transform(array(regexp_extract_all(_in.text, r'[{SPACES_TEXT}]*{WORD}', 0)),
               w -> array_join(transform(_chosen, s -> array_join(slice(w, cast(s.from + 1 as int), cast(s.to - s.from as int)), '')), '')), 1)"""
     )
-    changed = {"text": F.when(F.col("_words") == F.col("size"), F.col("text")).otherwise(F.ltrim(cut))}
+    changed = {"text": F.when(F.col("_words") == F.col("size"), F.col("_in.text")).otherwise(F.ltrim(cut))}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length(changed["text"]).cast(docs.schema["n_chars"].dataType)
-    return copies.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    return copies.select(*[changed.get(c, F.col("_in").getField(c)).alias(c) for c in docs.columns])
 
 
 SPACES_TEXT = "\\x20\\x09-\\x0D"

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpanel.llm.common import WORD, row_id
+from gridpanel.llm.common import WORD, row_id, stage
 from gridpanel.llm.minhash import sorted_groups
 
 #: Permitted lengths and costs: the tokens themselves and a fixed share per sequence.
@@ -82,6 +82,7 @@ def pack_documents(
     largest = max(capacities)
     length = word_count(F.col("text")) if length is None else length.cast("long")
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id(F.col("doc_id"), F.col("text")).alias("row"), length.alias("_tokens")).where("_tokens > 0")
+    sized = stage(sized, "piece-sizes")
     total = sized.agg(F.coalesce(F.sum("_tokens"), F.lit(0))).first()[0]
     shards = max(1, math.ceil(total / shard_tokens))
     pieces = sized.select("doc_id", "row", "_tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_tokens - 1) div {largest}"))).alias("piece"))

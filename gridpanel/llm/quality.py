@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpanel.llm import textkit, trees
+from gridpanel.llm.common import stage
 
 #: Fixed values of the contract: symbols, and the two base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -151,12 +152,16 @@ def features(frame: pd.DataFrame) -> np.ndarray:
     return np.stack([columns[k] for k in FEATURES], axis=1)
 
 
-def train(stats: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> trees.FlatTrees:
-    """Trees for ``labels.quality``, from a hash-chosen sample of about max_labelled labelled rows at most."""
+def _labelled(labels: DataFrame, max_labelled: int) -> DataFrame:
+    """doc_id and quality of about max_labelled labelled rows at most, chosen by hash."""
     known = labels.where("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     total = known.count()
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_labelled / max(total, 1))))
-    sample = stats.join(chosen, "doc_id").orderBy("doc_id", *COUNTS).limit(2 * max_labelled).toPandas()
+    return known.where(F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_labelled / max(total, 1))))
+
+
+def train(stats: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> trees.FlatTrees:
+    """Trees for ``labels.quality``, from a hash-chosen sample of about max_labelled labelled rows at most."""
+    sample = stats.join(_labelled(labels, max_labelled), "doc_id").orderBy("doc_id", *COUNTS).limit(2 * max_labelled).toPandas()
     return trees.fit(features(sample), sample["quality"].to_numpy(float), np.array(list(FEATURES.values())))
 
 
@@ -174,9 +179,11 @@ def judge(stats: DataFrame, model: trees.FlatTrees, threshold: float = 0.5) -> D
     return with_base(stats).mapInArrow(score, schema)
 
 
-def keep_documents(docs: DataFrame, labels: DataFrame, staged_stats: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Documents the rules keep, with all their columns. Statistics are measured again beside the text, so no row is joined."""
-    model = train(staged_stats, labels)
+def keep_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = 20_000) -> DataFrame:
+    """Documents the rules keep, with all their columns. Only documents of the labelled sample are measured to train; all are where their text is."""
+    chosen = stage(_labelled(labels, max_labelled), "labelled")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id", "left_semi")
+    model = train(document_stats(texts), chosen, max_labelled)
     names = docs.columns
 
     def choose(batches):

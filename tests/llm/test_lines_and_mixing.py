@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from gridpanel.llm import line_dedup, mixing, queries
+from gridpanel.llm import line_dedup, minhash, mixing, queries
 from gridpanel.llm.common import read
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -160,3 +160,29 @@ def test_line_query_digest(spark, folder):
     docs = [(r.doc_id, r.text) for r in read(spark, folder, "documents").collect()]
     got = {r.doc_id: r.kept_sha256 for r in queries.op2_line_dedup(spark, folder).collect()}
     assert got == {i: hashlib.sha256(kept.encode()).hexdigest() for i, _, _, kept in brute_lines(docs, 10)}
+
+
+HELPERS = ["_row", "_doc", "_id", "_in", "_key", "keep", "n_dropped", "_kept", "_n_lines", "size", "spans", "taken", "_time", "_words", "_chosen", "block", "index", "start", "a.b"]
+
+
+def test_columns_named_like_helpers_come_back_unchanged(spark):
+    """Documents whose extra columns are called what the operators call theirs."""
+    rows = [(k, f"shared line\nown line {k % 4} of some words\nx", "s", *[f"{c}{k}" for c in HELPERS]) for k in range(12)] + [(3, None, None, *HELPERS)]
+    names = ["doc_id", "text", "source", *HELPERS]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names))
+    extra = {(r[0], r[3:]) for r in rows}
+
+    def extras(out):
+        got = out.collect()
+        assert out.columns == names
+        return [(r[0], tuple(r[3:])) for r in got], got
+
+    found, got = extras(line_dedup.drop_lines(docs, min_docs=10))
+    assert len(found) == 13 and set(found) == extra and all("shared" not in (r.text or "") for r in got)
+    marked = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs, min_docs=10))
+    assert marked.columns == [n for n in names if n not in ("_kept", "_n_lines")] + ["_n_lines", "_n_dropped", "_kept"]
+    found, _ = extras(minhash.keep_one(docs, words=2, percent=80))
+    assert set(found) <= extra and len(found) == len(set(found)) == 5
+    plain = docs.drop("a.b")
+    mixed = mixing.materialize(plain, mixing.mix(plain, block_words=4))
+    assert mixed.columns == plain.columns and {(r[0], tuple(r[3:])) for r in mixed.collect()} <= {(i, e[:-1]) for i, e in extra}

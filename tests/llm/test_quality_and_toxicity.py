@@ -60,7 +60,7 @@ def test_empty_tables(make_docs, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     stats = quality.document_stats(docs)
     assert quality.judge(stats, quality.train(stats, labels)).count() == 0
-    assert quality.keep_documents(docs, labels, stats).count() == 0
+    assert quality.keep_documents(docs, labels).count() == 0
     assert toxicity.score(docs, toxicity.train(docs, labels, F.lit(True))).count() == 0
 
 
@@ -68,7 +68,7 @@ def test_kept_documents_keep_their_columns(make_docs, spark):
     good = " ".join(f"w{i}" for i in range(80))
     docs = make_docs([(1, good), (2, "short"), (3, None), (1, good)])
     labels = spark.createDataFrame([], "doc_id long, quality int")
-    kept = quality.keep_documents(docs, labels, quality.document_stats(docs))
+    kept = quality.keep_documents(docs, labels)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 1]
 
 
