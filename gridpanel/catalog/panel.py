@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpanel.plans import panel
+from gridpanel.plans import panel, panel_text
 from gridpanel.plans.demo_panel import results_from_lineitem
+from gridpanel.scratch import scratch_path, stage
+from gridpanel.sources import tables
 from gridpanel.sources.files import arff_lines, arff_rows
 
 
@@ -45,6 +47,24 @@ def feature_panel_exact(spark: SparkSession, folder: str) -> DataFrame:
     return panel.in_race_order(_panel(spark, folder))
 
 
+def feature_panel_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The same panel from SQL text over stored tables, which are written first, all in one commit."""
+    results = results_from_lineitem(spark, folder)
+    rows = stage(results.withColumn("session_id", F.expr("position_id DIV 100")), "results")
+    root = scratch_path(spark, "tables")
+    tables.create_tables(spark, root)
+    meetings = rows.select("meeting_id", "meeting_name", "season", "no").distinct()
+    absent = {"meeting_official_name": "string", "circuit_id": "bigint", "date_start": "timestamp_ntz", "gmt_offset": "interval hour to second"}
+    sessions = rows.select("session_id", "session_name", "meeting_id").distinct()
+    changes = {
+        "meetings": meetings.withColumns({c: F.lit(None).cast(t) for c, t in absent.items()}),
+        "sessions": sessions.withColumns({"og_session_id": F.lit(None).cast("int"), "session_type": F.lit(None).cast("string")}),
+        "positions": rows.select("position_id", F.col("driver_number").cast("int").alias("driver_number"), "position", "session_id"),
+    }
+    tables.commit(spark, root, {name: tables.Change(df) for name, df in changes.items()})
+    return panel_text.panel_from_text(spark, root)
+
+
 def feature_panel_points(spark: SparkSession, folder: str) -> DataFrame:
     return _classes(panel.labelled(_panel(spark, folder), 10))
 
@@ -178,6 +198,7 @@ QUERIES = {
     "rolling_gain": rolling_gain,
     "session_pivot": session_pivot,
     "feature_panel_exact": feature_panel_exact,
+    "feature_panel_text": feature_panel_text,
     "feature_panel_points": feature_panel_points,
     "feature_panel_podium": feature_panel_podium,
     "arff_lines": arff_export,
@@ -199,6 +220,7 @@ SELECT season, no, driver_number,
        coalesce(max(position) FILTER (WHERE flag NOT IN ('R', 'N')), 21) AS sprint_pos
 FROM results GROUP BY season, no, driver_number""",
     "feature_panel_exact": panel_sql() + "SELECT * FROM panel",
+    "feature_panel_text": panel_sql() + "SELECT * FROM panel",
     "feature_panel_points": _classes_sql(10, 21),
     "feature_panel_podium": _classes_sql(3, -1),
     "arff_lines": panel_sql()

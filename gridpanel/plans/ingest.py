@@ -69,7 +69,8 @@ def unreadable(df: DataFrame) -> list[tuple[str, Column]]:
 def load_meetings(
     payload: DataFrame, countries: DataFrame, circuits: DataFrame, meetings: DataFrame
 ) -> dict[str, Loaded]:
-    """New countries, circuits and meetings of the flat payload, dimensions first."""
+    """New countries, circuits and meetings of the flat payload, dimensions first; the payload is parsed once."""
+    payload = stage(payload, "meetings")
     good, bad = quarantine.split(
         payload,
         [

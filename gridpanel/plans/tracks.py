@@ -66,22 +66,24 @@ def segments(points: DataFrame, order: list[str], track: str = "track") -> DataF
 def geometry_documents(
     points: DataFrame, corners: DataFrame, rotations: DataFrame, page_size: int = 10_000
 ) -> DataFrame:
-    """Tracks as nested JSON text: points, corners and rotation.
+    """Tracks as nested JSON text: points, corners and rotation; track, page, pages, document.
 
-    Points and corners are paged by their ordinal, so a track of any length
-    stays in bounded rows; the rotation goes with page 0. A track of up to
-    ``page_size`` points is one document.
+    Points and corners are paged by their ordinal (``page`` 0, 1, ... of
+    ``pages``), so a track of any length stays in bounded rows; the rotation goes
+    with page 0. A track of up to ``page_size`` points is one document.
     """
+    number = F.floor(F.col("ordinal") / F.lit(page_size)).cast("int")
 
     def paged(df: DataFrame, name: str, fields: list[str]) -> DataFrame:
-        listed = df.withColumn("page", F.floor(F.col("ordinal") / F.lit(page_size)).cast("int"))
         rows = F.array_sort(F.collect_list(F.struct("ordinal", *fields)))
         bare = F.transform(rows, lambda p: F.struct(*[p[f].alias(f) for f in fields]))
-        return listed.groupBy("track", "page").agg(bare.alias(name))
+        return df.withColumn("page", number).groupBy("track", "page").agg(bare.alias(name))
 
     track = paged(points, "trackData", ["x", "y"])
     corner = paged(corners, "cornersData", ["number", "letter", "x", "y", "angle"])
     info = rotations.select("track", F.lit(0).alias("page"), F.struct("rotation").alias("circuitInfo"))
-    joined = track.join(corner, ["track", "page"], "full_outer").join(info, ["track", "page"], "full_outer")
+    last = points.select("track", number.alias("page")).unionByName(corners.select("track", number.alias("page"))).unionByName(info.select("track", "page"))
+    counts = last.groupBy("track").agg((F.max("page") + 1).alias("pages"))
+    joined = track.join(corner, ["track", "page"], "full_outer").join(info, ["track", "page"], "full_outer").join(counts, "track")
     body = F.to_json(F.struct("trackData", "cornersData", "circuitInfo"))
-    return joined.select("track", "page", body.alias("document"))
+    return joined.select("track", "page", "pages", body.alias("document"))

@@ -3,25 +3,37 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridpanel.operators import quarantine
+from gridpanel.scratch import stage
 from gridpanel.sources import schemas
+from gridpanel.sources.landing import CORRUPT, read_payload
 
 _ATTRIBUTE = re.compile(r"@attribute\s+('[^']+'|\"[^\"]+\"|\S+)\s+(.+)", re.IGNORECASE)
 
 
-def arff_schema(spark: SparkSession, path: str) -> str:
+def arff_schema(spark: SparkSession, path: str, first_lines: int = 200) -> str:
     """DDL schema from the header: numeric attributes as double, nominal ones as string.
 
-    Only attribute lines, one per column, reach the driver.
+    Reads the head of the first file (in name order) until its ``@data`` line.
     """
-    numbered = spark.read.text(path).withColumn("_at", F.monotonically_increasing_id())
-    header = numbered.filter(F.lower(F.trim("value")).startswith("@attribute")).dropDuplicates(["value"])
+    files = sorted(spark.read.text(path).inputFiles())
+    if not files:
+        raise FileNotFoundError(f"no files in {path}")
+    lines = spark.read.text(files[0])
+    while True:
+        head = [row["value"].strip() for row in lines.head(first_lines)]
+        ends = [k for k, line in enumerate(head) if line.lower().startswith("@data")]
+        if ends or len(head) < first_lines:
+            break
+        first_lines *= 10
     fields = []
-    for row in sorted(header.collect(), key=lambda r: r["_at"]):
-        name, kind = _ATTRIBUTE.match(row["value"].strip()).groups()
+    for match in filter(None, map(_ATTRIBUTE.match, head[: ends[0]] if ends else head)):
+        name, kind = match.groups()
         numeric = kind.strip().lower() in {"numeric", "real", "integer"}
         fields.append(f"`{name.strip(chr(39) + chr(34))}` {'double' if numeric else 'string'}")
     return ", ".join(fields)
@@ -89,14 +101,24 @@ def read_label_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LABEL_POINTS).option("multiLine", True).json(path)
 
 
-def read_geometry(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(track points, corners, track rotation) of geometry documents, ``track`` being the file."""
-    doc = (
-        spark.read.schema(schemas.GEOMETRY_DOCUMENT)
-        .option("multiLine", True)
-        .json(path)
-        .withColumn("track", F.col("_metadata.file_path"))
-    )
-    points = doc.select("track", F.posexplode("trackData").alias("ordinal", "p")).select("track", "ordinal", "p.*")
-    corners = doc.select("track", F.posexplode("cornersData").alias("ordinal", "c")).select("track", "ordinal", "c.*")
-    return points, corners, doc.select("track", F.col("circuitInfo.rotation").alias("rotation"))
+class Geometry(NamedTuple):
+    """Track points, corners and rotations, and the documents that could not be read with a reason."""
+
+    points: DataFrame
+    corners: DataFrame
+    rotations: DataFrame
+    rejected: DataFrame
+
+
+def geometry_rows(documents: DataFrame) -> Geometry:
+    """Rows of geometry documents (``_file``, the document's fields, ``_corrupt``), ``track`` being the file."""
+    good, bad = quarantine.split(documents.withColumnRenamed("_file", "track"), [("Unreadable document", F.col(CORRUPT).isNotNull())])
+    points = good.select("track", F.posexplode("trackData").alias("ordinal", "p")).select("track", "ordinal", "p.*")
+    corners = good.select("track", F.posexplode("cornersData").alias("ordinal", "c")).select("track", "ordinal", "c.*")
+    rotations = good.select("track", F.col("circuitInfo.rotation").alias("rotation")).where("rotation is not null")
+    return Geometry(points, corners, rotations, bad.select("track", CORRUPT, quarantine.REASON))
+
+
+def read_geometry(spark: SparkSession, path: str) -> Geometry:
+    """Geometry documents, one per file, parsed once."""
+    return geometry_rows(stage(read_payload(spark, path, schemas.GEOMETRY_DOCUMENT), "geometry"))

@@ -28,6 +28,20 @@ def read_payload(spark: SparkSession, path: str, schema: str, lines: bool = Fals
     )
 
 
+def parse_documents(texts: DataFrame, schema: str) -> DataFrame:
+    """Documents that are held as text (``_file``, ``value``), as ``read_payload`` gives those of files.
+
+    A text that is no document of the schema keeps its text in ``_corrupt``, also
+    where single fields have drifted to another type; the fields that fit are read.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = texts.select("_file", F.from_json("value", f"{schema}, {CORRUPT} string", options).alias("_document"), "value")
+    # from_json has no document at all for a null text
+    missing = F.when(F.col("value").isNull(), F.lit(""))
+    names = [c for c in parsed.schema["_document"].dataType.names if c != CORRUPT]
+    return parsed.select("_file", *[F.col(f"_document.{c}").alias(c) for c in names], F.coalesce(f"_document.{CORRUPT}", missing).alias(CORRUPT))
+
+
 def _in_document_order(payload: DataFrame) -> DataFrame:
     # rows of one file stay together and in order, so within a file the id is the place in the array
     return payload.withColumn("ordinal", F.monotonically_increasing_id())

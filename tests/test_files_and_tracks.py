@@ -34,7 +34,8 @@ def document():
 
 def test_label_points_match_the_known_ones(spark, tmp_path):
     (tmp_path / "track.json").write_text(json.dumps(document(), indent=4))
-    points, corners, rotation = files.read_geometry(spark, str(tmp_path / "track.json"))
+    points, corners, rotation, rejected = files.read_geometry(spark, str(tmp_path / "track.json"))
+    assert rejected.count() == 0
     got = {r.corner: (r.x, r.y) for r in tracks.labels(corners, rotation).collect()}
     assert set(got) == set(LABELS)
     for corner, (x, y) in LABELS.items():
@@ -45,7 +46,8 @@ def test_label_points_match_the_known_ones(spark, tmp_path):
 @pytest.mark.parametrize("page_size", [2, 100])
 def test_geometry_document_round_trip(spark, tmp_path, page_size):
     (tmp_path / "track.json").write_text(json.dumps(document()))
-    parts = tracks.geometry_documents(*files.read_geometry(spark, str(tmp_path / "track.json")), page_size)
+    parts = tracks.geometry_documents(*files.read_geometry(spark, str(tmp_path / "track.json"))[:3], page_size)
+    assert {r.pages for r in parts.collect()} == {3 if page_size == 2 else 1}
     pages = [json.loads(r.document) for r in parts.orderBy("page").collect()]
     assert len(pages) == (3 if page_size == 2 else 1)
     assert [p for page in pages for p in page.get("trackData", [])] == document()["trackData"]
@@ -53,6 +55,15 @@ def test_geometry_document_round_trip(spark, tmp_path, page_size):
     assert pages[0]["circuitInfo"] == {"rotation": ROTATION}
 
 
+def test_broken_geometry_is_kept_with_a_reason(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(document()))
+    (tmp_path / "b.json").write_text(json.dumps(document())[:60])
+    read = files.read_geometry(spark, str(tmp_path))
+    assert read.points.count() == 5 and read.rotations.count() == 1
+    (bad,) = read.rejected.collect()
+    assert bad.track.endswith("b.json") and bad.reason == "Unreadable document" and bad["_corrupt"]
+
+
 def test_rotation_equals_complex_product(spark):
     rows = [(1.0, 2.0, 30.0), (-3.5, 0.25, -200.0)]
     df = spark.createDataFrame(rows, "x double, y double, rotation double")
@@ -90,6 +101,7 @@ def test_arff_round_trip(spark, tmp_path):
     (tmp_path / "a.arff").write_text(ARFF)
     path = str(tmp_path / "a.arff")
     assert files.arff_schema(spark, path) == "`prev_race` double, `class` string"
+    assert files.arff_schema(spark, path, first_lines=2) == "`prev_race` double, `class` string"
     rows = files.read_arff(spark, path, "prev_race int, class string")
     assert sorted(map(tuple, rows.collect()), key=str) == [(-1, "IN"), (4, "OUT"), (None, "IN")]
     out = str(tmp_path / "out")

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import timedelta
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridpanel.plans import documents, ingest
 from gridpanel.sources import landing, schemas, tables
-from gridpanel.streaming.landing import load_new_positions
+from gridpanel.streaming.landing import load_new_positions, load_settled_positions
 
 
 def land(path, document):
@@ -245,3 +246,73 @@ def test_documents(spark):
     assert doc["meeting"]["date_start"] == "2023-09-15T09:30:00" and doc["meeting"]["gmt_offset"] == "-5:30:00"
     nested = documents.circuit_documents(circuits, countries).filter("circuit_id = 62").first()
     assert nested.country.country_name == "Aland"
+
+
+def test_a_failed_commit_leaves_all_tables_as_they_were(spark, store):
+    country = spark.createDataFrame([(1, "AAA", "Aland")], schemas.COUNTRIES)
+    circuit = spark.createDataFrame([(61, "A-ring", 1, None)], schemas.CIRCUITS)
+    first = tables.commit(spark, store, {"countries": tables.Change(country), "circuits": tables.Change(circuit)})
+    fails = spark.range(3).selectExpr("id AS circuit_id", "string(id) AS circuit_short_name", "raise_error('lost') AS country_id", "'' AS external_id")
+    more = spark.createDataFrame([(2, "BBB", "Bland")], schemas.COUNTRIES)
+    with pytest.raises(Exception, match="lost"):
+        tables.commit(spark, store, {"countries": tables.Change(more), "circuits": tables.Change(fails, replace=True)})
+    assert [r.country_id for r in read(spark, store, "countries").collect()] == [1]
+    assert [r.circuit_id for r in read(spark, store, "circuits").collect()] == [61]
+    renamed = read(spark, store, "circuits").withColumn("circuit_short_name", F.lit("new"))
+    second = tables.commit(spark, store, {"countries": tables.Change(more), "circuits": tables.Change(renamed, replace=True)})
+    assert second == first + 1
+    assert sorted(r.country_id for r in read(spark, store, "countries").collect()) == [1, 2]
+    assert [r.circuit_short_name for r in read(spark, store, "circuits").collect()] == ["new"]
+    assert [r.circuit_short_name for r in tables.read_table(spark, store, "circuits", first).collect()] == ["A-ring"]
+
+
+def test_of_two_commits_with_one_number_one_wins(spark, store, monkeypatch):
+    country = spark.createDataFrame([(1, "AAA", "Aland")], schemas.COUNTRIES)
+    before = tables._latest(tables._Store(spark, store))
+    tables.append(country, store, "countries")
+    monkeypatch.setattr(tables, "_latest", lambda _: (before[0], dict(before[1])))
+    with pytest.raises(Exception, match="(?i)exist"):
+        tables.append(country, store, "countries")
+    monkeypatch.undo()
+    assert read(spark, store, "countries").count() == 1
+
+
+def test_a_later_file_revises_a_session_until_it_is_settled(spark, store, tmp_path):
+    sessions = spark.createDataFrame([(9001, None, "Race", "Race", 1), (9002, None, "Race", "Race", 1)], schemas.SESSIONS)
+    tables.append(sessions, store, "sessions")
+    folder = tmp_path / "p"
+
+    def arrive(session, name, rows, hours):
+        path = land(folder / f"session_key={session}" / name, rows)
+        os.utime(path, (1_700_000_000 + 3600 * hours,) * 2)
+
+    def run():
+        for _ in range(2):  # the watermark of one run decides what the next one settles
+            load_settled_positions(spark, str(folder), store, str(tmp_path / "stream"), quiet="6 hours").awaitTermination()
+        return sorted((r.session_id, r.driver_number, r.position) for r in read(spark, store, "positions").collect())
+
+    arrive(9001, "a.json", [{"driver_number": 44, "position": 3}, {"driver_number": 1, "position": 1}, {"driver_number": 44, "position": 2}], 0)
+    assert run() == []
+    arrive(9001, "b.json", [{"driver_number": 44, "position": 1}, {"driver_number": 1, "position": 2}], 2)
+    assert run() == []
+    arrive(9002, "a.json", [{"driver_number": 16, "position": 5}], 20)
+    arrive(9002, "broken.json", '[{"driver_number": 1', 20)
+    settled = run()
+    assert settled == [(9001, 1, 2), (9001, 44, 1)]
+    first = ingest.load_final_positions(landing.read_position_events(spark, str(folder / "session_key=9001")).withColumn("session_key", F.lit(9001)), read(spark, store, "sessions"), read(spark, store, "positions").limit(0))
+    assert {(r.session_id, r.driver_number, r.position) for r in first.rows.collect()} == set(settled)
+
+
+def test_panel_text_refuses_a_second_result(spark, store):
+    from gridpanel.plans import panel_text
+
+    tables.commit(spark, store, {
+        "meetings": tables.Change(spark.createDataFrame([(1, "m", None, None, None, None, 2020, 1), (2, "n", None, None, None, None, 2020, 2)], schemas.MEETINGS)),
+        "sessions": tables.Change(spark.createDataFrame([(10, None, "Race", "Race", 1), (11, None, "Race", "Race", 1), (20, None, "Race", "Race", 2)], schemas.SESSIONS)),
+        "positions": tables.Change(spark.createDataFrame([(1, 44, 1, 10), (2, 44, 2, 11), (3, 44, 5, 20)], schemas.POSITIONS)),
+    })
+    with pytest.raises(Exception, match="(?i)scalar|more than one"):
+        panel_text.panel_from_text(spark, store).collect()
+    tables.replace(read(spark, store, "positions").where("position_id <> 2"), store, "positions")
+    rows = panel_text.panel_from_text(spark, store).collect()
+    assert {(r.position_id, r.previous_race_pos, r.qualy_pos) for r in rows} == {(1, 21, 21), (3, 1, 21)}

@@ -148,6 +148,7 @@ def test_children_are_paged_and_empty_lists_stay(spark):
     children = spark.createDataFrame([(1, i) for i in range(7)], "id int, c int")
     nested = nesting.attach_children(parents, "id", children, "id", ["c"], "cs", page_size=3).collect()
     got = {(r.id, r.page): [c.c for c in r.cs] for r in nested}
+    assert {(r.id, r.pages) for r in nested} == {(1, 3), (2, 1)}
     assert got == {(1, 0): [0, 1, 2], (1, 1): [3, 4, 5], (1, 2): [6], (2, 0): []}
 
 
