@@ -4,8 +4,9 @@ Sequences may have several permitted lengths, each with a cost. Documents longer
 than the largest one are cut into pieces of it first. Pieces are dealt to shards
 by hash (about ``shard_tokens`` each) and every shard is packed on its own, with
 pieces in falling order of length: a piece goes into the open sequence that it
-leaves the least room in; if none has room, a sequence is opened, of the length
-with the least cost per token that the shard's remaining pieces can still fill.
+leaves the least room in; if none has room, a sequence is opened. Every permitted
+length is tried for it: the pieces still to come are laid in on trial, the longest
+that fits first, and the length with the least cost per token laid in is opened.
 In the end every sequence shrinks to the cheapest length that holds its pieces.
 A shard's state is bounded by the largest length, not by its pieces.
 
@@ -33,6 +34,22 @@ from gridpanel.llm.minhash import sorted_groups
 CAPACITIES: dict[int, float] = {512: 512 + 16.0, 1024: 1024 + 16.0, 2048: 2048 + 16.0, 4096: 4096 + 16.0}
 
 
+def filled(room: int, coming: list[int], lengths: int) -> int:
+    """Tokens that the pieces to come lay into this much room, the longest that fits first.
+
+    coming: pieces by length; lengths: a bit for each length that is still to come.
+    """
+    left = room
+    while left:
+        fits = lengths & ((2 << left) - 1)
+        if not fits:
+            break
+        n = fits.bit_length() - 1
+        left -= n * min(coming[n], left // n)
+        lengths = fits & ~(1 << n)
+    return room - left
+
+
 def pack(lengths: np.ndarray, capacities: Mapping[int, float] = CAPACITIES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sequence and offset of each piece (pieces in falling order of length), and each sequence's final length."""
     sizes = sorted(capacities)
@@ -42,8 +59,12 @@ def pack(lengths: np.ndarray, capacities: Mapping[int, float] = CAPACITIES) -> t
     opened: list[int] = []
     used: list[int] = []
     bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-    ahead = int(lengths.sum())
+    coming = np.bincount(lengths, minlength=largest + 1).tolist()
+    to_come = sum(1 << n for n, count in enumerate(coming) if count)
     for k, n in enumerate(lengths.tolist()):
+        coming[n] -= 1
+        if not coming[n]:
+            to_come &= ~(1 << n)
         fits = occupied >> n
         if fits:
             left = n + ((fits & -fits).bit_length() - 1)
@@ -51,13 +72,12 @@ def pack(lengths: np.ndarray, capacities: Mapping[int, float] = CAPACITIES) -> t
             if not room[left]:
                 occupied &= ~(1 << left)
         else:
-            left = min((s for s in sizes if s >= n), key=lambda s: (capacities[s] / min(s, ahead), s))
+            left = min((s for s in sizes if s >= n), key=lambda s: (capacities[s] / (n + filled(s - n, coming, to_come)), s))
             b = len(opened)
             opened.append(left)
             used.append(0)
         bins[k], offsets[k] = b, used[b]
         used[b] += n
-        ahead -= n
         if left > n:
             room[left - n].append(b)
             occupied |= 1 << (left - n)

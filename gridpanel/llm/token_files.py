@@ -51,8 +51,9 @@ DESCRIPTOR = 0x80
 
 NULL_ID = -(1 << 63)
 FRAME_IDS = 1 << 18
-CACHE_WORDS = 350_000
-CHUNK_BYTES = 1 << 22
+CACHE_WORDS = 1_500_000
+CACHE_PARTS = 350_000
+CHUNK_BYTES = 1 << 21
 _ENTRY = struct.Struct("<III")
 _FOOTER = struct.Struct("<IBI")
 #: Signs that part from a word before them; the apostrophe is not one of them.
@@ -191,7 +192,7 @@ class Encoder:
                 ids = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
             else:
                 ids = self._plain(part)
-            if len(self.parts) >= CACHE_WORDS:
+            if len(self.parts) >= CACHE_PARTS:
                 self.parts.clear()
             self.parts[part] = ids
         return ids

@@ -74,9 +74,9 @@ def _sample(docs: DataFrame, chosen: Column) -> DataFrame:
     return docs.where(chosen).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(pack, "doc_id long, slots binary")
 
 
-def _share(bound: int, total: int, salt: int) -> Column:
-    """A hash-chosen share of rows with about ``bound`` of ``total`` rows."""
-    return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, bound / max(total, 1)))
+def _share(bound: int, total: int, salt: int, *columns: str) -> Column:
+    """A hash-chosen share of rows with about ``bound`` of ``total`` rows; rows that agree in ``columns`` go together."""
+    return F.pmod(F.xxhash64(*columns, F.lit(salt)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, bound / max(total, 1)))
 
 
 def train(
@@ -97,11 +97,11 @@ def train(
     if not toxic:
         return ToxicityModel(np.zeros(WIDTH), float(np.log(prior / (1 - prior))))
     # At most about max_positive ids, so this side is small whatever the input's size.
-    ids = known.where("toxic").where(_share(max_positive, toxic, 1)).select("doc_id").distinct().limit(2 * max_positive)
+    ids = known.where("toxic").where(_share(max_positive, toxic, 1, "doc_id")).select("doc_id").distinct().orderBy("doc_id").limit(2 * max_positive)
     wanted = docs.join(F.broadcast(ids), "doc_id", "left_semi")
-    positive = _unpack(_sample(wanted, F.lit(True)).limit(2 * max_positive).toPandas())
+    positive = _unpack(_sample(wanted, F.lit(True)).orderBy("doc_id", "slots").limit(2 * max_positive).toPandas())
     total = docs.where(may_train).count()
-    other = _sample(docs, may_train & _share(max_unlabelled, total, 2)).limit(2 * max_unlabelled).toPandas()
+    other = _sample(docs, may_train & _share(max_unlabelled, total, 2, "doc_id", "text")).orderBy("doc_id", "slots").limit(2 * max_unlabelled).toPandas()
     unlabelled = _unpack(other)
     fits = [_fit(positive, unlabelled, prior, seed) for seed in range(members)]
     return ToxicityModel(np.mean([w for w, _ in fits], axis=0), float(np.mean([b for _, b in fits])))
@@ -113,6 +113,26 @@ def _unpack(sample: pd.DataFrame) -> list[np.ndarray]:
     return [np.frombuffer(s, "<i4") for s in ordered]
 
 
+def risk_slopes(f: np.ndarray, n_p: int, n_u: int, prior: float) -> np.ndarray:
+    """Slope of the non-negative risk by each row's margin; f holds n_p positive rows, then n_u unlabelled ones.
+
+    The risk is prior * mean loss of the positives as positive, plus the negatives'
+    part: mean loss of the unlabelled as negative less prior * that of the
+    positives. Where that part falls below zero, the slopes lead back to zero.
+    """
+    p = 1 / (1 + np.exp(-np.clip(f, -30, 30)))
+    loss_minus = np.logaddexp(0, f)
+    negative = (loss_minus[n_p:].mean() if n_u else 0.0) - prior * loss_minus[:n_p].mean()
+    g = np.empty(n_p + n_u)
+    if negative >= 0:
+        g[:n_p] = prior * (p[:n_p] - 1) / n_p - prior * p[:n_p] / n_p
+        g[n_p:] = p[n_p:] / max(n_u, 1)
+    else:
+        g[:n_p] = prior * p[:n_p] / n_p
+        g[n_p:] = -p[n_p:] / max(n_u, 1)
+    return g
+
+
 def _fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int, steps: int = 150, rate: float = 0.1, ridge: float = 2e-3) -> tuple[np.ndarray, float]:
     """One classifier by full-batch gradient steps (Adam) on the non-negative risk."""
     if not positive:
@@ -141,16 +161,7 @@ def _fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     moments = [np.zeros(len(columns) + 1), np.zeros(len(columns) + 1)]
     for step in range(1, steps + 1):
         f = np.bincount(rows, w[slots] * x, minlength=n_p + n_u) + bias
-        p = 1 / (1 + np.exp(-np.clip(f, -30, 30)))
-        loss_minus = np.logaddexp(0, f)
-        negative = (loss_minus[n_p:].mean() if n_u else 0.0) - prior * loss_minus[:n_p].mean()
-        g = np.empty(n_p + n_u)
-        if negative >= 0:
-            g[:n_p] = prior * (p[:n_p] - 1) / n_p - prior * p[:n_p] / n_p
-            g[n_p:] = p[n_p:] / max(n_u, 1)
-        else:  # the corrected negative risk went below zero: step back
-            g[:n_p] = prior * p[:n_p] / n_p
-            g[n_p:] = -p[n_p:] / max(n_u, 1)
+        g = risk_slopes(f, n_p, n_u, prior)
         gradient = np.append(np.bincount(slots, g[rows] * x, minlength=len(columns)) + ridge * prior * w, g.sum())
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.99 * moments[1] + 0.01 * gradient**2

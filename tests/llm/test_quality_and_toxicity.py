@@ -144,3 +144,27 @@ def test_toxicity_query_on_held_out_rows(spark, folder):
     assert out.count() == read(spark, folder, "documents").count()
     assert set(out.columns) >= {"doc_id", "held_out", "score", "predicted"}
     assert out.where("score < 0 or score > 1 or (score >= 0.7) <> (predicted = 1)").count() == 0
+
+
+def test_slopes_are_those_of_the_risk():
+    """Against finite differences of the risk written down plainly, on both sides of the correction."""
+    rng = np.random.default_rng(3)
+    n_p, n_u, prior = 7, 12, 0.3
+    soft = lambda v: np.log1p(np.exp(v))
+
+    def negative(f):
+        return soft(f[n_p:]).mean() - prior * soft(f[:n_p]).mean()
+
+    def risk(f):
+        return prior * soft(-f[:n_p]).mean() + negative(f)
+
+    def slopes(of, f, h=1e-6):
+        unit = np.eye(len(f)) * h
+        return np.array([(of(f + u) - of(f - u)) / (2 * h) for u in unit])
+
+    spread = rng.normal(size=n_p + n_u)
+    assert negative(spread) > 0
+    assert np.allclose(toxicity.risk_slopes(spread, n_p, n_u, prior), slopes(risk, spread), atol=1e-7)
+    fitted = np.concatenate([np.full(n_p, 4.0), np.full(n_u, -6.0)]) + 0.1 * spread
+    assert negative(fitted) < 0
+    assert np.allclose(toxicity.risk_slopes(fitted, n_p, n_u, prior), slopes(lambda f: -negative(f), fitted), atol=1e-7)

@@ -295,20 +295,27 @@ def test_readers_need_only_the_frames_they_ask_for():
 
 def brute_pack(lengths, capacities):
     """The same rule with a plain scan over open sequences (the last opened of equals first)."""
-    bins, ahead = [], sum(lengths)
-    for n in lengths:
+    bins = []
+    for k, n in enumerate(lengths):
         fits = [b for b in bins if b["room"] >= n]
         if fits:
             least = min(b["room"] for b in fits)
             chosen = max((b for b in fits if b["room"] == least), key=lambda b: b["touched"])
         else:
-            size = min((c for c in capacities if c >= n), key=lambda c: (capacities[c] / min(c, ahead), c))
+
+
+            def laid_in(size):
+                left = size - n
+                for other in lengths[k + 1 :]:
+                    left -= other if other <= left else 0
+                return size - left
+
+            size = min((c for c in capacities if c >= n), key=lambda c: (capacities[c] / laid_in(c), c))
             chosen = {"room": size, "used": 0}
             bins.append(chosen)
         chosen["room"] -= n
         chosen["used"] += n
-        chosen["touched"] = ahead * -1
-        ahead -= n
+        chosen["touched"] = k
     return sorted(b["used"] for b in bins), sorted(min((c for c in capacities if c >= b["used"]), key=lambda c: (capacities[c], c)) for b in bins)
 
 
@@ -325,6 +332,14 @@ def test_packing_matches_a_plain_scan(lengths):
         assert [o for o, _ in spans] == np.cumsum([0] + [n for _, n in spans[:-1]]).tolist()
 
 
+def test_lengths_are_chosen_by_what_fills_them():
+    """Pieces that fill a short length but not a long one get short sequences; small pieces make long ones worth it."""
+    lengths = lambda pieces: sorted(packing.pack(np.array(pieces), packing.CAPACITIES)[2].tolist())
+    assert lengths([510] * 3) == [512, 1024] and lengths([1020] * 3) == [1024, 2048]
+    assert lengths([2040]) == [2048] and lengths([3000, 900, 50]) == [4096]
+    assert lengths([1000] * 4 + [90] + [1] * 6) == [4096] and lengths([1000] * 3 + [600]) == [1024, 1024, 2048]
+
+
 def test_documents_are_packed_whole(make_docs):
     rows = [(k, "w " * (k * 37 % 900)) for k in range(60)] + [(100, None), (101, " \n"), (102, "w " * 10_000), (None, "w w"), (4, "other text"), (6, "w " * 222), (6, "w " * 222)]
     docs = make_docs(rows)
