@@ -206,8 +206,8 @@ def boost(x: np.ndarray, label: np.ndarray, columns: tuple[int, ...], rounds: in
         features.append(feature)
         cuts.append(cut)
         leaves.append(leaf)
-    shape = (len(features), -1)
-    return Boosted(columns, edges, start, depth, np.array(features, np.int64).reshape(shape), np.array(cuts, np.int64).reshape(shape), np.array(leaves).reshape(shape), regression)
+    made, inner = len(features), 2**depth - 1
+    return Boosted(columns, edges, start, depth, np.array(features, np.int64).reshape(made, inner), np.array(cuts, np.int64).reshape(made, inner), np.array(leaves).reshape(made, inner + 1), regression)
 
 
 def _grow_small(codes: np.ndarray, target: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
