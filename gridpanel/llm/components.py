@@ -35,20 +35,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return members.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def smallest_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n items the smallest one that the pairs (a, b) connect it with."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, label[b])
+        np.minimum.at(label, b, label[a])
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
 def _shorten(batches):
     """The edges of each batch as stars around the smallest node of what they connect."""
     for batch in batches:
         u, v = (np.asarray(batch.column(n)) for n in ("u", "v"))
         nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-        a, b = at[: len(u)], at[len(u) :]
-        label = np.arange(len(nodes))
-        while True:
-            before = label.copy()
-            np.minimum.at(label, a, label[b])
-            np.minimum.at(label, b, label[a])
-            label = label[label]
-            if (label == before).all():
-                break
+        label = smallest_reached(len(nodes), at[: len(u)], at[len(u) :])
         apart = label != np.arange(len(nodes))
         yield pa.RecordBatch.from_arrays([pa.array(nodes[apart]), pa.array(nodes[label[apart]])], ["u", "v"])
 

@@ -36,15 +36,18 @@ from pyspark.sql import functions as F
 
 from gridpanel.llm import textkit
 from gridpanel.llm.common import packed, row_id, stage
-from gridpanel.llm.components import connected_components
+from gridpanel.llm.components import connected_components, smallest_reached
 
 BANDS, ROWS, BITS = 32, 5, 2
 MINIMA = BANDS * ROWS
 SPREAD = 5.3
+MOST = 8192
 _rng = np.random.default_rng(8)
 MULTIPLIERS = (_rng.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * 2 + 1).astype(np.uint32)
 ADDENDS = _rng.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
 SIGNATURE_BYTES = MINIMA * BITS // 8
+_PAIRS = np.uint64(0x5555555555555555)  # one bit of each pair of bits
+_COLUMNS = 8192
 
 
 def shingle_sets(raw: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,10 +95,11 @@ def pack_bits(lowest: np.ndarray) -> np.ndarray:
 
 
 def estimate(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of packed signatures, corrected for chance collisions."""
-    differ = np.unpackbits(one ^ many, axis=-1).reshape(*many.shape[:-1], MINIMA, BITS).any(axis=-1)
+    """Estimated Jaccard similarity of packed signatures, corrected for chance collisions; 64 bits are counted at once."""
+    differ = np.ascontiguousarray(one).view(np.uint64) ^ np.ascontiguousarray(many).view(np.uint64)
+    unequal = np.bitwise_count((differ | (differ >> np.uint64(1))) & _PAIRS).sum(axis=-1, dtype=np.int64)
     chance = 0.5**BITS
-    return (1 - differ.mean(axis=-1) - chance) / (1 - chance)
+    return (1 - unequal / MINIMA - chance) / (1 - chance)
 
 
 def lowest_estimate(similarity: float) -> float:
@@ -149,7 +153,7 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
-def candidate_edges(classes: DataFrame, similarity: float, most: int = 1024) -> DataFrame:
+def candidate_edges(classes: DataFrame, similarity: float, most: int = MOST) -> DataFrame:
     """a, b: trees over the candidates of each band bucket, by estimate. classes: node, signature, bands."""
     exploded = classes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("least")).where("members > 1")
@@ -182,10 +186,9 @@ def _bounded_runs(batches: Iterator[pa.RecordBatch], key: str, rows: int = 8192)
 
 def _bucket_trees(bucket: np.ndarray, node: np.ndarray, signature: np.ndarray, cut: float) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, smallest node reached) of the estimated links inside each bucket; at most one per row."""
-    label = np.arange(len(node))
     size = np.bincount(np.searchsorted(np.unique(bucket), bucket))
     small = np.repeat(size, size) <= 24
-    left, right = [], []
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for d in range(1, 24):
         i = np.flatnonzero((bucket[:-d] == bucket[d:]) & small[:-d]) if len(bucket) > d else np.zeros(0, np.int64)
         if not len(i):
@@ -193,15 +196,7 @@ def _bucket_trees(bucket: np.ndarray, node: np.ndarray, signature: np.ndarray, c
         i = i[estimate(signature[i], signature[i + d]) >= cut]
         left.append(i)
         right.append(i + d)
-    if left:
-        left, right = np.concatenate(left), np.concatenate(right)
-        while True:
-            least = np.minimum(label[left], label[right])
-            changed = (label[left] != least) | (label[right] != least)
-            if not changed.any():
-                break
-            np.minimum.at(label, left, least)
-            np.minimum.at(label, right, least)
+    label = smallest_reached(len(node), np.concatenate(left), np.concatenate(right))
     heads = np.concatenate([[0], np.cumsum(size)])
     for a, b in zip(heads[:-1], heads[1:], strict=True):
         if b - a > 24:
@@ -238,34 +233,41 @@ class Sets:
             for _, _, raw, at in textkit.chunks(batch):
                 shingles, counts = shingle_sets(raw, at, words)
                 self.sets += [np.sort(s) for s in np.split(shingles, np.cumsum(counts)[:-1])]
-        self.root = list(range(len(self.sets)))
-        self.degree = np.zeros(len(self.sets), np.int64)
-
-    def find(self, i: int) -> int:
-        while self.root[i] != i:
-            self.root[i] = self.root[self.root[i]]
-            i = self.root[i]
-        return i
-
-    def linked(self, i: int, j: int, percent: int) -> bool:
-        """100 * intersection >= percent * union, on the full sets."""
-        a, b = self.sets[i], self.sets[j]
-        if len(a) > len(b):
-            a, b = b, a
-        if 100 * len(a) < percent * len(b):
-            return False
-        place = np.searchsorted(b, a)
-        place[place == len(b)] = 0
-        common = int((b[place] == a).sum())
-        return 100 * common >= percent * (len(a) + len(b) - common)
-
-    def compare(self, left: list[int], right: list[int], percent: int) -> None:
-        """Join what is linked, over all pairs of left and right that are not joined yet."""
-        for i in left:
-            for j in right:
-                if i != j and self.find(i) != self.find(j) and self.linked(i, j, percent):
-                    self.degree[[i, j]] += 1
-                    self.root[max(self.find(i), self.find(j))] = min(self.find(i), self.find(j))
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+
+    def common(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of all sets of left with all of right: products of 0-1 matrices, some shingles at a time."""
+        out = np.zeros((len(left), len(right)), np.int64)
+        sides = [np.concatenate([np.zeros(0, np.uint64), *[self.sets[i] for i in side]]) for side in (left, right)]
+        shared = np.intersect1d(*[np.unique(s) for s in sides], assume_unique=True)
+        # (column, row) of each shared shingle of each side, by column
+        cells = []
+        for side, values in zip((left, right), sides, strict=True):
+            row = np.repeat(np.arange(len(side)), self.sizes[side])
+            column = np.searchsorted(shared, values)
+            held = column < len(shared)
+            held[held] = shared[column[held]] == values[held]
+            order = np.argsort(column[held], kind="stable")
+            cells.append((column[held][order], row[held][order]))
+        for start in range(0, len(shared), _COLUMNS):
+            tables = []
+            for side, (column, row) in zip((left, right), cells, strict=True):
+                a, b = np.searchsorted(column, [start, start + _COLUMNS])
+                table = np.zeros((len(side), min(_COLUMNS, len(shared) - start)), np.float32)  # sums below 2^24 are exact
+                table[row[a:b], column[a:b] - start] = 1
+                tables.append(table)
+            out += (tables[0] @ tables[1].T).astype(np.int64)
+        return out
+
+    def links(self, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs (of left, of right) with 100 * intersection >= percent * union, on the full sets."""
+        if not len(left) or not len(right):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        common = self.common(left, right)
+        linked = 100 * common >= percent * (self.sizes[left][:, None] + self.sizes[right][None, :] - common)
+        i, j = np.nonzero(linked)
+        apart = left[i] != right[j]
+        return left[i[apart]], right[j[apart]]
 
 
 def _compare_tasks(rows: DataFrame, words: int, percent: int) -> DataFrame:
@@ -276,15 +278,15 @@ def _compare_tasks(rows: DataFrame, words: int, percent: int) -> DataFrame:
         for group in sorted_groups(batches, "task"):
             sets = Sets(group, words)
             frame = group.select(["node", "side", "cluster"]).to_pandas().drop_duplicates("node").set_index("node").loc[sets.nodes]
-            for _, same in frame.assign(i=range(len(frame))).query("cluster >= 0").groupby("cluster")["i"]:
-                for k in same.iloc[1:]:
-                    sets.root[sets.find(k)] = sets.find(same.iloc[0])
-            side = frame["side"].to_numpy()
-            both = np.flatnonzero(side == 2).tolist()
-            sets.compare(both or np.flatnonzero(side == 0).tolist(), both or np.flatnonzero(side == 1).tolist(), percent)
-            root = np.array([sets.find(i) for i in range(len(sets.nodes))], np.int64)
-            told = (root != np.arange(len(root))) | (sets.degree > 0)
-            yield pa.RecordBatch.from_arrays([pa.array(sets.nodes[told]), pa.array(sets.nodes[root[told]]), pa.array(sets.degree[told])], ["a", "b", "degree"])
+            side, cluster = frame["side"].to_numpy(), frame["cluster"].to_numpy()
+            both = np.flatnonzero(side == 2)
+            pairs = sets.links(both, both, percent) if len(both) else sets.links(np.flatnonzero(side == 0), np.flatnonzero(side == 1), percent)
+            degree = np.bincount(np.concatenate(pairs), minlength=len(side)) // (2 if len(both) else 1)
+            known = np.flatnonzero(cluster >= 0)
+            _, first, which = np.unique(cluster[known], return_index=True, return_inverse=True)
+            root = smallest_reached(len(side), np.append(pairs[0], known), np.append(pairs[1], known[first[which]]))
+            told = (root != np.arange(len(root))) | (degree > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(sets.nodes[told]), pa.array(sets.nodes[root[told]]), pa.array(degree[told])], ["a", "b", "degree"])
 
     dealt = rows.select("task", "side", "cluster", "node", "text").repartition("task").sortWithinPartitions("task", "side", "node")
     return dealt.mapInArrow(work, "a long, b long, degree long")
@@ -346,7 +348,7 @@ def _with_largest(state: DataFrame) -> DataFrame:
     return stage(state.join(largest, "component").withColumn("inside", F.col("cluster") == F.col("top")), "minhash-state")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, most: int = 1024, small: int = 256, block: int = 128) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, most: int = MOST, small: int = 256, block: int = 128) -> DataFrame:
     """One row per document: doc_id, row (hash of id and text), n_shingles, component_id, kept_row.
 
     kept_row marks one document of each component, one with its smallest doc_id.
