@@ -226,6 +226,7 @@ class Sets:
         nodes = np.asarray(rows.column("node"))
         _, own = np.unique(nodes, return_index=True)
         own.sort()
+        self.rows = own
         self.nodes = nodes[own]
         self.sets: list[np.ndarray] = []
         picked = rows.take(own).combine_chunks().to_batches()
@@ -328,19 +329,80 @@ def confirmed_links(members: DataFrame, words: int, percent: int, small: int = 2
     moved = state.join(reached, "node", "left_semi").select("component", "cluster").distinct().withColumn("_moved", F.lit(True))
     state = state.join(moved, ["component", "cluster"], "left").withColumn("cluster", F.when(F.col("_moved"), F.col("top")).otherwise(F.col("cluster")))
     state = _with_largest(state.select("component", "block", "node", "cluster", "degree"))
-    # What is still outside the largest cluster against all other blocks; its own block is done. Two blocks that both
-    # have such members meet once, as wholes: what lies inside the largest cluster on both sides is joined already.
+    # What is still outside the largest cluster against whom it can be linked with: blocks of groups that share rare
+    # shingles. Two blocks that both have such members meet once, as wholes: what lies inside the largest cluster on
+    # both sides is joined already.
+    groups = stage(connected_components(_rare_edges(state, texts, words, percent)), "minhash-groups")
+    state = state.drop("component", "block").join(groups, "node")
+    sizes = stage(state.groupBy("component").agg(F.count("*").alias("members")), "minhash-sizes")
+    state = state.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / block)))
+    state = stage(state.withColumn("block", F.when(F.col("members") > small, F.col("block")).otherwise(0)), "minhash-state")
     blocks = state.groupBy("component", F.col("block").alias("other")).agg(F.max(~F.col("inside")).alias("mutual"))
     parts = blocks.where("mutual").select("component", F.col("other").alias("part"))
-    tasks = parts.join(blocks, "component").where("part < other or (part > other and not mutual)")
+    tasks = parts.join(blocks, "component").where("part <= other or not mutual")
     tasks = stage(tasks.withColumn("task", F.xxhash64("component", "part", "other")), "minhash-pairs")
     left = state.join(tasks, (state["component"] == tasks["component"]) & (state["block"] == tasks["part"])).where("mutual or not inside")
-    right = state.join(tasks, (state["component"] == tasks["component"]) & (state["block"] == tasks["other"]))
-    rows = left.select("task", F.lit(0).alias("side"), "cluster", "node").unionByName(right.select("task", F.lit(1).alias("side"), "cluster", "node"))
+    right = state.join(tasks, (state["component"] == tasks["component"]) & (state["block"] == tasks["other"])).where("part <> other")
+    rows = left.select("task", F.when(F.col("part") == F.col("other"), 2).otherwise(0).alias("side"), "cluster", "node")
+    rows = rows.unionByName(right.select("task", F.lit(1).alias("side"), "cluster", "node"))
     rest = stage(_compare_tasks(rows.join(texts, "node"), words, percent), "minhash-links")
     return links.unionByName(rest).select("a", "b")
 
 
+def _rare_edges(state: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: trees over what may still be linked with a document outside its component's largest cluster.
+
+    Two sets with a similarity of percent share one of the first n - ceil(n * percent / 100) + 1 shingles of
+    each, whatever the order of all shingles. Here those that few documents of the component hold come first, so
+    documents made from one template, but of other words, do not meet. state: component, block, node, cluster, inside.
+    """
+    open_ones = state.where("not inside").select("component").distinct()
+    rows = state.join(open_ones, "component", "left_semi").join(texts, "node")
+    rows = stage(rows.select(F.xxhash64("component", "block").alias("task"), "component", "node", "cluster", "inside", "text"), "minhash-open")
+
+    def count(batches):
+        for group in sorted_groups(batches, "task"):
+            sets = Sets(group, words).sets
+            shingles, n = np.unique(np.concatenate(sets), return_counts=True)
+            often = n >= max(4, len(sets) / 8)
+            component = np.full(int(often.sum()), group.column("component")[0].as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(component), pa.array(shingles[often].view(np.int64)), pa.array(n[often].astype(np.int64))], ["component", "shingle", "n"])
+
+    common = rows.repartition("task").sortWithinPartitions("task", "node").mapInArrow(count, "component long, shingle long, n long")
+    common = common.groupBy("component", "shingle").agg(F.sum("n").alias("n"))
+    # At most about as many as eight documents have, since an eighth of a block's documents hold each.
+    common = common.groupBy("component").agg(F.collect_list(F.struct("n", "shingle")).alias("common"))
+    heads = rows.groupBy("task").agg(F.min("component").alias("component")).join(common, "component")
+    nothing = F.lit(None)
+    heads = heads.select("task", F.lit(0).alias("side"), "component", nothing.cast("long").alias("node"), nothing.cast("long").alias("cluster"), nothing.cast("boolean").alias("inside"), nothing.cast("string").alias("text"), "common")
+    dealt = heads.unionByName(rows.withColumn("side", F.lit(1)), allowMissingColumns=True).repartition("task").sortWithinPartitions("task", "side", "node")
+
+    def first_ones(batches):
+        for group in sorted_groups(batches, "task"):
+            side = np.asarray(group.column("side"))
+            told = [x for held in group.column("common").to_pylist() if held for x in held]
+            often = np.array([x["shingle"] for x in told], np.int64).view(np.uint64)
+            n = np.array([x["n"] for x in told], np.int64)
+            order = np.argsort(often)
+            often, n = np.append(often[order], np.uint64(0)), np.append(n[order], 0)
+            group = group.filter(pa.array(side == 1)).select(["component", "node", "cluster", "inside", "text"])
+            sets = Sets(group, words)
+            chosen = []
+            for own in sets.sets:
+                place = np.searchsorted(often[:-1], own)
+                held = np.where(often[place] == own, n[place], 0)
+                chosen.append(own[np.lexsort((own, held))][: len(own) + 1 - -(-percent * len(own) // 100)])
+            at = np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
+            table = group.select(["component", "node", "cluster", "inside"]).take(pa.array(sets.rows[at]))
+            yield from table.append_column("shingle", pa.array(np.concatenate(chosen).view(np.int64))).combine_chunks().to_batches()
+
+    first = stage(dealt.mapInArrow(first_ones, "component long, node long, cluster long, inside boolean, shingle long"), "minhash-first")
+    by = ["component", "shingle"]
+    met = first.groupBy(*by).agg(F.min("node").alias("least"), F.min("cluster").alias("low"), F.max("cluster").alias("high"), F.max(~F.col("inside")).alias("open"))
+    met = stage(met.where("open and low <> high").select(*by, "least"), "minhash-met")
+    return stage(first.join(met, by).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")), "minhash-edges")
+
+
 def _with_largest(state: DataFrame) -> DataFrame:
     """Adds top (the component's largest cluster) and inside (a member of it), written."""
     sizes = state.groupBy("component", "cluster").agg(F.count("*").alias("n"))

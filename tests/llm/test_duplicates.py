@@ -173,8 +173,9 @@ def test_lookup_answers_in_order(spark):
 
 
 def test_each_pair_of_blocks_meets_once(spark, monkeypatch):
-    # one candidate component of documents that are not linked: almost all stay outside its largest cluster
-    rows = [(k, 1, f"w{k} x{k} y{k}") for k in range(40)] + [(40, 1, "w3 x3 y3")]
+    # one candidate component of documents that share 7 of 8 shingles each and are not linked: almost all stay
+    # outside its largest cluster, and one of their first shingles is common to all
+    rows = [(k, 1, f"a b c d e f g h w{k}") for k in range(40)] + [(40, 1, "a b c d e f g h w3")]
     members = spark.createDataFrame(rows, "node long, component long, text string")
     pairs, compare = [], minhash._compare_tasks
 
@@ -187,3 +188,22 @@ def test_each_pair_of_blocks_meets_once(spark, monkeypatch):
     links = minhash.confirmed_links(members, 2, 80, small=7, block=7).collect()
     assert {tuple(sorted((r.a, r.b))) for r in links if r.a != r.b} == {(3, 40)}
     assert pairs[-1] and len(pairs[-1]) == len(set(pairs[-1]))
+
+
+def test_documents_of_one_template_do_not_meet(spark, monkeypatch):
+    # 14 of 20 shingles from the template: nearly all of one candidate component is not linked, five documents are
+    template = " ".join(f"t{i}" for i in range(15))
+    rows = [(k, 1, template + "".join(f" w{k}_{i}" for i in range(6))) for k in range(400)]
+    rows += [(400 + k, 1, f"{rows[7][2]} z{k}") for k in range(5)]
+    members = spark.createDataFrame(rows, "node long, component long, text string")
+    sizes, compare = [], minhash._compare_tasks
+
+    def watched(tasks, words, percent):
+        sizes.append(tasks.select("node").distinct().count())
+        return compare(tasks, words, percent)
+
+    monkeypatch.setattr(minhash, "_compare_tasks", watched)
+    links = minhash.confirmed_links(members, 2, 80, small=40, block=20).select("a", "b")
+    out = {r.node: r.component for r in connected_components(links).collect()}
+    assert out == {7: 7} | {400 + k: 7 for k in range(5)}
+    assert len(sizes) == 4 and sizes[-1] <= 6
