@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,28 +15,39 @@ from gridpanel.llm.common import stage
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node of its component) for every node of edges(a, b).
 
-    Each step moves a node's neighbours to the smallest one it knows, as joins
-    and minimum aggregates with map-side combine; the table is written after
-    each round. A task first shortens the edges it has at hand to trees of depth
-    one. No component is ever gathered in one task. Loops and repeated
-    edges do no harm; nodes that only occur in a loop have no row.
+    Each step moves a node's neighbours to the smallest one it knows; the table
+    is written after each round. A task first shortens the edges it has at hand
+    to trees of depth one. No component is ever gathered in one task, and neither
+    are the edges of one node (see _with_lowest). Loops and repeated edges do no
+    harm; nodes that only occur in a loop have no row.
     """
     links = edges.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).mapInArrow(_shorten, "u long, v long")
     links = stage(_oriented(links), "components")
     before = None
     while (now := links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()) != before:
-        before = now
+        before, salts = now, max(16, math.isqrt(now[0]))
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Repeated pairs do no harm to a minimum; only what is written is made distinct.
-        large = both.join(lowest, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(lowest, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        large = _with_lowest(both, salts).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = _with_lowest(large, salts).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         links = stage(_oriented(moved.select("e.*")), "components")
     members = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _with_lowest(pairs: DataFrame, salts: int) -> DataFrame:
+    """u, v and m, the smallest of u and all its v.
+
+    The pairs of a node are dealt to that many tasks by their other end. Each
+    part sends its minimum to the node and gets the node's minimum back, so a
+    node costs a task at most one row per part.
+    """
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salts)))
+    parts = dealt.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    lowest = parts.groupBy("u").agg(F.least("u", F.min("m")).alias("m"), F.collect_list("salt").alias("parts"))
+    return dealt.join(lowest.select("u", "m", F.explode("parts").alias("salt")), ["u", "salt"]).select("u", "v", "m")
+
+
 def smallest_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of n items the smallest one that the pairs (a, b) connect it with."""
     label = np.arange(n)
