@@ -10,19 +10,19 @@ form one range of text.
    asked for: which occur in more than one document? (48 bits of a key; a chance
    hit costs work only.)
 2. The ranges of shared minimisers go to buckets by minimiser, so that all
-   occurrences of a window meet. A batch sends equal ranges once, from its
-   smallest document; the others are settled at once.
-3. In a bucket, equal ranges are joined first. Where a minimiser has different
-   ones, their suffixes are refined: bucket numbers of all 8-byte strings, then,
-   in the buckets with more than one suffix, sorting on (own bucket, bucket of
-   the suffix 8 later), on the refined numbers of the suffix 16 later, and so on
-   until the numbers stand for ``length`` bytes. This is exact: a number stands
-   for the bytes themselves. The smallest doc_id of each number's windows decides.
+   occurrences of a window meet. A batch sends equal ranges (by hash and bytes)
+   once, from its smallest document; only copies inside one batch are settled so.
+3. In a bucket, the suffixes of all ranges of a minimiser are refined: bucket
+   numbers of all 8-byte strings, then, in the buckets with more than one
+   suffix, sorting on (own bucket, bucket of the suffix 8 later), on the refined
+   numbers of the suffix 16 later, and so on until the numbers stand for
+   ``length`` bytes. This is exact: a number stands for the bytes themselves.
+   The smallest doc_id of each number's windows decides.
 4. The removed ranges go back to their batch.
 
 A passage of a third of all documents costs its bucket one range per batch. Beyond
 BATCHES_PER_SALT batches a bucket takes part in two rounds, per salt (so many
-batches at a time) and as a whole with one document per distinct range.
+batches at a time) and as a whole with the ranges that no round settled in full.
 
 Defined results: null and empty texts have no bytes; a null doc_id counts as
 smaller than all others; rows with equal doc_ids take nothing from one another;
@@ -50,7 +50,7 @@ BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
 PIECE_BYTES = 1 << 20
 #: A passage that every batch has costs a bucket one range, some 100 bytes, for each of these.
-BATCHES_PER_SALT = 1 << 16
+BATCHES_PER_SALT = 1 << 13
 NULL_ID = -(1 << 63)
 KIND = 0
 U = np.uint64
@@ -153,7 +153,7 @@ def equal_ranges(raw: np.ndarray, start: np.ndarray, size: np.ndarray, doc_id: n
 
 
 def smallest_documents(raw: np.ndarray, start: np.ndarray, n: np.ndarray, key: np.ndarray, doc_id: np.ndarray, length: int) -> np.ndarray:
-    """Smallest doc_id that has each window, over distinct ranges (each with its smallest document); windows in order."""
+    """Smallest doc_id that has each window of the ranges; windows in order."""
     own = np.repeat(doc_id, n)
     _, code, count = np.unique(key, return_inverse=True, return_counts=True)
     several = np.flatnonzero(count[code] > 1)
@@ -344,7 +344,7 @@ def _settle_and_send(group, raw, start, n, least, owner, length, bucket):
 
 
 def settle(sent: DataFrame, length: int, forward: bool) -> DataFrame:
-    """Per task of bucket rows: removed ranges by batch; with forward, also the first of each distinct range, again by bucket.
+    """Per task of bucket rows: removed ranges by batch; with forward, also the ranges with a window that stays, again by bucket.
 
     Rows without a bucket, ranges removed before, pass through.
     """
@@ -370,27 +370,19 @@ def settle(sent: DataFrame, length: int, forward: bool) -> DataFrame:
                 piece, n = table[rows_here], size[rows_here]
                 text = take_ranges(raw, start[rows_here], n)
                 at = np.cumsum(n) - n
-                first = equal_ranges(text, at, n, piece["doc_id"])
-                later = piece["doc_id"][first] < piece["doc_id"]
-                # Equal ranges of one document stand for themselves; one of them carries the windows.
-                heads = np.unique(first)
-                least = smallest_documents(text, at[heads], piece["n"][heads], piece["key"][heads], piece["doc_id"][heads], length)
-                place = np.zeros(len(piece), np.int64)
-                place[heads] = np.cumsum(piece["n"][heads]) - piece["n"][heads]
-                rest = np.flatnonzero(~later)
-                n = piece["n"][rest]
-                windows = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                gone = least[np.repeat(place[first[rest]], n) + windows] < np.repeat(piece["doc_id"][rest], n)
+                least = smallest_documents(text, at, piece["n"], piece["key"], piece["doc_id"], length)
+                n = piece["n"]
+                head = np.cumsum(n) - n
+                gone = least < np.repeat(piece["doc_id"], n)
                 # Runs of removed windows become one range each.
                 hit = np.flatnonzero(gone)
-                owner = np.repeat(rest, n)[hit]
+                owner = np.repeat(np.arange(len(piece)), n)[hit]
                 new = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (owner[1:] != owner[:-1])]) if len(hit) else np.zeros(0, bool)
-                heads = np.flatnonzero(new)
-                count = np.diff(np.append(heads, len(hit)))
-                open_rows.append(rows_here[rest])
-                gone_rows += [rows_here[later], rows_here[owner[heads]]]
-                gone_starts += [piece["place"][later], piece["place"][owner[heads]] + windows[hit[heads]]]
-                gone_sizes += [piece["n"][later] + length - 1, count + length - 1]
+                runs = np.flatnonzero(new)
+                open_rows.append(rows_here[~np.logical_and.reduceat(gone, head)])
+                gone_rows.append(rows_here[owner[runs]])
+                gone_starts.append(piece["place"][owner[runs]] + hit[runs] - head[owner[runs]])
+                gone_sizes.append(np.diff(np.append(runs, len(hit))) + length - 1)
             if not open_rows:
                 continue
             owners, begins, sizes, rest = groups[np.concatenate(gone_rows)], np.concatenate(gone_starts), np.concatenate(gone_sizes), np.concatenate(open_rows)
