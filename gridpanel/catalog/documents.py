@@ -9,6 +9,7 @@ from gridpanel.functions.scalars import parse_offset
 from gridpanel.operators import quarantine
 from gridpanel.operators.nesting import attach_children, attach_parent
 from gridpanel.plans import documents, ingest, tracks
+from gridpanel.scratch import stage
 from gridpanel.sources import files, landing, schemas
 from gridpanel.sources.landing import qualifying_rows
 from gridpanel.sources.tables import read_inputs
@@ -102,7 +103,8 @@ def geometry_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     texts = written.select(
         F.concat_ws("/", "track", "page", "pages").alias("_file"), F.when(broken, F.substring("document", 1, 25)).otherwise(F.col("document")).alias("value")
     )
-    read = files.geometry_rows(landing.parse_documents(texts, schemas.GEOMETRY_DOCUMENT))
+    # parsed once for the four kinds of rows below
+    read = files.geometry_rows(stage(landing.parse_documents(texts, schemas.GEOMETRY_DOCUMENT), "geometry"))
     none = [F.lit(-1).alias("ordinal"), F.lit(-1.0).alias("x")]
     rows = read.points.select("track", F.lit("point").alias("kind"), "ordinal", "x", F.lit("").alias("reason"))
     rows = rows.unionByName(read.corners.select("track", F.lit("corner").alias("kind"), "ordinal", F.col("number").cast("double").alias("x"), F.lit("").alias("reason")))

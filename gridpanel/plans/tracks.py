@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpanel.functions.geometry import LABEL_OFFSET, corner_label, fit_scale, label_point, rotate
@@ -74,16 +74,23 @@ def geometry_documents(
     """
     number = F.floor(F.col("ordinal") / F.lit(page_size)).cast("int")
 
-    def paged(df: DataFrame, name: str, fields: list[str]) -> DataFrame:
-        rows = F.array_sort(F.collect_list(F.struct("ordinal", *fields)))
-        bare = F.transform(rows, lambda p: F.struct(*[p[f].alias(f) for f in fields]))
-        return df.withColumn("page", number).groupBy("track", "page").agg(bare.alias(name))
-
-    track = paged(points, "trackData", ["x", "y"])
-    corner = paged(corners, "cornersData", ["number", "letter", "x", "y", "angle"])
-    info = rotations.select("track", F.lit(0).alias("page"), F.struct("rotation").alias("circuitInfo"))
+    def paged(df: DataFrame, name: str, fields: list[str], page: Column = number) -> DataFrame:
+        # rows without a page form documents of their own kind
+        return df.select("track", page.alias("page"), F.when(page.isNull(), F.lit(name)).alias("_kind"), F.struct(*fields).alias(name))
+
+    def listed(name: str, fields: list[str]) -> Column:
+        rows = F.transform(F.sort_array(F.collect_list(name)), lambda p: F.struct(*[p[f].alias(f) for f in fields]))
+        return F.when(F.size(rows) > 0, rows).alias(name)
+
+    point, corner = ["x", "y"], ["number", "letter", "x", "y", "angle"]
+    info = paged(rotations, "circuitInfo", ["rotation"], F.lit(0))
+    # all kinds in one shuffle
+    rows = paged(points, "trackData", ["ordinal", *point]).unionByName(paged(corners, "cornersData", ["ordinal", *corner]), allowMissingColumns=True)
+    grouped = rows.unionByName(info, allowMissingColumns=True).groupBy("track", "page", "_kind")
+    pages = grouped.agg(listed("trackData", point), listed("cornersData", corner), F.collect_list("circuitInfo").alias("_infos"))
+    documents = pages.select("track", "page", "trackData", "cornersData", F.explode_outer("_infos").alias("circuitInfo"))
     last = points.select("track", number.alias("page")).unionByName(corners.select("track", number.alias("page"))).unionByName(info.select("track", "page"))
     counts = last.groupBy("track").agg((F.max("page") + 1).alias("pages"))
-    joined = track.join(corner, ["track", "page"], "full_outer").join(info, ["track", "page"], "full_outer").join(counts, "track")
+    joined = documents.join(counts, "track")
     body = F.to_json(F.struct("trackData", "cornersData", "circuitInfo"))
     return joined.select("track", "page", "pages", body.alias("document"))

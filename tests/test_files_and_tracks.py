@@ -144,3 +144,29 @@ def test_times_and_rounding(spark):
     assert [tuple(r) for r in got] == [("2014-03-16T06:00:00", 2), (None, 4)]
     micro = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 00:00:07.179575' AS t").select(scalars.iso_timestamp(F.col("t")).alias("iso"))
     assert micro.first().iso == "2024-01-01T00:00:07.179575"
+
+
+def test_geometry_documents_are_parsed_once(spark, folder):
+    from gridpanel.catalog import documents
+
+    plan = documents.geometry_round_trip(spark, folder)._jdf.queryExecution().toString().lower()
+    assert "from_json" not in plan and "jsontostructs" not in plan
+
+
+def test_geometry_documents_of_odd_tracks(spark):
+    points = spark.createDataFrame([("a", 1, 2.0, 3.0), ("a", 0, 1.0, 1.0), ("a", None, 9.0, 9.0), (None, 0, 5.0, 5.0)], "track string, ordinal int, x double, y double")
+    corners = spark.createDataFrame([("a", None, 1, "A", 1.0, 1.0, 90.0), ("b", 3, 2, None, 1.0, 1.0, 0.0)], "track string, ordinal int, number bigint, letter string, x double, y double, angle double")
+    rotations = spark.createDataFrame([("a", 10.0), ("a", 20.0), ("c", 30.0)], "track string, rotation double")
+    got = sorted(((r.track, r.page, r.pages, r.document) for r in tracks.geometry_documents(points, corners, rotations, 2).collect()), key=str)
+    both = '{"trackData":[{"x":1.0,"y":1.0},{"x":2.0,"y":3.0}],"circuitInfo":{"rotation":%s}}'
+    assert got == sorted(
+        [
+            ("a", 0, 1, both % "10.0"),
+            ("a", 0, 1, both % "20.0"),
+            ("a", None, 1, '{"trackData":[{"x":9.0,"y":9.0}]}'),
+            ("a", None, 1, '{"cornersData":[{"number":1,"letter":"A","x":1.0,"y":1.0,"angle":90.0}]}'),
+            ("b", 1, 2, '{"cornersData":[{"number":2,"x":1.0,"y":1.0,"angle":0.0}]}'),
+            ("c", 0, 1, '{"circuitInfo":{"rotation":30.0}}'),
+        ],
+        key=str,
+    )
