@@ -1,3 +1,4 @@
+import pickle
 import random
 
 import numpy as np
@@ -318,3 +319,47 @@ def test_defaults_leave_the_end_to_the_models(planted, monkeypatch):
     models.fit("linear_svm", planted, FEATURES, 600)
     assert seen["LogisticRegression"][1] == 100_000 and seen["LinearSVC"][1] == s.svm_iterations
     assert all(done < most for done, most in seen.values()), seen
+
+
+def test_equal_rows_are_solved_and_tested_as_one(spark, planted, monkeypatch):
+    many = planted.crossJoin(spark.range(30).withColumnRenamed("id", "copy")).withColumn("position_id", F.col("position_id") * 30 + F.col("copy"))
+    study = compare.holdout_study(many, FEATURES, ("logistic",), SMALL)
+    assert study.cells.count() <= 2 * 600 < study.rows.count() == 18_000
+    read = []
+    inner = solvers.one_pass
+    monkeypatch.setattr(solvers, "one_pass", lambda rows, *rest: read.append(rows.count()) or inner(rows, *rest))
+    counts = compare.run(study)
+    assert read and max(read) <= 1200
+    assert counts.agg(F.sum("n")).first()[0] == study.rows.where("block = 1").count()
+
+
+def test_copies_weigh_as_rows(spark, planted):
+    rows = planted.select(F.lit(0).alias("block"), "label", *FEATURES, (F.col("position_id") % 4 + 1).alias("copies"))
+    spread = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "copy")
+    design = solvers.Design((0, 1, 2))
+    models_ = {0: solvers.Binary(design, 1, (1.0, 0.0), 1.0, True), 1: solvers.Binary(design, 1, (1.0, 0.0), 1.0, False), 2: solvers.Multinomial(design, 1, np.array([0.0, 1.0]), 1.0)}
+    points = {0: np.full(4, 0.01), 1: np.full(4, 0.02), 2: np.linspace(-0.02, 0.02, 8)}
+    one, other = (solvers.one_pass(df, FEATURES, models_, points) for df in (rows, spread))
+    assert all(np.allclose(one[i], other[i]) for i in models_)
+
+
+def test_grown_trees_do_not_come_to_the_driver(spark, planted):
+    study = compare.holdout_study(planted, FEATURES, ("forest", "boosted"), SMALL)
+    study = study._replace(samples=compare._samples(study))
+    found = compare._grown(study, ("forest", "boosted"), 1)
+    x, label = compare._training_rows(study, 1)
+    forest, boosted = found["all", 1, "forest"], found["all", 1, "boosted"]
+    assert max(len(pickle.dumps(m)) for m in found.values()) < 2000
+    own = trees.grow_forest(x, label, (0, 1, 2), range(5), SMALL.seed, SMALL.max_depth, bootstrap=True)
+    assert (forest.predict(x) == own.classes[own.votes(x).argmax(axis=1)]).all()
+    made = trees.boost(x, label, (0, 1, 2), SMALL.boosting_rounds, SMALL.boosting_depth, SMALL.boosting_rate, False)
+    assert (boosted.predict(x) == made.predict(x)).all()
+
+
+def test_training_rows_of_every_fold_are_those_with_the_smallest_hashes(planted):
+    study = compare.fold_study(splits.expanding_window(planted, 4, ["position_id"]), {"base": FEATURES}, ("forest",), models.Settings(tree_rows=50))
+    study = study._replace(samples=compare._samples(study))
+    for fold in (1, 4):
+        x, label = compare._training_rows(study, fold)
+        want = study.rows.where(F.col("block") < fold).orderBy("draw").limit(50).collect()
+        assert x.tolist() == [[r[f] for f in study.features] for r in want] and label.tolist() == [r.label for r in want]
