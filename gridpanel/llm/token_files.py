@@ -36,12 +36,12 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridpanel.llm import textkit
 from gridpanel.llm.common import stage
+from gridpanel.scratch import open_folder as _open
 from gridpanel.scratch import scratch_path
 
 #: Fixed values of the seekable format.
@@ -51,9 +51,9 @@ DESCRIPTOR = 0x80
 
 NULL_ID = -(1 << 63)
 FRAME_IDS = 1 << 18
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000
 CACHE_PARTS = 350_000
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 _ENTRY = struct.Struct("<III")
 _FOOTER = struct.Struct("<IBI")
 #: Signs that part from a word before them; the apostrophe is not one of them.
@@ -93,7 +93,7 @@ class Encoder:
     def _forget(self) -> None:
         """Empties the table: sorted word hashes, and for each where its ids lie in the pool (length -1: text to be encoded whole)."""
         self.hashes = np.zeros(0, np.uint64)
-        self.begin = self.length = np.zeros(0, np.int64)
+        self.begin = self.length = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
 
     def encode(self, raw: np.ndarray, at: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -152,14 +152,17 @@ class Encoder:
             room = np.maximum(sizes, 0)
             begin = len(self.pool) + np.cumsum(room) - room
             self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(m for m in made if m), np.uint32)])
-            order = np.argsort(np.concatenate([self.hashes, distinct[new]]), kind="stable")
-            self.hashes = np.concatenate([self.hashes, distinct[new]])[order]
-            self.begin, self.length = np.concatenate([self.begin, begin])[order], np.concatenate([self.length, sizes])[order]
+            # put in their places one array at a time: the table is large and each worker has its own
+            order = np.argsort(distinct[new], kind="stable")
+            place = np.searchsorted(self.hashes, distinct[new][order])
+            self.hashes = np.insert(self.hashes, place, distinct[new][order])
+            self.begin = np.insert(self.begin, place, begin[order])
+            self.length = np.insert(self.length, place, sizes[order])
             at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
         if not len(self.hashes):
             return np.zeros(len(local), np.int64), np.zeros(len(local), np.int64)
         at = np.minimum(at, len(self.hashes) - 1)
-        begin, length = self.begin[at], self.length[at]
+        begin, length = self.begin[at].astype(np.int64), self.length[at].astype(np.int64)
         return np.where(wanted, begin[local], 0), np.where(wanted, length[local], 0)
 
     def _unit(self, unit: str) -> bytes | None:
@@ -268,14 +271,6 @@ class Reader:
         return content
 
 
-def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    """The folder's file system and its path there; a plain path is a local one. Hadoop's other names of S3 are known."""
-    for name in ("s3a://", "s3n://"):
-        if folder.startswith(name):
-            folder = "s3://" + folder[len(name) :]
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-
-
 MANIFEST = "file int, path string, frame int, documents long, tokens long, first_doc long, last_doc long"
 
 

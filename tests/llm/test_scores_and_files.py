@@ -360,3 +360,18 @@ def test_documents_are_packed_whole(make_docs):
     assert sorted(map(str, out)) == sorted(map(str, again))
     assert packing.pack_documents(docs.limit(0)).count() == 0
     assert packing.pack_documents(docs, length=F.length("text")).agg(F.sum("length")).first()[0] == sum(len(t or "") for _, t in rows)
+
+
+def test_the_word_table_is_small_and_sorted():
+    import public_tokenizers
+
+    coder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for first in (0, 500, 100):
+        texts = [f"word{k} and w{k * 7}x" for k in range(first, first + 400)]
+        raw = np.frombuffer("".join(texts).encode(), np.uint8)
+        at = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+        ids, counts = coder.encode(raw, at, 2)
+        want = [[*coder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+    assert len(coder.hashes) > 1000 and (np.diff(coder.hashes) > 0).all()
+    assert coder.begin.itemsize + coder.length.itemsize <= 8
