@@ -50,29 +50,29 @@ def _count(raw: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     starts, ends, first = textkit.word_ranges(raw, at)
     rows = len(at) - 1
     doc = textkit.row_of(first)
-    solid = ~textkit.SPACE[raw]
+    solid = ~textkit.SPACE.take(raw)
     points = (raw & 0xC0) != 0x80
     hashes = textkit.Hasher(raw, lower=False)
     words = hashes.ranges(starts, ends)
     salt = textkit.mix(doc.astype(np.uint64))
     letter = ((raw | 0x20) >= 97) & ((raw | 0x20) <= 122) | (raw >= 0x80)
     digit = (raw >= 48) & (raw <= 57)
-    letters = np.concatenate([[0], np.cumsum(letter | digit)])
+    named = letter | digit
     length = ends - starts
     out = {
         "n_words": np.diff(first),
         "word_chars": textkit.per_row(solid & points, at),
-        "n_symbols": textkit.per_row(_table(SYMBOLS)[raw], at),
+        "n_symbols": textkit.per_row(_table(SYMBOLS).take(raw), at),
         "n_dup_lines": _duplicate_lines(raw, at, hashes, starts),
         "n_repeat_words": _repeats(words, doc, salt, rows),
         "n_chars": textkit.per_row(points, at),
         "n_lines": textkit.per_row(raw == 10, at) + 1,
         "n_upper": textkit.per_row((raw >= 65) & (raw <= 90), at),
         "n_digits": textkit.per_row(digit, at),
-        "n_marks": textkit.per_row(solid & points & ~letter & ~digit, at),
+        "n_marks": textkit.per_row(solid & points & ~named, at),
         "n_distinct": np.bincount(doc[~pd.Series(words ^ salt).duplicated().to_numpy()], minlength=rows),
         "n_long_words": np.bincount(doc[length > 20], minlength=rows),
-        "n_bare_words": np.bincount(doc[letters[ends] == letters[starts]], minlength=rows),
+        "n_bare_words": np.bincount(doc[textkit.before(named, ends) == textkit.before(named, starts)], minlength=rows),
     }
     return out
 
@@ -188,11 +188,12 @@ def keep_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, m
 
     def choose(batches):
         for batch in batches:
-            keep = [np.zeros(0, bool)]
-            for _, _, raw, at in textkit.chunks(batch):
-                counts = pd.DataFrame(_count(raw, at))
-                fails = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
-                keep.append((model.probability(features(counts)) >= threshold) & ~fails.to_numpy())
-            yield batch.filter(pa.array(np.concatenate(keep)))
+            parts = [pd.DataFrame(_count(raw, at)) for _, _, raw, at in textkit.chunks(batch)]
+            if not parts:
+                yield batch
+                continue
+            counts = pd.concat(parts)
+            fails = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
+            yield batch.filter(pa.array((model.probability(features(counts)) >= threshold) & ~fails.to_numpy()))
 
     return docs.mapInArrow(choose, docs.schema).select(*names)
