@@ -27,12 +27,21 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpanel.llm.common import WORD, packed, stage
+from gridpanel.llm.common import SPACES, WORD, packed, stage
 
 ROUNDS = 12
 SLOTS_PER_TASK = 1 << 16
 
 
+def _partner(x: Column, r: Column, size: Column, keys: list[Column], seed: int) -> Column:
+    return F.pmod(F.pmod(F.xxhash64(F.lit(seed), r, *keys), size) - x, size)
+
+
+def _swapped(x: Column, other: Column, r: Column, keys: list[Column], seed: int) -> Column:
+    swap = F.xxhash64(F.lit(seed + 1), r, *keys, F.greatest(x, other)).bitwiseAND(F.lit(1)) == 1
+    return F.when(swap, other).otherwise(x)
+
+
 def permute(value: Column, size: Column, keys: list[Column], seed: int) -> Column:
     """value in [0, size) through a pseudorandom permutation of that range, one for each value of keys.
 
@@ -41,13 +50,28 @@ def permute(value: Column, size: Column, keys: list[Column], seed: int) -> Colum
     """
 
     def round_(x: Column, r: Column) -> Column:
-        other = F.pmod(F.pmod(F.xxhash64(F.lit(seed), r, *keys), size) - x, size)
-        swap = F.xxhash64(F.lit(seed + 1), r, *keys, F.greatest(x, other)).bitwiseAND(F.lit(1)) == 1
-        return F.when(swap, other).otherwise(x)
+        return _swapped(x, _partner(x, r, size, keys, seed), r, keys, seed)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), value.cast("long"), round_)
 
 
+def permuted(rows: DataFrame, name: str, value: Column, size: Column, keys: list[Column], seed: int) -> DataFrame:
+    """Adds ``permute(value, size, keys, seed)``: a projection for each step, which is compiled, where lambdas are interpreted.
+
+    Stage the result before filtering or joining by it: a condition pushed through the steps doubles with each.
+    """
+    rows = rows.withColumn("_x", value.cast("long"))
+    for k in range(1, ROUNDS + 1):
+        rows = rows.withColumn("_other", _partner(F.col("_x"), F.lit(k), size, keys, seed))
+        rows = rows.withColumn("_x", _swapped(F.col("_x"), F.col("_other"), F.lit(k), keys, seed))
+    return rows.withColumn(name, F.col("_x")).drop("_x", "_other")
+
+
+def count_words(text: Column) -> Column:
+    """Number of words: what lies between two white-space characters, where it is not empty."""
+    return F.coalesce(F.size(F.array_remove(F.split(text, f"[{SPACES}]"), "")), F.lit(0)).cast("long")
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
     """sources(source, source_size) plus index, weight and target.
 
@@ -80,8 +104,7 @@ def mix(
     """Per document: doc_id, _row (hash of all its columns), size, source_size, target, taken, and
     spans: array of (from, to, times), the word ranges the mix takes and how often."""
     spark = docs.sparkSession
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = stage(docs.select("doc_id", F.xxhash64(*docs.columns).alias("_row"), "source", size.alias("size")), "mix-sizes")
+    sized = stage(docs.select("doc_id", F.xxhash64(*docs.columns).alias("_row"), "source", count_words(F.col("text")).alias("size")), "mix-sizes")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeat)
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
     sources = sources.withColumn("blocks", blocks).withColumn("slots", F.coalesce(F.round(F.try_divide(F.col("target") * F.col("blocks"), F.col("source_size"))), F.lit(0)).cast("long"))
@@ -95,7 +118,7 @@ def mix(
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.col("start")
     pieces = pieces.select("index", "start", "block", begin.alias("from"), end.alias("to"))
 
-    takes = _takes(spark.range(n_slots).withColumnRenamed("id", "slot"), sources, n_slots, shard_slots, seed)
+    takes = stage(_takes(spark.range(n_slots).withColumnRenamed("id", "slot"), sources, n_slots, shard_slots, seed), "mix-takes")
     taken = (
         pieces.join(takes, ["index", "block"])
         .groupBy("index", "start")
@@ -129,8 +152,7 @@ def _takes(slots: DataFrame, sources: DataFrame, n_slots: int, shard_slots: int,
     each = numbered.select("index", F.explode(F.sequence(F.col("_begin"), F.col("_end") - 1)).alias("k"))
     each = each.join(sources.where("blocks > 0").select("index", "blocks"), "index")
     each = each.select("index", "blocks", F.expr("k div blocks").alias("epoch"), F.expr("k % blocks").alias("i"))
-    block = permute(F.col("i"), F.col("blocks"), [F.col("index"), F.col("epoch")], seed)
-    drawn = each.select("index", block.alias("block"))
+    drawn = permuted(each, "block", F.col("i"), F.col("blocks"), [F.col("index"), F.col("epoch")], seed).select("index", "block")
     return drawn.groupBy("index", "block").agg(F.count("*").alias("times"))
 
 
@@ -141,8 +163,8 @@ def shard_counts(slots: DataFrame, sources: DataFrame, n_slots: int, shard_slots
     ranges are found by an equi-join on equal-width cells, which they are cut into.
     """
     width = max(1, n_slots // 4096)
-    place = permute(F.col("slot"), F.lit(max(n_slots, 1)).cast("long"), [], seed + 2)
-    drawn = slots.select("slot", place.alias("place")).select(F.expr(f"slot div {shard_slots}").alias("shard"), "place", F.expr(f"place div {width}").alias("cell"))
+    placed = permuted(slots.select("slot"), "place", F.col("slot"), F.lit(max(n_slots, 1)).cast("long"), [], seed + 2)
+    drawn = stage(placed, "mix-slots").select(F.expr(f"slot div {shard_slots}").alias("shard"), "place", F.expr(f"place div {width}").alias("cell"))
     end = F.col("first_slot") + F.col("slots")
     cells = sources.where("slots > 0").select("index", "first_slot", end.alias("end_slot"), F.explode(F.sequence(F.expr(f"first_slot div {width}"), F.floor((end - 1) / width))).alias("cell"))
     inside = (F.col("place") >= F.col("first_slot")) & (F.col("place") < F.col("end_slot"))

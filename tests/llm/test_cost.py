@@ -4,8 +4,9 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from gridpanel.llm import quality, textkit
+from gridpanel.llm import mixing, quality, textkit
 
 
 def _peak(work) -> int:
@@ -38,3 +39,18 @@ def test_flags_are_counted_in_any_range():
         expected = np.concatenate([[0], np.cumsum(flags)])
         assert (textkit.before(flags, at) == expected[at]).all()
         assert (textkit.per_row(flags, at) == np.diff(expected[at])).all()
+
+
+def test_slots_are_permuted_without_lambdas(spark, make_docs):
+    docs = make_docs([(k, "some words of a text " * (k % 5), f"s{k % 3}") for k in range(30)])
+    assert "aggregate(sequence" not in mixing.mix(docs)._jdf.queryExecution().optimizedPlan().toString()
+    for n in (1, 2, 7, 1000):
+        size, keys = F.lit(n).cast("long"), [F.col("id") % 3]
+        both = mixing.permuted(spark.range(n), "new", F.col("id"), size, keys, 5).withColumn("old", mixing.permute(F.col("id"), size, keys, 5))
+        assert [r.new == r.old for r in both.collect()] == [True] * n
+
+
+def test_words_are_counted_between_white_space(make_docs):
+    texts = [None, "", " ", "a", " a\tb\r\n c\x0bd\x0ce ", "\n\n", "\xe9\xa0x y z", "a  b"]
+    got = make_docs(list(enumerate(texts))).select("doc_id", mixing.count_words(F.col("text"))).collect()
+    assert [n for _, n in sorted(got)] == [0, 0, 0, 1, 5, 0, 2, 2]
