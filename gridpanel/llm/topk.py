@@ -33,6 +33,7 @@ from gridpanel.llm.minhash import sorted_groups
 
 RESOLUTIONS = (4, 16)
 EXACT = float(1 << 52)
+TILE = 64
 
 
 def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
@@ -78,8 +79,18 @@ def top_of_block(q: np.ndarray, x: np.ndarray, q_own: np.ndarray, x_own: np.ndar
     if not len(q) or not len(x):
         return best
     scale = float(np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1])
+    fine_x = [segment_features(x, s) for s in RESOLUTIONS]
+    tiles = [_top_of_tile(q[a : a + TILE], x, q_own[a : a + TILE], x_own, ids, k, fine_x, scale) for a in range(0, len(q), TILE)]
+    best.query = np.concatenate([t.query + n * TILE for n, t in enumerate(tiles)])
+    best.score, best.row, best.least = (np.concatenate([getattr(t, name) for t in tiles]) for name in ("score", "row", "least"))
+    return best
+
+
+def _top_of_tile(q: np.ndarray, x: np.ndarray, q_own: np.ndarray, x_own: np.ndarray, ids: np.ndarray, k: int, fine_x: list[np.ndarray], scale: float) -> Best:
+    """A few queries against a block: bounds are small matrix products, exact scores one product where many pairs are left."""
+    best = Best(len(q), k)
     slack = 1e-9 * scale + 1e-6
-    coarse = segment_features(q, RESOLUTIONS[0]) @ segment_features(x, RESOLUTIONS[0]).T
+    coarse = segment_features(q, RESOLUTIONS[0]) @ fine_x[0].T
     coarse[q_own[:, None] == x_own[None, :]] = -np.inf
     # Exact scores of the pairs with the highest bounds set the first limits.
     head = np.argpartition(-coarse, min(4 * k, len(x) - 1), axis=1)[:, : 4 * k]
@@ -89,15 +100,16 @@ def top_of_block(q: np.ndarray, x: np.ndarray, q_own: np.ndarray, x_own: np.ndar
     query, row = query[real], row[real]
     best.add(query, exact_scores(q[query], x[row]), row, ids)
     coarse[query, row] = -np.inf
-    fine_q = [segment_features(q, s) for s in RESOLUTIONS[1:]]
-    fine_x = [segment_features(x, s) for s in RESOLUTIONS[1:]]
-    for a in range(0, len(q), 64):
-        query, row = np.nonzero((coarse[a : a + 64] + slack >= best.least[a : a + 64, None]) & np.isfinite(coarse[a : a + 64]))
-        query = query + a
-        for fq, fx in zip(fine_q, fine_x, strict=True):
-            keep = np.einsum("ij,ij->i", fq[query], fx[row]) + slack >= best.least[query]
-            query, row = query[keep], row[keep]
-        best.add(query, exact_scores(q[query], x[row]), row, ids)
+    left = (coarse + slack >= best.least[:, None]) & np.isfinite(coarse)
+    for segments, fx in zip(RESOLUTIONS[1:], fine_x[1:], strict=True):
+        left &= segment_features(q, segments) @ fx.T + slack >= best.least[:, None]
+    query, row = np.nonzero(left)
+    if scale < EXACT and len(query) * 16 > left.size:
+        score = (q @ x.T)[query, row].astype(np.int64)
+    else:
+        score = exact_scores(q[query], x[row])
+    near = score >= best.least[query]
+    best.add(query[near], score[near], row[near], ids)
     return best
 
 
