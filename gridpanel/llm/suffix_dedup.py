@@ -48,7 +48,8 @@ from gridpanel.llm.minhash import sorted_groups
 GRAM = 16
 BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
-PIECE_BYTES = 1 << 20
+#: Ranges are compared in pieces whose sorts stay in a core's cache.
+PIECE_BYTES = 1 << 17
 #: A passage that every batch has costs a bucket one range, some 100 bytes, for each of these.
 BATCHES_PER_SALT = 1 << 13
 NULL_ID = -(1 << 63)
@@ -89,6 +90,16 @@ def ranges(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np
     return start, n, least[start], document[start]
 
 
+def ranks(values: np.ndarray) -> np.ndarray:
+    """For each value, how many smaller distinct ones there are."""
+    order = np.argsort(values)
+    new = np.zeros(len(values), bool)
+    new[1:] = values[order[1:]] != values[order[:-1]]
+    out = np.empty(len(values), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
 def window_numbers(raw: np.ndarray, length: int) -> np.ndarray:
     """For each position, a number that is equal exactly where the next ``length`` bytes are.
 
@@ -98,14 +109,14 @@ def window_numbers(raw: np.ndarray, length: int) -> np.ndarray:
     eight = eight_bytes(raw)
     if not len(eight):
         return np.zeros(len(raw), np.int64)
-    _, number = np.unique(eight, return_inverse=True)
+    number = ranks(eight)
     have = 8
     while have < length:
         step = min(have, length - have)
         size = np.bincount(number)
         active = np.flatnonzero(size[number[:-step]] > 1)
         pair = number[active].astype(U) * U(len(size)) + number[active + step].astype(U)
-        _, refined = np.unique(pair, return_inverse=True)
+        refined = ranks(pair)
         # Buckets of one suffix keep a number of their own.
         fresh = np.full(len(number), -1, np.int64)
         fresh[active] = refined
@@ -164,7 +175,7 @@ def smallest_documents(raw: np.ndarray, start: np.ndarray, n: np.ndarray, key: n
     number = window_numbers(text, length)
     offset = np.cumsum(size) - size
     windows = np.repeat(offset - (np.cumsum(n[several]) - n[several]), n[several]) + np.arange(int(n[several].sum()))
-    _, number = np.unique(number[windows], return_inverse=True)
+    number = ranks(number[windows])
     least = np.full(number.max(initial=-1) + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, number, np.repeat(doc_id[several], n[several]))
     where = np.repeat((np.cumsum(n) - n)[several] - (np.cumsum(n[several]) - n[several]), n[several]) + np.arange(len(windows))
@@ -301,9 +312,10 @@ def shared_ranges(stored: DataFrame, flags: DataFrame, length: int, buckets: int
             distinct, code = np.unique(textkit.mix(least) >> U(16), return_inverse=True)
             bucket = (distinct % U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             shared = np.zeros(len(distinct), bool)
             for answer in row["told"] or []:
-                mine = order[slice(*np.searchsorted(bucket[order], [answer["bucket"], answer["bucket"] + 1]))]
+                mine = order[edges[answer["bucket"]] : edges[answer["bucket"] + 1]]
                 shared[mine] = np.unpackbits(np.frombuffer(answer["flags"], np.uint8), count=len(mine))
             mine = shared[code]
             start, n, least, owner = start[mine], n[mine], least[mine], ids[document[mine]]
@@ -391,8 +403,9 @@ def settle(sent: DataFrame, length: int, forward: bool) -> DataFrame:
             for g, mine in zip(found.tolist(), np.split(order, edges[1:]) if len(found) else [], strict=True):
                 yield _removed(g, begins[mine], sizes[mine])
             if forward:
-                for g in np.unique(groups[rest]).tolist():
-                    mine = rest[groups[rest] == g]
+                rest = rest[np.argsort(groups[rest], kind="stable")]
+                found, edges = np.unique(groups[rest], return_index=True)
+                for g, mine in zip(found.tolist(), np.split(rest, edges[1:]) if len(found) else [], strict=True):
                     yield _range_rows([bucket], [g], [_pack_table(table[mine])], [lookup.packed(take_ranges(raw, start[mine], size[mine]), 3)])
 
     dealt = sent.select("task", "bucket", "group", "arrays", "raw").repartition("task").sortWithinPartitions("task")
