@@ -40,6 +40,8 @@ from gridpanel.llm.minhash import sorted_groups
 
 DEPTH = 5
 GROUP_BYTES = 16 << 20
+#: So many keys of a group are sorted at a time.
+SORT_KEYS = 1 << 21
 STRINGS, WORDS = 0, 1
 VALUES = {STRINGS: "<f4", WORDS: "<f8"}
 ONE = np.uint64(1)
@@ -177,17 +179,25 @@ def _grouped(docs: DataFrame, groups: int, trains: Column) -> DataFrame:
 def requests(grouped: DataFrame, buckets: int) -> DataFrame:
     """kind, bucket, group, keys, counts: each group's distinct strings and words with their training counts."""
 
+    def reduce(held, found):
+        for kind, parts in held.items():
+            if parts:
+                for into, new in zip(found[kind], lookup.counted(*map(np.concatenate, zip(*parts, strict=True))), strict=True):
+                    into += new
+                parts.clear()
+
     def collect(batches):
         for rows in sorted_groups(batches, "group"):
             found: dict[int, tuple[list, list]] = {STRINGS: ([], []), WORDS: ([], [])}
+            held: dict[int, list] = {STRINGS: [], WORDS: []}
             for batch in rows.to_batches():
                 trains = np.asarray(batch.column("trains"), bool)
-                for first, _, raw, at in textkit.chunks(batch):
+                for first, end, raw, at in textkit.chunks(batch):
                     for kind, (keys, document) in ((STRINGS, byte_strings(raw, at)), (WORDS, words(raw, at))):
-                        code, distinct = pd.factorize(keys)
-                        own, n = lookup.merge([distinct], [np.bincount(code, trains[first + document], len(distinct)).astype(np.int64)])
-                        found[kind][0].append(own)
-                        found[kind][1].append(n)
+                        held[kind].append((keys, trains[first:end][document]))
+                    if sum(len(keys) for keys, _ in held[STRINGS]) >= SORT_KEYS:
+                        reduce(held, found)
+            reduce(held, found)
             group = rows.column("group")[0].as_py()
             for kind, parts in found.items():
                 keys, counts = lookup.merge(*parts)
@@ -244,11 +254,9 @@ def _sums(grouped: DataFrame, answered: DataFrame, train_documents: int, buckets
                 for first, end, raw, at in textkit.chunks(batch):
                     size = end - first
                     keys, document = byte_strings(raw, at)
-                    index, values = lookups[STRINGS]
-                    sums[3].append(np.bincount(document, values[index.get_indexer(keys)], size))
+                    sums[3].append(np.bincount(document, _values_of(keys, *lookups[STRINGS]), size))
                     keys, document = words(raw, at)
-                    index, values = lookups[WORDS]
-                    v = values[index.get_indexer(keys)]
+                    v = _values_of(keys, *lookups[WORDS])
                     sums[0].append(np.bincount(document, minlength=size) + 1)
                     sums[1].append(np.bincount(document[v > 0], minlength=size) + (train_documents > 0))
                     sums[2].append(np.bincount(document, v, size) + math.log10(train_documents + 1))
@@ -260,14 +268,26 @@ def _sums(grouped: DataFrame, answered: DataFrame, train_documents: int, buckets
     return dealt.mapInArrow(add, "doc_id long, n_tokens long, n_known long, logs double, score double")
 
 
-def _lookup(documents: pa.Table, kind: int, blobs: dict, buckets: int) -> tuple[pd.Index, np.ndarray]:
+def _lookup(documents: pa.Table, kind: int, blobs: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The group's distinct keys, as they were asked for, and their values."""
-    parts = []
+    parts, held = [], []
     for batch in documents.to_batches():
         for _, _, raw, at in textkit.chunks(batch):
-            parts.append(pd.unique((byte_strings if kind == STRINGS else words)(raw, at)[0]))
-    keys = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-    return pd.Index(keys), lookup.fill(blobs, kind, VALUES[kind], bucket_of(kind, keys, buckets))
+            held.append((byte_strings if kind == STRINGS else words)(raw, at)[0])
+            if sum(map(len, held)) >= SORT_KEYS:
+                parts.append(lookup.distinct(np.concatenate(held)))
+                held = []
+    keys = lookup.distinct(np.concatenate([*parts, *held])) if parts or held else np.zeros(0, np.uint64)
+    return keys, lookup.fill(blobs, kind, VALUES[kind], bucket_of(kind, keys, buckets))
+
+
+def _values_of(keys: np.ndarray, found: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each key: a chunk's distinct keys are few, and in order they are found near one another."""
+    code, distinct = pd.factorize(keys)
+    order = np.argsort(distinct)
+    own = np.empty(len(distinct))
+    own[order] = values[np.searchsorted(found, distinct[order])]
+    return own[code]
 
 
 def score(docs: DataFrame, trains: Column) -> DataFrame:

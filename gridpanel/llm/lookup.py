@@ -46,12 +46,34 @@ def merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(all_keys, kind="stable")
+    order = np.argsort(all_keys)  # sums of whole numbers: equal keys may come in any order
     all_keys, all_counts = all_keys[order], all_counts[order]
-    heads = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]])) if len(all_keys) else np.zeros(0, np.int64)
+    heads = heads_of(all_keys)
     return all_keys[heads], np.add.reduceat(all_counts, heads) if len(heads) else np.zeros(0, np.int64)
 
 
+def heads_of(keys: np.ndarray) -> np.ndarray:
+    """Where each of the sorted keys occurs first."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys, by a plain sort; hash tables would not fit a core's cache."""
+    keys = np.sort(keys)
+    return keys[heads_of(keys)]
+
+
+def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Parts for ``merge``: distinct keys and how often the flag counts is set with them. Plain sorts, no keys are hashed."""
+    parts: tuple[list, list] = ([], [])
+    for mine, weight in ((keys[counts], 1), (keys[~counts], 0)):
+        mine = np.sort(mine)
+        heads = heads_of(mine)
+        parts[0].append(mine[heads])
+        parts[1].append(weight * np.diff(np.append(heads, len(mine))))
+    return parts
+
+
 def request(kind: int, group: int, bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch | None:
     """One group's request as rows, from its sorted keys."""
     order = np.argsort(bucket, kind="stable")
