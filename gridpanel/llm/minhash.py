@@ -154,7 +154,7 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Ta
 
 
 def candidate_edges(classes: DataFrame, similarity: float, most: int = MOST) -> DataFrame:
-    """a, b: trees over the candidates of each band bucket, by estimate. classes: node, signature, bands."""
+    """a, b: trees over the candidates of each band bucket, by estimate; an edge can repeat. classes: node, signature, bands."""
     exploded = classes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("least")).where("members > 1")
     shared = stage(exploded.join(sizes, "bucket"), "minhash-buckets")
@@ -168,7 +168,7 @@ def candidate_edges(classes: DataFrame, similarity: float, most: int = MOST) ->
 
     signed = shared.where(F.col("members") <= most).select("bucket", "node").join(classes.select("node", "signature"), "node")
     dealt = signed.repartition("bucket").sortWithinPartitions("bucket", "node")
-    return dealt.mapInArrow(trees, "a long, b long").unionByName(whole).distinct()
+    return dealt.mapInArrow(trees, "a long, b long").unionByName(whole)
 
 
 def _bounded_runs(batches: Iterator[pa.RecordBatch], key: str, rows: int = 8192) -> Iterator[pa.Table]:
@@ -299,7 +299,8 @@ def confirmed_links(members: DataFrame, words: int, percent: int, small: int = 2
     members: node, component (of the candidates), text. Components of up to
     ``small`` documents are compared in one task.
     """
-    sizes = stage(members.groupBy("component").agg(F.count("*").alias("members")), "minhash-sizes")
+    rows = members.count()
+    sizes = stage(members.groupBy("component").agg(F.count("*").alias("members")), "minhash-sizes", rows)
     sized = members.join(sizes, "component")
     alone = F.lit(-1).cast("long").alias("cluster")
     little = sized.where(F.col("members") <= small).select(F.col("component").alias("task"), F.lit(2).alias("side"), alone, "node", "text")
@@ -314,12 +315,12 @@ def confirmed_links(members: DataFrame, words: int, percent: int, small: int = 2
     inside = stage(_compare_tasks(inside, words, percent), "minhash-links")
     links = links.unionByName(inside)
     state = large.select("component", "block", "node").join(inside.withColumnRenamed("a", "node"), "node", "left")
-    state = _with_largest(state.select("component", "block", "node", F.coalesce("b", "node").alias("cluster"), F.coalesce("degree", F.lit(0)).alias("degree")))
+    state = _with_largest(state.select("component", "block", "node", F.coalesce("b", "node").alias("cluster"), F.coalesce("degree", F.lit(0)).alias("degree")), rows)
     if not state.where("not inside").limit(1).count():
         return links.select("a", "b")
     # The member with most links of the largest cluster against all that are outside it.
     hubs = state.where("inside").groupBy("component").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub"))
-    hubs = stage(hubs, "minhash-hubs")
+    hubs = stage(hubs, "minhash-hubs", rows)
     tasks = state.where("not inside").join(hubs, "component").select(F.xxhash64("component", "block").alias("task"), "hub", F.lit(1).alias("side"), "cluster", "node")
     centres = tasks.select("task", F.col("hub").alias("node")).distinct().select("task", F.lit(0).alias("side"), alone, "node")
     stars = tasks.select("task", "side", "cluster", "node").unionByName(centres).join(texts, "node")
@@ -328,15 +329,17 @@ def confirmed_links(members: DataFrame, words: int, percent: int, small: int = 2
     reached = stars.join(hubs.select(F.col("hub").alias("b")), "b", "left_semi").select(F.col("a").alias("node"))
     moved = state.join(reached, "node", "left_semi").select("component", "cluster").distinct().withColumn("_moved", F.lit(True))
     state = state.join(moved, ["component", "cluster"], "left").withColumn("cluster", F.when(F.col("_moved"), F.col("top")).otherwise(F.col("cluster")))
-    state = _with_largest(state.select("component", "block", "node", "cluster", "degree"))
+    state = _with_largest(state.select("component", "block", "node", "cluster", "degree"), rows)
+    if not state.where("not inside").limit(1).count():
+        return links.select("a", "b")
     # What is still outside the largest cluster against whom it can be linked with: blocks of groups that share rare
     # shingles. Two blocks that both have such members meet once, as wholes: what lies inside the largest cluster on
     # both sides is joined already.
-    groups = stage(connected_components(_rare_edges(state, texts, words, percent)), "minhash-groups")
+    groups = connected_components(_rare_edges(state, texts, words, percent))
     state = state.drop("component", "block").join(groups, "node")
-    sizes = stage(state.groupBy("component").agg(F.count("*").alias("members")), "minhash-sizes")
+    sizes = stage(state.groupBy("component").agg(F.count("*").alias("members")), "minhash-sizes", rows)
     state = state.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / block)))
-    state = stage(state.withColumn("block", F.when(F.col("members") > small, F.col("block")).otherwise(0)), "minhash-state")
+    state = stage(state.withColumn("block", F.when(F.col("members") > small, F.col("block")).otherwise(0)), "minhash-state", rows)
     blocks = state.groupBy("component", F.col("block").alias("other")).agg(F.max(~F.col("inside")).alias("mutual"))
     parts = blocks.where("mutual").select("component", F.col("other").alias("part"))
     tasks = parts.join(blocks, "component").where("part <= other or not mutual")
@@ -399,15 +402,15 @@ def _rare_edges(state: DataFrame, texts: DataFrame, words: int, percent: int) ->
     first = stage(dealt.mapInArrow(first_ones, "component long, node long, cluster long, inside boolean, shingle long"), "minhash-first")
     by = ["component", "shingle"]
     met = first.groupBy(*by).agg(F.min("node").alias("least"), F.min("cluster").alias("low"), F.max("cluster").alias("high"), F.max(~F.col("inside")).alias("open"))
-    met = stage(met.where("open and low <> high").select(*by, "least"), "minhash-met")
-    return stage(first.join(met, by).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")), "minhash-edges")
+    met = stage(met.where("open and low <> high").select(*by, "least"), "minhash-met", first.count())
+    return first.join(met, by).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
 
 
-def _with_largest(state: DataFrame) -> DataFrame:
-    """Adds top (the component's largest cluster) and inside (a member of it), written."""
+def _with_largest(state: DataFrame, rows: int) -> DataFrame:
+    """Adds top (the component's largest cluster) and inside (a member of it), written; rows: it has at most."""
     sizes = state.groupBy("component", "cluster").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("component").agg(F.max_by("cluster", F.struct("n", -F.col("cluster"))).alias("top"))
-    return stage(state.join(largest, "component").withColumn("inside", F.col("cluster") == F.col("top")), "minhash-state")
+    return stage(state.join(largest, "component").withColumn("inside", F.col("cluster") == F.col("top")), "minhash-state", rows)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, most: int = MOST, small: int = 256, block: int = 128) -> DataFrame:
@@ -416,20 +419,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, most: in
     kept_row marks one document of each component, one with its smallest doc_id.
     """
     signed = stage(signatures(docs, words), "minhash-signed")
+    count = signed.count()
     full = signed.where("n_shingles > 0")
     by_set = ["set_a", "set_b", "n_shingles"]
     least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("least")
-    classes = stage(full.groupBy(*by_set).agg(F.min("node").alias("class"), least), "minhash-classes")
+    classes = stage(full.groupBy(*by_set).agg(F.min("node").alias("class"), least), "minhash-classes", count)
     rows = full.join(classes.select(F.col("class").alias("node")), "node")
     edges = stage(candidate_edges(rows.select("node", "signature", "bands"), percent / 100, most), "minhash-edges")
-    groups = stage(connected_components(edges), "minhash-groups")
+    groups = connected_components(edges)
     wanted = groups.join(signed.select("node", "doc_id", "row"), "node").select("node", "component", F.col("doc_id").alias("_doc"), F.col("row").alias("_row"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id(F.col("doc_id"), F.col("text")).alias("row"), F.col("text").cast("string").alias("text"))
     members = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_row"))).select("node", "component", "text")
-    links = stage(confirmed_links(stage(members, "minhash-members"), words, percent, small, block), "minhash-confirmed")
+    links = confirmed_links(stage(members, "minhash-members"), words, percent, small, block)
     named = classes.join(connected_components(links).withColumnRenamed("node", "class"), "class", "left")
-    named = stage(named.select(*by_set, "least", F.coalesce("component", "class").alias("label")), "minhash-named")
-    heads = stage(named.groupBy("label").agg(F.min("least").alias("head")), "minhash-heads")
+    named = stage(named.select(*by_set, "least", F.coalesce("component", "class").alias("label")), "minhash-named", count)
+    heads = stage(named.groupBy("label").agg(F.min("least").alias("head")), "minhash-heads", count)
     named = named.join(heads, "label").select(*by_set, F.col("head.doc_id").alias("_first_id"), F.col("head.node").alias("_first"))
     # Documents without shingles match no class and stand alone.
     out = signed.select("doc_id", "row", "node", *by_set).join(named, by_set, "left")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridpanel.llm import lookup, minhash, suffix_dedup
+from gridpanel.llm import components, lookup, minhash, suffix_dedup
 from gridpanel.llm.components import connected_components
 
 
@@ -103,6 +103,56 @@ def test_components_of_a_path_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_small_graphs_take_few_and_small_writes(spark, monkeypatch):
+    # with many shuffle partitions that are not merged, rounds and files of a small table cost more than its rows
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    written, write = [], components.stage
+
+    def watched(df, label, *rows):
+        out = write(df, label, *rows)
+        written.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components, "stage", watched)
+    edges = [(i, i + 1) for i in range(1000, 1400)] + [(7, k) for k in range(8, 400)]
+    expected = {i: 1000 for i in range(1000, 1401)} | {i: 7 for i in range(7, 400)}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for parts in (1, 7):
+            written.clear()
+            out = connected_components(spark.createDataFrame(edges, "a long, b long").repartition(parts)).collect()
+            assert {r.node: r.component for r in out} == expected and len(out) == len(expected)
+            assert (parts > 1 or len(written) <= 2) and max(written) <= max(parts, spark.sparkContext.defaultParallelism)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_components_match_one_search_whatever_the_pieces(spark, monkeypatch):
+    monkeypatch.setattr(components, "PIECE", 5)
+    rng = np.random.default_rng(6)
+    edges = np.concatenate([rng.integers(0, 400, (260, 2)), [(k, k + 1) for k in range(500, 560)], [(9, 700 + k) for k in range(40)]])
+    edges = np.concatenate([edges, edges[:50]])
+    label = components.smallest_reached(800, edges[:, 0], edges[:, 1])
+    nodes = np.unique(edges[edges[:, 0] != edges[:, 1]])
+    spread = spark.createDataFrame(edges.tolist(), "a long, b long").repartition(9)
+    out = connected_components(spread).collect()
+    assert sorted((r.node, r.component) for r in out) == [(n, label[n]) for n in nodes.tolist()]
+
+
+def test_the_smallest_reached_names_each_group():
+    order = np.random.default_rng(7).permutation(20_000)
+    label = components.smallest_reached(20_000, order[:-1], order[1:])
+    assert not label.any()
+    rng = np.random.default_rng(8)
+    for n in range(1, 60):
+        a, b = rng.integers(0, n, (2, n // 2))
+        label = components.smallest_reached(n, a, b)
+        assert (label[a] == label[b]).all() and (label <= np.arange(n)).all() and (label[label] == label).all()
+
+
 def brute_cut(rows, length):
     first = {}
     lowest = -(1 << 63)
