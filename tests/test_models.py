@@ -1,5 +1,6 @@
 import pickle
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -363,3 +364,73 @@ def test_training_rows_of_every_fold_are_those_with_the_smallest_hashes(planted)
         x, label = compare._training_rows(study, fold)
         want = study.rows.where(F.col("block") < fold).orderBy("draw").limit(50).collect()
         assert x.tolist() == [[r[f] for f in study.features] for r in want] and label.tolist() == [r.label for r in want]
+
+
+@pytest.fixture(scope="module")
+def races(spark):
+    """Twelve entities, thirty meetings; a lucky one in five changes its place."""
+    draw = random.Random(11)
+    rows = []
+    for season, no in ((2001 + m // 10, 1 + m % 10) for m in range(30)):
+        for name, code in (("Race", 0), ("Qualifying", 4), ("Sprint", 5)):
+            meeting = season * 100 + no
+            for place, driver in enumerate(sorted(range(1, 13), key=lambda d: d + draw.choice([0, 0, 0, 0, 6])), 1):
+                rows.append(((meeting * 10 + code) * 100 + place, driver, place, name, meeting, f"M{no}", season, no))
+    return spark.createDataFrame(
+        rows, "position_id bigint, driver_number int, position int, session_name string, meeting_id bigint, meeting_name string, season int, no int"
+    )
+
+
+ALL_ROWS = [("ablation", 20)]
+
+
+@pytest.mark.parametrize("name, fold", ALL_ROWS)
+def test_trees_of_a_query_grow_on_all_training_rows(spark, races, monkeypatch, name, fold):
+    studied = []
+    monkeypatch.setattr(training, "results_from_lineitem", lambda *_: races)
+    monkeypatch.setattr(compare, "run", lambda study, parallelism=4: studied.append(study) or spark.createDataFrame([], compare.COUNTS))
+    training.QUERIES[name](spark, "")
+    # rows are read 40 at a time
+    study = studied[0]._replace(settings=replace(SMALL, tree_rows=40))
+    study = study._replace(samples=compare._samples(study))
+    kinds = tuple(k for k in study.kinds if k in compare.TREES)
+    found = compare._grown(study, kinds, fold)
+    assert {(chosen, kind) for chosen, _, kind in found} == {(chosen, kind) for chosen in study.sets for kind in kinds}
+    x, label = _arrays(study.rows.where(F.col("block") < fold).orderBy("draw", "label", *study.features), study.features)
+    assert len(x) > 200
+    for (chosen, _, kind), model in found.items():
+        columns = study.columns(chosen)
+        if kind in ("tree", "forest"):
+            own = trees.grow_forest(x, label, columns, range(SMALL.trees if kind == "forest" else 1), SMALL.seed, SMALL.max_depth, kind == "forest")
+            want = own.classes[own.votes(x).argmax(axis=1)]
+        else:
+            want = trees.boost(x, label, columns, SMALL.boosting_rounds, SMALL.boosting_depth, SMALL.boosting_rate, kind == "boosted_regression").predict(x)
+        assert (model.predict(x) == want).all(), (chosen, kind)
+
+
+def test_counts_do_not_depend_on_how_many_rows_are_read_at_a_time(planted):
+    whole, pieces = (compare.on_holdout(planted, FEATURES, ("tree", "forest", "boosted"), replace(SMALL, tree_rows=n)) for n in (20_000, 30))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, pieces.collect()))
+
+
+@pytest.mark.parametrize("columns", [3, 10])
+def test_trees_are_the_same_whatever_is_held_at_once(monkeypatch, columns):
+    """Ten columns of more than 256 values do not fit one number as a key."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, columns)) if columns == 10 else rng.integers(0, 15, (1500, columns)).astype(float)
+    y = (x[:, 0] + rng.integers(0, 6, 1500) > 3).astype(float)
+    mine = tuple(range(columns))
+    whole = trees.gather(lambda: [(x, y)], mine)
+    assert (whole.codes[whole.place] == trees.to_bins(x, whole.edges)).all() and (whole.classes[whole.y[whole.place]] == y).all()
+    assert all(len(e) == (255 if columns == 10 else 14) for e in whole.edges)
+    rows = np.bincount(np.random.default_rng([1, 0]).integers(0, 1500, 1500), minlength=1500)
+    assert (whole.drawn(np.random.default_rng([1, 0])) == np.bincount(whole.place, rows, len(whole.y))).all()
+    forest = trees.grow(whole, range(3), 1, 30, bootstrap=True)
+    monkeypatch.setattr(trees, "DRAWN", 100)
+    monkeypatch.setattr(trees, "WEIGHTS", 200)
+    parts = trees.gather(lambda: ((x[a : a + 70], y[a : a + 70]) for a in range(0, 1500, 70)), mine)
+    assert all((a == b).all() for a, b in zip(whole[2:], parts[2:], strict=True)) and all((a == b).all() for a, b in zip(whole.edges, parts.edges, strict=True))
+    again = trees.grow(parts, range(3), 1, 30, bootstrap=True)
+    assert all((getattr(forest, f) == getattr(again, f)).all() for f in ("feature", "bin", "left", "share"))
+    monkeypatch.setattr(trees, "TOGETHER", 2 * len(whole.y))
+    assert trees.together(whole, range(3, 8)) == [range(3, 5), range(5, 7), range(7, 8)]
