@@ -317,14 +317,14 @@ def _put(folder: str, label: str, what: object) -> str:
     store, root = open_folder(folder)
     store.create_dir(root, recursive=True)
     name = f"{label}-{uuid.uuid4().hex}"
-    with store.open_output_stream(f"{root}/{name}") as stream:
+    with store.open_output_stream(f"{root}/{name}", compression="zstd") as stream:
         pickle.dump(what, stream, pickle.HIGHEST_PROTOCOL)
     return name
 
 
 def _get(folder: str, name: str) -> object:
     store, root = open_folder(folder)
-    with store.open_input_stream(f"{root}/{name}") as stream:
+    with store.open_input_stream(f"{root}/{name}", compression="zstd") as stream:
         return pickle.load(stream)
 
 

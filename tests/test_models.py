@@ -381,7 +381,7 @@ def races(spark):
     )
 
 
-ALL_ROWS = [("ablation", 20)]
+ALL_ROWS = [("ablation", 20), ("model_compare", 1)]
 
 
 @pytest.mark.parametrize("name, fold", ALL_ROWS)
@@ -431,6 +431,6 @@ def test_trees_are_the_same_whatever_is_held_at_once(monkeypatch, columns):
     parts = trees.gather(lambda: ((x[a : a + 70], y[a : a + 70]) for a in range(0, 1500, 70)), mine)
     assert all((a == b).all() for a, b in zip(whole[2:], parts[2:], strict=True)) and all((a == b).all() for a, b in zip(whole.edges, parts.edges, strict=True))
     again = trees.grow(parts, range(3), 1, 30, bootstrap=True)
-    assert all((getattr(forest, f) == getattr(again, f)).all() for f in ("feature", "bin", "left", "share"))
+    assert all((getattr(forest, f) == getattr(again, f)).all() for f in ("feature", "bin", "left", "ends", "of", "share"))
     monkeypatch.setattr(trees, "TOGETHER", 2 * len(whole.y))
     assert trees.together(whole, range(3, 8)) == [range(3, 5), range(5, 7), range(7, 8)]
