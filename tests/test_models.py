@@ -381,7 +381,7 @@ def races(spark):
     )
 
 
-ALL_ROWS = [("ablation", 20), ("model_compare", 1), ("planted_ablation", 20), ("planted_folds", 5)]
+ALL_ROWS = [("ablation", 20), ("model_compare", 1), ("planted_ablation", 20), ("planted_folds", 5), ("planted_positions", 1)]
 
 
 @pytest.mark.parametrize("name, fold", ALL_ROWS)
